@@ -1,0 +1,5 @@
+"""No streaming operators: the workflow is batch only.
+
+The package is kept so that the layout is complete.  It has no source, sink,
+watermark or state, because none of the covered features needs one.
+"""
