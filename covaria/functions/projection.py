@@ -58,14 +58,17 @@ def albers_inverse(x: Column, y: Column, iterations: int = 3) -> tuple[Column, C
     dx, dy = x * F.lit(sign), (F.lit(RHO_0) - y) * F.lit(sign)
     rho2 = (dx * dx + dy * dy) * F.lit((CONE / SEMI_MAJOR) ** 2)
     q = (F.lit(SCALE) - rho2) / F.lit(CONE)
-    lat = F.asin(q / F.lit(2.0))
-    for _ in range(iterations):
+
+    def refine(lat: Column, q: Column) -> Column:
         s = F.sin(lat)
         one = F.lit(1.0) - F.lit(_E2) * s * s
-        lat = lat + one * one / (F.lit(2.0) * F.cos(lat)) * (
+        return lat + one * one / (F.lit(2.0) * F.cos(lat)) * (
             q / F.lit(1 - _E2)
             - s / one
             + F.log((F.lit(1.0) - F.lit(_E) * s) / (F.lit(1.0) + F.lit(_E) * s)) / F.lit(2 * _E)
         )
+
+    # A fold names each intermediate latitude, so the expression stays small.
+    lat = F.aggregate(F.array_repeat(q, iterations), F.asin(q / F.lit(2.0)), refine)
     lon = F.lit(LONGITUDE_0) + F.degrees(F.atan2(dx, dy) / F.lit(CONE))
     return lon, F.degrees(lat)

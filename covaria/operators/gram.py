@@ -8,13 +8,19 @@ squared-error score computed without touching the data again.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Tasks get this module's helpers with the closure, whether or not the package
+# is installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Up to this many columns the sums are built-in covariance aggregates; wider
 # tables would blow up generated code, so Arrow batches feed matrix products.
 BUILTIN_WIDTH = 12

@@ -10,14 +10,20 @@ neither forms all pairs as rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.hashing import order_value
 
+# Tasks get this module's helpers with the closure, whether or not the package
+# is installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Values (rows x features) of a reference that may be shipped to every task.
 SHIPPED_VALUES = 4_000_000
 PIVOTS = 512
@@ -172,12 +178,12 @@ def _by_cells(
 
     left = (
         routed.withColumn("lane", F.pmod(F.xxhash64("query"), per_cell(lanes)).cast("int"))
-        .withColumn("block", spread(per_cell(blocks)).cast("int"))
+        .withColumn("block", spread(per_cell(blocks)))
     )
     right = (
         placed.drop("reach")
         .withColumn("block", F.pmod(F.xxhash64("neighbour"), per_cell(blocks)).cast("int"))
-        .withColumn("lane", spread(per_cell(lanes)).cast("int"))
+        .withColumn("lane", spread(per_cell(lanes)))
     )
 
     def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:

@@ -33,7 +33,11 @@ Objective = Callable[[dict[str, Any], float], dict[str, float]]
 
 def trial_table(spark: SparkSession, space: Space, n: int, seed: str | int = 0, start: int = 0) -> DataFrame:
     """n drawn trials: trial_id and one typed column per parameter."""
-    ids = spark.range(start, start + n).withColumnRenamed("id", TRIAL)
+    return draw_trials(spark.range(start, start + n).withColumnRenamed("id", TRIAL), space, seed)
+
+
+def draw_trials(ids: DataFrame, space: Space, seed: str | int = 0) -> DataFrame:
+    """Draw every parameter for the given trial ids."""
     return ids.select(TRIAL, *[d.draw(name, seed).alias(name) for name, d in space.items()])
 
 

@@ -46,7 +46,9 @@ def assign_folds(df: DataFrame, key: str | Sequence[str], k: int, seed: str | in
     if k < 1:
         raise ValueError("k must be at least 1")
     value = _order(seed, key)
-    return df.withColumn(name, range_of(value, rank_cuts(df, value, lambda n: fold_bounds(n, k))))
+    cuts = rank_cuts(df, value, lambda n: fold_bounds(n, k))
+    # Two steps, so that the hash is computed once per row.
+    return df.withColumn("_v", value).withColumn(name, range_of(F.col("_v"), cuts)).drop("_v")
 
 
 def group_folds(df: DataFrame, group: str, k: int, seed: str | int = 0, name: str = "groupcv_class") -> DataFrame:

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import QUERIES
 
-for _module in ("table_queries",):
+for _module in ("table_queries", "raster_queries", "model_queries", "fit_queries"):
     importlib.import_module(f"{__package__}.{_module}")
 
 __all__ = ["QUERIES"]

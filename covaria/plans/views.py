@@ -48,7 +48,7 @@ TRAIN_SQL = f"""train AS (
     CAST(l_quantity * p_retailprice * (1 - l_discount) AS FLOAT) AS target,
     CAST(l_quantity AS FLOAT) AS quantity, CAST(l_discount AS FLOAT) AS discount, CAST(l_tax AS FLOAT) AS tax,
     CAST(p_size AS FLOAT) AS size, CAST(p_retailprice AS FLOAT) AS retailprice,
-    {sql_uniform('tx', _KEY_SQL)} * 8500 AS x, {sql_uniform('ty', _KEY_SQL)} * 5000 AS y,
+    CAST(l_partkey * 37 % 850 * 10 + l_linenumber AS DOUBLE) AS x, CAST(l_orderkey * 53 % 500 * 10 + p_size AS DOUBLE) AS y,
     CAST(l_suppkey AS FLOAT) AS groupcv, l_orderkey AS orderkey
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
@@ -89,8 +89,8 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_tax").cast("float").alias("tax"),
         F.col("p_size").cast("float").alias("size"),
         F.col("p_retailprice").cast("float").alias("retailprice"),
-        (unit_uniform("tx", "key") * 8500).alias("x"),
-        (unit_uniform("ty", "key") * 5000).alias("y"),
+        (F.col("l_partkey") * 37 % 850 * 10 + F.col("l_linenumber")).cast("double").alias("x"),
+        (F.col("l_orderkey") * 53 % 500 * 10 + F.col("p_size")).cast("double").alias("y"),
         F.col("l_suppkey").cast("float").alias("groupcv"),
         F.col("l_orderkey").alias("orderkey"),
     )
