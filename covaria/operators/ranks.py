@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import HASH_BITS
-from ..session import cut_lineage
+from ..session import cut_lineage, held
 
 _STEP_BITS = 15
 _COLLECT_VALUES = 50_000
@@ -38,7 +38,12 @@ def rank_cuts(
     number of values) per pending cut reach the driver, however many rows
     there are.
     """
-    values = df.select(value.alias("v"))
+    # Eight bytes per row are kept, so that later passes skip the input's plan.
+    with held(df.select(value.alias("v"))) as values:
+        return _cuts(values, ranks, bits)
+
+
+def _cuts(values: DataFrame, ranks: Callable[[int], Sequence[int]], bits: int) -> list[int]:
     shift = max(bits - _STEP_BITS, 0)
     first = values.groupBy(F.shiftright("v", shift).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
     histogram = sorted((r["b"], r["n"]) for r in first)
@@ -71,9 +76,9 @@ def rank_cuts(
     size = dict(histogram)
     while pending:
         outer = shift
-        held = {bucket for bucket, _ in pending.values()}
-        scope = values.filter(F.shiftright("v", outer).isin(sorted(held)))
-        if sum(size[b] for b in held) <= _COLLECT_VALUES:
+        open_ranges = {bucket for bucket, _ in pending.values()}
+        scope = values.filter(F.shiftright("v", outer).isin(sorted(open_ranges)))
+        if sum(size[b] for b in open_ranges) <= _COLLECT_VALUES:
             shift = 0
             counted: dict[int, int] = {}
             for row in scope.collect():

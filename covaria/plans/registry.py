@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import tune
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     def add(run: Run) -> Run:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = Query(run, sql)
+        QUERIES[name] = Query(lambda spark, sf: run(tune(spark), sf), sql)
         return run
 
     return add

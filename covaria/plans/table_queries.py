@@ -265,11 +265,11 @@ def feature_exact_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "set_difference",
-    "SELECT DISTINCT p_type AS feature FROM part EXCEPT SELECT p_type FROM part WHERE p_size = 1",
+    "SELECT DISTINCT o_custkey AS feature FROM orders EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 450000",
 )
 def set_difference(spark: SparkSession, sf: str) -> DataFrame:
-    parts = v.table(spark, sf, "part").select(F.col("p_type").alias("feature"), "p_size")
-    return sets.not_in(parts.select("feature").distinct(), parts.filter("p_size = 1"), "feature")
+    orders = v.table(spark, sf, "orders").select(F.col("o_custkey").alias("feature"), "o_totalprice")
+    return sets.not_in(orders.select("feature").distinct(), orders.filter("o_totalprice > 450000"), "feature")
 
 
 @query(

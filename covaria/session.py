@@ -10,6 +10,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Generated methods above this size are never compiled by the JVM; wide
+# expression sets run much faster as separate operators than interpreted.
+METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def build_session(master: str | None = None, app: str = "covaria", **conf: str) -> SparkSession:
     """A session with adaptive execution and skew handling switched on.
 
@@ -24,6 +29,7 @@ def build_session(master: str | None = None, app: str = "covaria", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        **METHOD_LIMIT,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update(conf)
@@ -32,6 +38,25 @@ def build_session(master: str | None = None, app: str = "covaria", **conf: str)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings that hold for any session, unless they were chosen already."""
+    for key, value in METHOD_LIMIT.items():
+        if spark.conf.get(key, None) in (None, "65535"):
+            spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that comes in fewer splits than there are cores.
+
+    Looks at the split count only; a table of many files is left as it is.
+    Hashing whole rows is even and, unlike round robin, needs no sort to be
+    repeatable.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
