@@ -184,8 +184,10 @@ def cv_elimination(
     check_scorer(scorer_name)
     spark = df.sparkSession
     if isinstance(model, GramRegressor):
-        kind = MomentFolds if scorer_name in MOMENT_SCORERS else LinearFolds
-        return log_table(spark, eliminate(features, kind(df, features, scorer_name, fold, model.ridge, label), False))
+        if scorer_name in MOMENT_SCORERS:
+            return log_table(spark, eliminate(features, MomentFolds(df, features, scorer_name, fold, model.ridge, label), False))
+        with held(df.select(*features, label, fold)) as table:
+            return log_table(spark, eliminate(features, LinearFolds(table, features, scorer_name, fold, model.ridge, label), False))
     # Keys stay: a neighbour model needs them.
     used = [c for c in ("key",) if c in df.columns] + [*features, label, fold]
     with held(df.select(*used)) as table:
@@ -198,8 +200,10 @@ def oos_elimination(
     check_scorer(scorer_name)
     spark = train.sparkSession
     if isinstance(model, GramRegressor):
-        kind = MomentHoldout if scorer_name in MOMENT_SCORERS else LinearHoldout
-        return log_table(spark, eliminate(features, kind(train, oos, features, scorer_name, model.ridge, label), True))
+        if scorer_name in MOMENT_SCORERS:
+            return log_table(spark, eliminate(features, MomentHoldout(train, oos, features, scorer_name, model.ridge, label), True))
+        with held(oos.select(*features, label)) as table:
+            return log_table(spark, eliminate(features, LinearHoldout(train, table, features, scorer_name, model.ridge, label), True))
     used = [c for c in ("key",) if c in train.columns] + [*features, label]
     with held(train.select(*used)) as a, held(oos.select(*used)) as b:
         return log_table(spark, eliminate(features, ModelHoldout(a, b, model, scorer_name, label, jobs), True))

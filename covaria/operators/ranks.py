@@ -128,7 +128,7 @@ def sorted_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
 
     Range partitions are sorted on their own; positions inside a partition
     plus the sizes of the partitions before it give the global position.  The
-    checkpoint pins the layout, so both readings of it agree.
+    ids are written out once, so both readings of them agree.
     """
     placed = cut_lineage(
         df.repartitionByRange(*order)
@@ -150,5 +150,5 @@ def sorted_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
 
 
 def with_row_key(df: DataFrame, name: str = "key") -> DataFrame:
-    """Give rows without a natural key a number, fixed by a reliable checkpoint."""
+    """Give rows without a natural key a number, fixed by writing the table out."""
     return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))

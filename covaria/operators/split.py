@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import order_value
+from ..session import cut_lineage
 from .joins import lookup_join
 from .ranks import exact_rank, range_of, rank_cuts, sorted_rank
 
@@ -53,7 +54,8 @@ def assign_folds(df: DataFrame, key: str | Sequence[str], k: int, seed: str | in
 
 def group_folds(df: DataFrame, group: str, k: int, seed: str | int = 0, name: str = "groupcv_class") -> DataFrame:
     """(group, fold): groups in a seeded order, dealt out to folds in turn."""
-    groups = df.select(group).distinct().filter(F.col(group).isNotNull())
+    # One row per group, read several times below.
+    groups = cut_lineage(df.select(group).distinct().filter(F.col(group).isNotNull()))
     ranked = exact_rank(groups, order_value(seed, group), "_rank")
     return ranked.select(group, (F.col("_rank") % F.lit(k)).cast("int").alias(name))
 

@@ -70,11 +70,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives executor loss."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write a table to the shared folder and read it back.
+
+    The plan is run once, the result survives the loss of executors, and
+    later readers start from the files.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
