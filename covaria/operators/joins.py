@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 # A side is broadcast only after a count proved that it has at most this many rows.
 BROADCAST_ROWS = 100_000
@@ -18,15 +18,27 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[tuple]:
+    """Keys that hold more than 1/share of the rows: fewer than `share` of them.
+
+    One pre-aggregated pass; the total is observed on the way.
+    """
+    total = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(total, F.sum("_n").alias("n"))
+    largest = counts.orderBy(F.desc("_n")).limit(share).collect()
+    n = total.get["n"] or 0
+    return [tuple(r[k] for k in keys) for r in largest if r["_n"] * share > n]
+
+
 def lookup_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", small_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join `left` to a table with one row per key.
 
-    Small lookup tables are broadcast.  Otherwise the hot keys of `left` are
-    found by a pre-aggregated count: their rows meet a broadcast of the
-    matching (fewer than HOT_SHARE) lookup rows, all other rows are shuffled.
-    Rows with a null key never match, so they do not travel at all.
+    A lookup table of proven small size is broadcast.  Otherwise both sides
+    are shuffled, but rows of hot keys stay where they are: they find their
+    (fewer than HOT_SHARE) lookup rows in a broadcast.  Very many rows with a
+    null key stay as well, since they match nothing.
     """
     keys = list(keys)
     if how not in ("left", "inner"):
@@ -34,23 +46,23 @@ def lookup_join(
     if is_small(right, small_rows):
         return left.join(F.broadcast(right), keys, how)
 
-    spark = left.sparkSession
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.count()
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    hot_rows = counts.filter(has_key & (F.col("_n") > total / HOT_SHARE)).drop("_n").collect()
-    extra = [c for c in right.columns if c not in keys]
-    order = [*keys, *[c for c in left.columns if c not in keys], *extra]
-
-    keyed = left.filter(has_key)
+    found = hot_keys(left, keys)
+    if not found:
+        return left.join(right, keys, how)
+    hot = [k for k in found if None not in k]
+    order = [*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys]]
     parts = []
-    if hot_rows:
-        hot = spark.createDataFrame(hot_rows, left.select(*keys).schema)
-        hot_values = right.join(F.broadcast(hot), keys, "left_semi")
-        parts.append(keyed.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_values), keys, how))
-        keyed = keyed.join(F.broadcast(hot), keys, "left_anti")
-    parts.append(keyed.join(right, keys, how))
-    if how == "left":
-        blank = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
-        parts.append(left.filter(~has_key).select("*", *blank))
+    travelling = left
+    if hot:
+        names = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*keys).schema))
+        values = right.join(names, keys, "left_semi")
+        parts.append(left.join(names, keys, "left_semi").join(F.broadcast(values), keys, how))
+        travelling = left.join(names, keys, "left_anti")
+    if len(hot) < len(found):
+        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        if how == "left":
+            blank = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in keys]
+            parts.append(left.filter(~present).select("*", *blank))
+        travelling = travelling.filter(present)
+    parts.append(travelling.join(right, keys, how))
     return reduce(lambda a, b: a.unionByName(b), [p.select(*order) for p in parts])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.metrics import mean_scores, score
 from ..models.base import Fitted, Model
 from ..models.linear import GramRegressor
+from ..session import held
 from .clean import clean, clean_selected
 from .gram import fold_fits, fold_prediction, moments
 from .split import assign_folds, test_part, train_part
@@ -64,7 +65,14 @@ def group_scores(
 def fit_and_predict(
     training: DataFrame, oos: DataFrame, features: Sequence[str], model: Model, label: str = "target", weight: str | None = None
 ) -> tuple[Fitted, DataFrame]:
-    fitted = model.fit(clean(training), features, label, weight)
+    rows = clean(training)
+    if isinstance(model, GramRegressor):
+        fitted = model.fit(rows, features, label, weight)
+    else:
+        # Iterative fits read their rows many times.
+        keep = [c for c in {"key", weight} if c in rows.columns]
+        with held(rows.select(*keep, *features, label)) as table:
+            fitted = model.fit(table, features, label, weight)
     return fitted, fitted.transform(clean(oos))
 
 

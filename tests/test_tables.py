@@ -118,6 +118,14 @@ def test_lookup_join_paths_agree(spark, how):
     assert large == want
 
 
+def test_hot_keys_include_null(spark):
+    df = spark.range(10_000).select(
+        F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 5 == 1, None).otherwise(F.col("id")).cast("long").alias("k")
+    )
+    assert set(joins.hot_keys(df, ["k"])) == {(7,), (None,)}
+    assert joins.hot_keys(spark.range(5000), ["id"]) == []
+
+
 def test_catalogue_helpers(spark):
     wanted = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a"), (3, "c")], "position int, path string")
     assert {tuple(r) for r in sets.drop_repeats(wanted).select("path", "position").collect()} == {("a", 0), ("b", 1), ("c", 3)}
