@@ -25,7 +25,7 @@ from ..functions.hashing import order_value
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Values (rows x features) of a reference that may be shipped to every task.
-SHIPPED_VALUES = 4_000_000
+SHIPPED_VALUES = 500_000
 PIVOTS = 512
 BLOCK_ROWS = 20_000
 _CHUNK = 4_000_000

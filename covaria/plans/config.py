@@ -87,6 +87,9 @@ class WorkflowConfig:
     drift_classifier: str = "LogisticRegression"
     stages: Sequence[str] = STAGES
     output_folder: str | None = None
+    # Results of an earlier run, for stages that are switched off now.
+    selected_features: Sequence[str] | None = None
+    trained_model: str | None = None
     key: str = "point_id"
     seed: int = 0
     # Spark jobs that run side by side.

@@ -100,9 +100,7 @@ def kernel_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("neighbour_predict")
 def neighbour_predict(spark: SparkSession, sf: str) -> DataFrame:
-    train, oos = split.holdout(v.clean_training(spark, sf), "key", 2)
-    _, predicted = scoring.fit_and_predict(train, oos, _THREE, regressor("KNeighborsRegressor", {"k": 5}))
-    return scoring.predicted_vs_real(predicted, keep=["key"])
+    return _scored(spark, sf, regressor("KNeighborsRegressor", {"k": 5}), _THREE)
 
 
 @query("bootstrapped_gbt")

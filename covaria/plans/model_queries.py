@@ -13,6 +13,8 @@ from ..models.ensembles import FittedEnsemble, interval_columns
 from ..models.linear import FittedLinear, GramRegressor
 from ..operators import drift, explore, neighbours, ranking, scoring, search, shapley, split, standardise as std
 from ..operators.gram import LinearFit
+from ..session import shared_folder
+from ..sources import sinks
 from . import views as v
 from .registry import query
 
@@ -132,6 +134,20 @@ def oos_scores_linear(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(scoring.out_of_sample_scores(train, oos, PAIR, GramRegressor(), SCORERS), "oos_")
 
 
+@query(
+    "score_json",
+    f"WITH {_OOS_SQL}, s AS (SELECT {_score_sql('p', 2)} FROM guess) "
+    + " UNION ALL ".join(f"SELECT 'oos_{s}' AS score_name, {s} AS score FROM s" for s in SCORERS),
+)
+def score_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Score names and values through a JSON result file."""
+    train, oos = split.holdout(v.clean_training(spark, sf), "key", 10)
+    row = _rounded(scoring.out_of_sample_scores(train, oos, PAIR, GramRegressor(), SCORERS), "oos_")
+    path = f"{shared_folder(spark)}/scores"
+    sinks.write_table(metrics.long_scores(row), path, "json")
+    return spark.read.schema("score_name string, score double").json(path)
+
+
 @query("oos_predictions", f"WITH {_OOS_SQL} SELECT key, target AS label_oos, round(p, 4) AS label_pred FROM guess")
 def oos_predictions(spark: SparkSession, sf: str) -> DataFrame:
     train, oos = split.holdout(v.clean_training(spark, sf), "key", 10)

@@ -232,8 +232,30 @@ def albers_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return xy.select("o_orderkey", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
+def _refine_sql(lat: str) -> str:
+    """One step of the inverse latitude."""
+    e, e2 = repr(projection._E), repr(projection._E2)
+    s = f"sin({lat})"
+    one = f"(1.0 - {e2} * {s} * {s})"
+    tail = f"ln((1.0 - {e} * {s}) / (1.0 + {e} * {s})) / {2 * projection._E!r}"
+    return f"{lat} + {one} * {one} / (2.0 * cos({lat})) * (q / {1 - projection._E2!r} - {s} / {one} + {tail})"
+
+
+_HEIGHT = f"(SELECT CAST(max(p_partkey) // {v.GRID_WIDTH} + 1 AS INTEGER) FROM part)"
+_REPROJECT_SQL = f"""{v.CELLS_SQL},
+  out AS (SELECT CAST(i // 60 AS INTEGER) AS r, CAST(i % 60 AS INTEGER) AS c FROM (SELECT unnest(range(60 * ({_HEIGHT} + 10))) AS i) t),
+  xy AS (SELECT r, c, -(300000.0 + (c + 0.5) * 5000.0) AS dx, -({projection.RHO_0!r} - (-2300000.0 - (r + 0.5) * 5000.0)) AS dy FROM out),
+  qs AS (SELECT *, ({projection.SCALE!r} - (dx * dx + dy * dy) * {(projection.CONE / projection.SEMI_MAJOR) ** 2!r}) / {projection.CONE!r} AS q FROM xy),
+  l0 AS (SELECT *, asin(q / 2.0) AS l FROM qs), l1 AS (SELECT * REPLACE ({_refine_sql('l')} AS l) FROM l0),
+  l2 AS (SELECT * REPLACE ({_refine_sql('l')} AS l) FROM l1), l3 AS (SELECT * REPLACE ({_refine_sql('l')} AS l) FROM l2),
+  src AS (SELECT r, c, CAST(floor((-22.0 - degrees(l)) / 0.05) AS INTEGER) AS row,
+    CAST(floor((132.0 + degrees(atan2(dx, dy) / {projection.CONE!r}) - 135.0) / 0.05) AS INTEGER) AS col FROM l3)"""
+
+
 @query(
     "raster_reproject",
+    f"WITH {_REPROJECT_SQL} SELECT r AS row, c AS col, CAST(coalesce(value, -9999) AS DOUBLE) AS value FROM src"
+    " LEFT JOIN (SELECT row, col, value FROM cells WHERE covariate = 'price') p USING (row, col)",
 )
 def raster_reproject(spark: SparkSession, sf: str) -> DataFrame:
     """A geographic raster of part prices onto a projected grid, nearest cell."""

@@ -220,7 +220,7 @@ def covariate_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return sets.drop_repeats(_catalogue(spark, sf))
 
 
-_PRESENT = "present AS (SELECT DISTINCT 'raster_' || p_brand AS path FROM part WHERE p_size < 3 AND p_partkey % 2 = 0)"
+_PRESENT = "present AS (SELECT DISTINCT 'raster_' || p_brand AS path FROM part WHERE p_size < 3)"
 
 
 @query(
@@ -229,7 +229,7 @@ _PRESENT = "present AS (SELECT DISTINCT 'raster_' || p_brand AS path FROM part W
 )
 def covariate_existence(spark: SparkSession, sf: str) -> DataFrame:
     present = (
-        v.table(spark, sf, "part").filter("p_size < 3 AND p_partkey % 2 = 0")
+        v.table(spark, sf, "part").filter("p_size < 3")
         .select(F.concat(F.lit("raster_"), "p_brand").alias("path"))
     )
     found, missing = sets.existing(_catalogue(spark, sf), present, "path")
@@ -409,3 +409,13 @@ def geojson_file(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(good)
 
 
+
+
+@query("glob_scan", "SELECT o_orderkey AS id, CAST(o_orderkey % 3 AS INTEGER) AS row FROM orders")
+def glob_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks written below one folder, found again by a file name pattern."""
+    path = f"{shared_folder(spark)}/blocks"
+    orders = v.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 3).cast("int").alias("row"))
+    sinks.write_map(orders, path, rows_per_block=1)
+    sinks.write_table(orders.limit(0), f"{path}/other", "csv")
+    return tables.read_matching(spark, path, "part-*.parquet", orders.schema)

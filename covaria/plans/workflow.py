@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ..functions.metrics import long_scores, mean_scores, score
 from ..models.base import Fitted, Model
 from ..models.linear import FittedLinear
-from ..models.registry import classifier, regressor
+from ..models.registry import classifier, load, regressor
 from ..operators import drift as drift_ops
 from ..operators import explore, ranking, search as search_ops, shapley
 from ..operators.clean import cast_float, clean, clean_selected
@@ -217,7 +218,7 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
     later stages read the written training tables back instead of sampling
     the rasters again.
     """
-    out = WorkflowResult(selected_features=list(conf.covariates))
+    out = WorkflowResult(selected_features=list(conf.selected_features or conf.covariates))
 
     def publish(tables: dict[str, DataFrame]) -> None:
         for name, df in tables.items():
@@ -227,10 +228,13 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
                 df = spark.read.parquet(path)
             out.tables[name] = df
 
-    ready = prepare(inputs, conf)
-    publish({n: t for n, t in (("training", ready.training), ("oos", ready.oos), ("shap", ready.shap)) if t is not None})
-    if "data_preparation" in conf.stages:
+    if "data_preparation" in conf.stages or conf.output_folder is None:
+        ready = prepare(inputs, conf)
+        made = {"training": ready.training, "oos": ready.oos, "shap": ready.shap}
+        publish({n: t for n, t in made.items() if t is not None})
         publish({"rejects": ready.rejects.select("reject_reason")})
+    else:
+        out.tables.update(_earlier_tables(spark, conf.output_folder))
     training, oos, shap = (out.tables.get(n) for n in ("training", "oos", "shap"))
     # Models join on `key`, whatever the source calls it.
     training, oos, shap = (
@@ -268,10 +272,12 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
                     conf.exploration.n_splits,
                 )
             )
+        if out.model is None and conf.trained_model is not None:
+            out.model, out.model_path = load(spark, conf.model, conf.trained_model), conf.trained_model
         if out.model is None and "prediction_mapping" in conf.stages:
             out.model = regressor(conf.model, parameters).fit(clean(training), features)
         if "prediction_mapping" in conf.stages and inputs.area is not None:
-            bands = _bands(inputs, features)
+            bands = _bands(inputs, out.model.features)
             surface = prediction_map(
                 spark, inputs.area, bands[0], bands[1], out.model, inputs.mask, inputs.area["nodata"]
             )
@@ -284,6 +290,19 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
     return out
 
 
+def _earlier_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Tables that an earlier run left in the output folder."""
+    found = {}
+    for name in ("training", "oos", "shap"):
+        try:
+            found[name] = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+        except AnalysisException:
+            continue
+    if "training" not in found:
+        raise ValueError(f"no training table in {folder}; switch data_preparation on")
+    return found
+
+
 def _bands(inputs: Inputs, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Covariate rows of the selected features only, by exact name."""
     spark = inputs.meta.sparkSession
