@@ -31,11 +31,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", small_rows: int = BROADCAST_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    small_rows: int = BROADCAST_ROWS,
+    bound: int | None = None,
 ) -> DataFrame:
     """Join `left` to a table with one row per key.
 
-    A lookup table of proven small size is broadcast.  Otherwise both sides
+    A lookup table of proven small size is broadcast: `bound` is a row count
+    that `right` cannot exceed, and without it the rows are counted (up to the
+    limit).  Otherwise both sides
     are shuffled, but rows of hot keys stay where they are: they find their
     (fewer than HOT_SHARE) lookup rows in a broadcast.  Very many rows with a
     null key stay as well, since they match nothing.
@@ -43,7 +50,7 @@ def lookup_join(
     keys = list(keys)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join does not support {how!r}")
-    if is_small(right, small_rows):
+    if bound <= small_rows if bound is not None else is_small(right, small_rows):
         return left.join(F.broadcast(right), keys, how)
 
     found = hot_keys(left, keys)

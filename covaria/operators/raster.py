@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.naming import band_name
-from ..functions.projection import albers_inverse
+from ..functions.projection import albers_forward, albers_inverse
 from ..schema import MISSING
 from .joins import is_small, lookup_join
 
@@ -105,10 +105,10 @@ def sample_at_points(
     for grid, members in groups:
         row, col = cell_of(F.col(x), F.col(y), grid)
         placed = out.withColumns({"row": row, "col": col})
-        joined = lookup_join(placed, stack(cells, members), ["row", "col"], "left")
-        inside = (
-            F.col("row").between(0, grid["height"] - 1) & F.col("col").between(0, grid["width"] - 1)
-        )
+        inside = F.col("row").between(0, grid["height"] - 1) & F.col("col").between(0, grid["width"] - 1)
+        # One row per cell of the extent: the metadata bounds the lookup side.
+        wide = stack(cells.filter(inside), members)
+        joined = lookup_join(placed, wide, ["row", "col"], "left", bound=grid["width"] * grid["height"])
         filled: dict[str, Column] = {}
         for n in members:
             nodata = info[n]["nodata"]
@@ -229,6 +229,29 @@ def apply_mask(
     ).drop("_inside")
 
 
+def suggested_grid(spark: SparkSession, source: Row | dict[str, Any], steps: int = 21) -> dict[str, Any]:
+    """A projected grid for a geographic raster: its outline's bounds, square
+    cells that keep the number of cells along the diagonal."""
+    width, height = int(source["width"]), int(source["height"])
+    along = spark.range(steps * steps).select(
+        (F.pmod("id", F.lit(steps)) / F.lit(steps - 1)).alias("u"), (F.floor(F.col("id") / steps) / F.lit(steps - 1)).alias("w")
+    )
+    lon = F.lit(float(source["x0"])) + F.col("u") * F.lit(float(source["dx"]) * width)
+    lat = F.lit(float(source["y0"])) - F.col("w") * F.lit(float(source["dy"]) * height)
+    x, y = albers_forward(lon, lat)
+    corner = (F.col("u") == F.col("w")) & F.col("u").isin(0.0, 1.0)
+    e = along.select(x.alias("x"), y.alias("y"), F.when(corner, F.col("u")).alias("corner")).agg(
+        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y1"), F.max("y").alias("y0"),
+        F.max(F.when(F.col("corner") == 0, F.col("x"))).alias("ax"), F.max(F.when(F.col("corner") == 0, F.col("y"))).alias("ay"),
+        F.max(F.when(F.col("corner") == 1, F.col("x"))).alias("bx"), F.max(F.when(F.col("corner") == 1, F.col("y"))).alias("by"),
+    ).first()
+    step = math.hypot(e["bx"] - e["ax"], e["by"] - e["ay"]) / math.hypot(width, height)
+    return {
+        "x0": e["x0"], "y0": e["y0"], "dx": step, "dy": step, "nodata": source["nodata"],
+        "width": max(1, int((e["x1"] - e["x0"]) / step + 0.5)), "height": max(1, int((e["y0"] - e["y1"]) / step + 0.5)),
+    }
+
+
 def reproject(
     cells: DataFrame, source: Row | dict[str, Any], target: Row | dict[str, Any], spark: SparkSession
 ) -> DataFrame:

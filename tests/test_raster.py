@@ -59,7 +59,7 @@ def test_crowded_cell_gives_the_same_result(spark, rasters, monkeypatch):
     )
     want = sorted(map(tuple, raster.sample_at_points(points, cells, meta, ["a", "c"]).collect()))
     original = joins.lookup_join
-    monkeypatch.setattr(raster, "lookup_join", lambda *a, **k: original(*a, **{**k, "small_rows": 1}))
+    monkeypatch.setattr(raster, "lookup_join", lambda *a, **k: original(*a, **{**k, "small_rows": 1, "bound": None}))
     assert sorted(map(tuple, raster.sample_at_points(points, cells, meta, ["a", "c"]).collect())) == want
 
 
@@ -128,6 +128,17 @@ def test_reproject_takes_the_cell_under_each_centre(spark):
     assert hits > 50
 
 
+def test_suggested_grid_holds_the_whole_source(spark):
+    source = {"x0": 130.0, "y0": -20.0, "dx": 0.5, "dy": 0.5, "width": 20, "height": 30, "nodata": -1.0}
+    grid = raster.suggested_grid(spark, source)
+    assert grid["dx"] == grid["dy"] and 45_000 < grid["dx"] < 60_000 and grid["nodata"] == -1.0
+    cells = _cells(spark, "a", 20, 30, lambda i: i).drop("covariate")
+    out = raster.reproject(cells, source, grid, spark)
+    assert out.count() == grid["width"] * grid["height"]
+    seen = out.filter("value >= 0").agg(F.count_distinct("value")).first()[0]
+    assert seen > 0.8 * 600
+
+
 FEATURES = [
     ('{"type":"Feature","properties":{"t":1.5,"w":2},"geometry":{"type":"Point","coordinates":[1,2]}}', (1.5, 1.0, 2.0)),
     ('{"type":"Feature","properties":{"t":2},"geometry":{"type":"Point","coordinates":[1.5, -2e1, 7]}}', (2.0, 1.5, -20.0)),
