@@ -10,7 +10,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.split import subsample, resample
+from ..operators.split import resample, subsample
+from ..session import held
 from .base import Fitted, FittedPipeline, MLlibModel, Model
 from .kernel import KernelRegressor
 from .linear import GramRegressor
@@ -90,8 +91,6 @@ class BootstrappedRegressor(Model):
         return copies.withColumn(self.key, renamed).drop("copies", "_copy")
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedEnsemble:
-        from ..session import held
-
         if self.resample_each:
             members = []
             for i in range(self.n_models):
@@ -154,11 +153,10 @@ def voting_members(key: str = "key", scale: float = 1.0) -> list[Model]:
 class SuperLearner(Model):
     def __init__(self, members: Sequence[Model] | None = None, key: str = "key"):
         self.members = list(members) if members is not None else voting_members(key)
+        self.key = key
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedEnsemble:
-        from ..session import held
-
-        keep = [c for c in ("key",) if c in df.columns]
+        keep = [c for c in (self.key,) if c in df.columns]
         with held(df.select(*keep, *features, label)) as table:
             return FittedEnsemble([m.fit(table, features, label) for m in self.members])
 

@@ -86,7 +86,7 @@ def kfold_assign(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fold_sizes",
     f"WITH {v.CLEAN_SQL}, {v.sql_folds('clean', 7)} SELECT fold, count(*) AS test_rows,"
-    " sum(count(*)) OVER () - count(*) AS train_rows FROM folds GROUP BY fold",
+    " CAST(sum(count(*)) OVER () - count(*) AS BIGINT) AS train_rows FROM folds GROUP BY fold",
 )
 def fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
     sizes = split.assign_folds(v.clean_training(spark, sf), "key", 7).groupBy("fold").agg(F.count(F.lit(1)).alias("test_rows"))
@@ -322,7 +322,7 @@ def _event_features(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "geojson_points",
     f"WITH {_GEO} SELECT event_id, CAST(CASE WHEN kind = 5 THEN NULL ELSE k END AS DOUBLE) AS target,"
-    " gx + 0.5 AS x, gy + 0.25 AS y FROM geo WHERE kind NOT IN (3, 4)",
+    " CAST(gx + 0.5 AS DOUBLE) AS x, CAST(gy + 0.25 AS DOUBLE) AS y FROM geo WHERE kind NOT IN (3, 4)",
 )
 def geojson_points(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = point_ops.normalise_points(_event_features(spark, sf), "k")

@@ -135,8 +135,8 @@ def sql_holdout(source: str, percentage: float, seed: str | int = 0, name: str =
 # ---- rasters --------------------------------------------------------------------------------
 
 META_SQL = f"""meta AS (
-  SELECT r.raster, r.n_bands, {GRID_WIDTH} AS width, CAST(h.height AS INTEGER) AS height, {X0} AS x0, {Y0} AS y0,
-    {STEP} AS dx, {STEP} AS dy, r.nodata
+  SELECT r.raster, r.n_bands, {GRID_WIDTH} AS width, CAST(h.height AS INTEGER) AS height, CAST({X0} AS DOUBLE) AS x0,
+    CAST({Y0} AS DOUBLE) AS y0, CAST({STEP} AS DOUBLE) AS dx, CAST({STEP} AS DOUBLE) AS dy, r.nodata
   FROM (SELECT 'price' AS raster, 1 AS n_bands, CAST(-9999.0 AS DOUBLE) AS nodata
         UNION ALL SELECT 'parts', 2, CAST(NULL AS DOUBLE)) r,
        (SELECT max(p_partkey) // {GRID_WIDTH} + 1 AS height FROM part) h)"""

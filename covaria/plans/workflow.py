@@ -23,7 +23,7 @@ from ..operators.scoring import fit_and_predict, out_of_fold, predicted_vs_real
 from ..operators.sets import match_exact
 from ..operators.split import assign_folds, assign_group_folds, holdout
 from ..schema import covariates_of
-from ..session import held
+from ..session import cut_lineage, held
 from .config import RankingConfig, WorkflowConfig
 
 
@@ -81,9 +81,11 @@ def prepare(inputs: Inputs, conf: WorkflowConfig) -> Prepared:
     t = conf.target
 
     def table(features: DataFrame, prop: str | None) -> tuple[DataFrame, DataFrame]:
-        return build_training_table(
+        rows, lost = build_training_table(
             features, inputs.cells, inputs.meta, conf.covariates, prop, t.weight, t.group, t.geographic
         )
+        # Sampling the rasters is the costly part: splits and folds read its result.
+        return cut_lineage(rows), lost
 
     training, rejects = table(inputs.features, t.property)
     if t.group is not None:

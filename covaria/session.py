@@ -60,12 +60,14 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where no such folder is configured (tests, a laptop) is a local
-    temporary folder used.
+    Only a local master (tests, a laptop) may go without such a folder; it
+    gets a temporary one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return f"{base.rstrip('/')}/covaria-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="covaria-")
 
 
