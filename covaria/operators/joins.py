@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from ..session import held
 
 # A side is broadcast only after a count proved that it has at most this many rows.
 BROADCAST_ROWS = 100_000
@@ -21,13 +23,12 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[tuple]:
     """Keys that hold more than 1/share of the rows: fewer than `share` of them.
 
-    One pre-aggregated pass; the total is observed on the way.
+    One pre-aggregated pass over the rows; the counts are kept for the total.
     """
-    total = Observation()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(total, F.sum("_n").alias("n"))
-    largest = counts.orderBy(F.desc("_n")).limit(share).collect()
-    n = total.get["n"] or 0
-    return [tuple(r[k] for k in keys) for r in largest if r["_n"] * share > n]
+    with held(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))) as counts:
+        n = counts.agg(F.sum("_n")).first()[0] or 0
+        largest = counts.filter(F.col("_n") * F.lit(share) > F.lit(n)).collect()
+    return [tuple(r[k] for k in keys) for r in largest]
 
 
 def lookup_join(
