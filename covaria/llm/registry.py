@@ -8,7 +8,7 @@ from ..plans.registry import Query, Run
 
 QUERIES: dict[str, Query] = {}
 
-MODULES = ("simhash",)
+MODULES = ("warc", "token_cache", "simhash")
 
 
 def query(name: str, sql: str | None = None):
