@@ -8,7 +8,7 @@ from ..plans.registry import Query, Run
 
 QUERIES: dict[str, Query] = {}
 
-MODULES = ("warc", "token_cache", "simhash", "decontaminate")
+MODULES = ("warc", "token_cache", "simhash", "decontaminate", "packing", "templates")
 
 
 def query(name: str, sql: str | None = None):
