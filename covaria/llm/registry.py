@@ -8,7 +8,7 @@ from ..plans.registry import Query, Run
 
 QUERIES: dict[str, Query] = {}
 
-MODULES = ("warc", "token_cache", "toxicity", "simhash", "decontaminate", "language", "packing", "templates")
+MODULES = ("warc", "extract", "token_cache", "toxicity", "simhash", "decontaminate", "language", "packing", "templates")
 
 
 def query(name: str, sql: str | None = None):
