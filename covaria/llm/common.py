@@ -53,6 +53,18 @@ def spread_join(
     return out.select(*left.columns, *[F.coalesce(f"_h_{c}", f"_c_{c}").alias(c) for c in added])
 
 
+def plain_names(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """`df` with columns c0, c1, ... in their order, and their real names, so added columns cannot clash with them."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), df.columns
+
+
+def without(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of `df` whose id is not in the one column of `ids`; null counts as equal to null."""
+    plain, names = plain_names(df)
+    gone = ids.toDF("_gone").distinct()
+    return plain.join(gone, plain[f"c{names.index(id_col)}"].eqNullSafe(gone["_gone"]), "left_anti").toDF(*names)
+
+
 def _hung(left: DataFrame, key: str, low: DataFrame) -> DataFrame:
     """Rows of `left` with the smallest neighbour of `key` beside them (`low`: key, _m, _n)."""
     total = left.agg(F.count(F.lit(1))).first()[0]

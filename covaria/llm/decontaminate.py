@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import plain_names, table, without
 from .registry import query
 
 WINDOW = 10
@@ -15,6 +15,8 @@ WINDOW = 10
 BROADCAST_WINDOWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# A word with what stands before it, or what stands after the last word; upper case counts.
+PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+$"
 
 
 def words(text: Column) -> Column:
@@ -100,25 +102,29 @@ def covered(spans: Column) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` without any benchmark window."""
-    hit = scan(docs, benchmark, window, id_col, text_col).filter(F.size("spans") > 0).select(F.col("id").alias("_hit")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(F.col("_hit")), "left_anti")
+    hit = scan(docs, benchmark, window, id_col, text_col).filter(F.size("spans") > 0)
+    return without(docs, hit.select("id"), id_col)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the words of hit spans taken out of the text; other texts stay as they are.
 
-    A cut text is the words that are left with what stands between them; a
-    removed word goes with what follows it up to the next word.
+    A removed word goes with what stands between it and the word before.
+    Rows that share an id and differ in text lose the spans of one of them, so
+    ids are meant to be unique here.
     """
     hits = scan(docs, benchmark, window, id_col, text_col).filter(F.size("spans") > 0)
-    hits = hits.groupBy(F.col("id").alias("_hit")).agg(F.first("spans").alias("_spans"))
-    joined = docs.join(hits, docs[id_col].eqNullSafe(F.col("_hit")), "left")
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"[^0-9A-Za-z\x{80}-\x{10FFFF}]*[0-9A-Za-z\x{80}-\x{10FFFF}]+|[^0-9A-Za-z\x{80}-\x{10FFFF}]+$"), F.lit(0))
-    gone = lambda i: F.exists("_spans", lambda s: (s["at"] <= i) & (i < s["at"] + s["len"]))
-    left = F.filter(pieces, lambda p, i: ~gone(i + 1))
-    return joined.withColumn(
-        text_col, F.when(F.col("_hit").isNull() & F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(left, ""))
-    ).drop("_hit", "_spans")
+    hits = hits.groupBy("id").agg(F.first("spans").alias("spans"))
+    plain, names = plain_names(docs)
+    key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    joined = plain.join(hits, plain[key].eqNullSafe(hits["id"]), "left")
+    pieces = F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0))
+
+    def kept(_: Column, i: Column) -> Column:
+        return ~F.exists("spans", lambda s: (s["at"] <= i + 1) & (i + 1 < s["at"] + s["len"]))
+
+    left = F.array_join(F.filter(pieces, kept), "")
+    return joined.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(left)).select(*plain.columns).toDF(*names)
 
 
 OP7_SQL = f"""

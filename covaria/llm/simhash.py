@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import cut_lineage
-from .common import components, spread_join, table
+from .common import components, spread_join, table, without
 from .registry import query
 
 SEED = 42
@@ -36,7 +36,7 @@ def _portions(text: bytes) -> Iterator[list[bytes]]:
 def fingerprint(text: bytes | None, size: int = 4) -> int:
     """SimHash over the word shingles of one text, as a signed number of 64 bits."""
     counts, total, kept = np.zeros(2048, np.int64), 0, []
-    digest, hasher = xxhash.xxh64_digest, []
+    digest = xxhash.xxh64_digest
     for words in _portions(text or b""):
         words = kept + words
         if len(words) < size:
@@ -45,10 +45,10 @@ def fingerprint(text: bytes | None, size: int = 4) -> int:
         line = b" ".join(words)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         begins = np.concatenate(([0], ends[:-1] + 1))
-        hasher = [digest(line[a:b], SEED) for a, b in zip(begins[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())]
-        at = np.frombuffer(b"".join(hasher), np.uint8).reshape(-1, 8) + _PLACES
+        shingles = [digest(line[a:b], SEED) for a, b in zip(begins[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())]
+        at = np.frombuffer(b"".join(shingles), np.uint8).reshape(-1, 8) + _PLACES
         counts += np.bincount(at.ravel(), minlength=2048)
-        total += len(hasher)
+        total += len(shingles)
         kept = words[len(words) - size + 1 :]
     if not total:
         if not kept:
@@ -70,8 +70,6 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             fps = np.fromiter((fingerprint(t, size) for t in (x.as_py() for x in texts)), np.int64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["id", "fp"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())])
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -205,8 +203,8 @@ def groups(
     """(id, fp, component) for each row: component is the smallest id reachable over linked fingerprints.
 
     Rows with equal fingerprints are one node, so copies never make pairs.
-    Rows without an id keep a null component and link nothing; repeated ids
-    are separate rows of one component only if their fingerprints link.
+    Ids are integers.  Rows without an id keep a null component and link
+    nothing; rows that share an id are meant to be one document.
     Null or empty texts have fingerprint 0 and link like any other.
     An empty table gives an empty result.
     """
@@ -225,8 +223,8 @@ def groups(
 
 def keep_one(docs: DataFrame, distance: int = 4, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose id is the smallest of its group; rows without an id stay."""
-    gone = groups(docs, distance, size, id_col, text_col).filter("id != component").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = groups(docs, distance, size, id_col, text_col).filter("id != component").select("id")
+    return without(docs, gone, id_col)
 
 
 @query("op5_simhash_near_dedup")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import cut_lineage
-from .common import spread_join, table
+from .common import plain_names, spread_join, table
 from .registry import query
 
 # Lines under MIN_WORDS words are left alone; under FIELD_WORDS only masked fields may differ.
@@ -102,16 +102,19 @@ def dropped_lines(
     return met.filter("keeper < id").groupBy("id").agg(F.collect_set("line").alias("lines"))
 
 
-def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `_lines` and `_dropped` beside a text that has lost its dropped lines."""
+def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
+    """`docs` under the names c0, c1, ... with a text that has lost its lines, `n_lines` and `n_dropped`; and the real names."""
+    plain, names = plain_names(docs)
+    key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     gone = dropped.select(F.col("id").alias("_id"), F.col("lines").alias("_gone"))
-    joined = docs.join(gone, docs[id_col] == gone["_id"], "left")
-    lines = F.split(F.col(text_col), "\n", -1)
+    joined = plain.join(gone, plain[key] == gone["_id"], "left")
+    lines = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    return joined.withColumns({
-        "_lines": F.coalesce(F.size(lines), F.lit(0)), "_dropped": F.coalesce(F.size("_gone"), F.lit(0)),
-        text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left),
-    }).drop("_id", "_gone")
+    return joined.select(
+        *[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text else c for c in plain.columns],
+        F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_dropped"),
+    ), names
 
 
 def drop_templates(
@@ -123,14 +126,13 @@ def drop_templates(
     stay null.  Lines repeated within one document only are kept.  Rows that
     share an id share what they lose.
     """
-    kept = without_lines(docs, dropped_lines(docs, min_docs, id_col, text_col, **tree), id_col, text_col)
-    return kept.select(*docs.columns)
+    kept, names = without_lines(docs, dropped_lines(docs, min_docs, id_col, text_col, **tree), id_col, text_col)
+    return kept.drop("n_lines", "n_dropped").toDF(*names)
 
 
 @query("op10_line_templates")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """Each document with its remaining text, its number of lines, and how many of them were dropped."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return without_lines(docs, dropped_lines(docs)).select(
-        "doc_id", "text", F.col("_lines").cast("long").alias("n_lines"), F.col("_dropped").cast("long").alias("n_dropped")
-    )
+    kept, names = without_lines(docs, dropped_lines(docs))
+    return kept.toDF(*names, "n_lines", "n_dropped")

@@ -15,7 +15,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import cut_lineage
-from .common import table
+from .common import plain_names, table
 from .language import fold
 from .registry import query
 
@@ -213,6 +213,18 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN, rounds: int = 20, depth:
     return ToxicityModel(lexicon, base, trees, isotonic)
 
 
+def _scored(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """`rows` (columns c0, c1, ..., the last `text`) with `score` in place of the text."""
+    kept = rows.columns[:-1]
+    if model.trees is None:
+        return rows.select(*kept, F.lit(model.base).cast("double").alias("score"))
+    seen = with_features(rows, model.lexicon).withColumn("features", array_to_vector("x"))
+    raw = model.trees.transform(seen).select(*kept, vector_to_array("probability")[1].alias("p"))
+    if model.isotonic is None:
+        return raw.withColumnRenamed("p", "score")
+    return model.isotonic.transform(raw).select(*kept, (F.col("prediction") * 0.999 + F.col("p") * 0.001).alias("score"))
+
+
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) for each row, from the whole text.
 
@@ -220,15 +232,14 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     own, which orders rows that share a step of the isotonic map.  Null and
     empty texts are scored as texts without any feature.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    if model.trees is None:
-        return rows.select("id", F.lit(model.base).cast("double").alias("score"))
-    seen = with_features(rows, model.lexicon).withColumn("features", array_to_vector("x"))
-    raw = model.trees.transform(seen).select("id", vector_to_array("probability")[1].alias("p"))
-    if model.isotonic is None:
-        return raw.select("id", F.col("p").alias("score"))
-    fitted = model.isotonic.transform(raw)
-    return fitted.select("id", (F.col("prediction") * 0.999 + F.col("p") * 0.001).alias("score"))
+    return _scored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model)
+
+
+def keep_civil(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with a score under the threshold; every row is judged by itself, without a shuffle."""
+    plain, names = plain_names(docs)
+    rows = plain.withColumn("text", F.col(f"c{names.index(text_col)}"))
+    return _scored(rows, model).filter(F.col("score") < threshold).drop("score").toDF(*names)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
