@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -33,27 +34,46 @@ def counter(path: str) -> Callable[[str], int]:
 
     This tokenizer turns every white space into a space, never joins across
     it and drops it, so the count of a text is the sum over its pieces between
-    blanks; the counts of short pieces are remembered.
+    blanks; the counts of short pieces are remembered.  It ignores case, and a
+    full stop or comma after a letter is a token of its own; so an ASCII piece
+    is looked up without them.
     """
+    # One text is short work: threads of the library's own would only wait for each other.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[str, int] = {}
+    known: dict[str, int] = {}  # by piece as it stands
+    roots: dict[str, int] = {}  # by ASCII piece in lower case without its stop
+
+    def encode(pieces: list[str]) -> list[int]:
+        return [len(code) for code in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def count(text: str | None) -> int:
         pieces = (text or "").replace("\n", " ").split(" ")
-        new = list({p for p in pieces if p not in known})
-        passing = {}
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for piece, code in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-                (known if len(piece) <= PIECE else passing)[piece] = len(code.ids)
+        new = {p for p in pieces if p not in known}
+        passing: dict[str, int] = {}
+        plain = {}
+        for p in new:
+            root = p.lower() if p.isascii() and "<|" not in p else p  # special strings keep their case
+            stop = len(root) > 1 and root[-1] in ".," and root[-2].isalpha() and root.isascii()
+            plain[p] = (root[:-1] if stop else root, stop)
+        fresh = list({root for root, _ in plain.values() if root not in roots})
+        for start in range(0, len(fresh), 4096):
+            part = fresh[start : start + 4096]
+            roots.update(zip(part, encode(part)))
+        for p, (root, stop) in plain.items():
+            (known if len(p) <= PIECE else passing)[p] = roots[root] + stop
+        for root in fresh:
+            if len(root) > PIECE:
+                del roots[root]
         if passing:
             total = sum(known[p] if p in known else passing[p] for p in pieces)
         else:
             total = sum(map(known.__getitem__, pieces))
-        if len(known) > REMEMBERED:
-            known.clear()
+        for kept in (known, roots):
+            if len(kept) > REMEMBERED:
+                kept.clear()
         return total
 
     return count
