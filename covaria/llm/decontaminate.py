@@ -14,7 +14,8 @@ WINDOW = 10
 # The window set is broadcast up to this many rows (about 100 bytes each); beyond it the join shuffles.
 BROADCAST_WINDOWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# All but \x00-\x2F, \x3A-\x60 and \x7B-\x7F, said in the positive: negated unions of ranges match many times slower.
+WORD = r"[0-9a-z\x{80}-\x{10FFFF}]++"
 # A word with what stands before it, or what stands after the last word; upper case counts.
 PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+$"
 
