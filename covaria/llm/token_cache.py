@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -28,47 +29,75 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# Byte-level models write bytes as characters: printable ones as they are, the others from 256 on.
+_KEPT = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _KEPT)}
+
+
+def splits_at_blanks(tokenizer) -> bool:
+    """Whether the tokenizer works on lower-cased words, each by itself: the steps that `counter` relies on."""
+    made = json.loads(tokenizer.to_str())
+    steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+    cuts = [x["type"] for x in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    return made["model"]["type"] == "BPE" and steps == ["NFC", "Replace", "Lowercase"] and cuts == ["Split", "ByteLevel"]
+
+
 @lru_cache(maxsize=4)
 def counter(path: str) -> Callable[[str], int]:
     """Counts tokens as the library does.
 
-    This tokenizer turns every white space into a space, never joins across
-    it and drops it, so the count of a text is the sum over its pieces between
-    blanks; the counts of short pieces are remembered.  It ignores case, and a
-    full stop or comma after a letter is a token of its own; so an ASCII piece
-    is looked up without them.
+    A tokenizer that turns white space into blanks, never joins across them
+    and drops them has for a text the sum over its pieces between blanks; the
+    counts of short pieces are remembered.  Such a tokenizer ignores case, and
+    a full stop or comma after a letter is a token of its own, so pieces of
+    Latin-1 characters are looked up without them.  A plain word goes to the
+    library's model at once.  Other tokenizers get whole texts.
     """
     # One text is short work: threads of the library's own would only wait for each other.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    if not splits_at_blanks(tokenizer):
+        return lambda text: len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+    model = tokenizer.model
     known: dict[str, int] = {}  # by piece as it stands
-    roots: dict[str, int] = {}  # by ASCII piece in lower case without its stop
+    roots: dict[str, int] = {}  # by piece in lower case without its stop
 
     def encode(pieces: list[str]) -> list[int]:
         return [len(code) for code in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def count(text: str | None) -> int:
         pieces = (text or "").replace("\n", " ").split(" ")
-        new = {p for p in pieces if p not in known}
-        passing: dict[str, int] = {}
-        plain = {}
-        for p in new:
-            root = p.lower() if p.isascii() and "<|" not in p else p  # special strings keep their case
-            stop = len(root) > 1 and root[-1] in ".," and root[-2].isalpha() and root.isascii()
-            plain[p] = (root[:-1] if stop else root, stop)
-        fresh = list({root for root, _ in plain.values() if root not in roots})
-        for start in range(0, len(fresh), 4096):
-            part = fresh[start : start + 4096]
+        plain: dict[str, tuple[str, bool]] = {}
+        other = []
+        for p in {p for p in pieces if p not in known}:
+            if p > "" and max(p) < "\u0100" and "<|" not in p:  # special strings keep their case
+                root = p.lower()
+                stop = root[-1] in ".," and root[-2:-1].isalpha()
+                if stop:
+                    root = root[:-1]
+                if root not in roots:
+                    if root.isalpha():
+                        seen = root if root.isascii() else root.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+                        roots[root] = len(model.tokenize(seen))
+                    else:
+                        other.append(root)
+            else:
+                root, stop = p, False
+                if root not in roots:
+                    other.append(root)
+            plain[p] = (root, stop)
+        for start in range(0, len(other), 4096):
+            part = other[start : start + 4096]
             roots.update(zip(part, encode(part)))
+        passing = {}
         for p, (root, stop) in plain.items():
             (known if len(p) <= PIECE else passing)[p] = roots[root] + stop
-        for root in fresh:
-            if len(root) > PIECE:
-                del roots[root]
         if passing:
             total = sum(known[p] if p in known else passing[p] for p in pieces)
+            for p in passing:
+                roots.pop(plain[p][0], None)
         else:
             total = sum(map(known.__getitem__, pieces))
         for kept in (known, roots):
