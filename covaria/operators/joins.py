@@ -5,30 +5,69 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..session import held
-
-# A side is broadcast only after a count proved that it has at most this many rows.
+# A side is broadcast only if it is proved to have at most this many rows and bytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 # A key is hot when it holds more than 1/HOT_SHARE of the rows; so there are
 # fewer than HOT_SHARE hot keys, whatever the data.
 HOT_SHARE = 1000
+# Counters of the heavy-hitter sketch: its error is far below the hot share.
+SKETCH = 32_768
+# Rows of a hot key are dealt out to this many places.
+PLACES = 64
+
+
+def row_bytes(df: DataFrame) -> int:
+    """A generous estimate of the bytes of one row, from the types alone."""
+
+    def size(t: T.DataType) -> int:
+        if isinstance(t, T.StructType):
+            return sum(size(f.dataType) for f in t.fields)
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            return 64
+        if isinstance(t, T.ArrayType):
+            return 64 * size(t.elementType)
+        if isinstance(t, T.MapType):
+            return 64 * (size(t.keyType) + size(t.valueType))
+        return 16
+
+    return 32 + size(df.schema)
+
+
+def fits(df: DataFrame, count: int, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether `count` rows of this table are few and small enough for a broadcast."""
+    return count <= rows and count * row_bytes(df) <= BROADCAST_BYTES
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+    """Counted in full, by partial counts: no task meets more than one number of each other task."""
+    return fits(df, df.count(), rows)
+
+
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def _heavy_hashes(df: DataFrame, keys: Sequence[str], share: int) -> tuple[list[int], int]:
+    """Key hashes that may hold more than 1/share of the rows, and the number of rows: one pass, bounded memory."""
+    row = df.select(_key_hash(keys).alias("_h")).agg(
+        F.expr(f"approx_top_k(_h, {2 * share}, {SKETCH})").alias("top"), F.count(F.lit(1)).alias("n")
+    ).first()
+    return [t["item"] for t in row["top"] or [] if t["count"] * share > row["n"]], row["n"]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[tuple]:
     """Keys that hold more than 1/share of the rows: fewer than `share` of them.
 
-    One pre-aggregated pass over the rows; the counts are kept for the total.
+    A sketch names the candidates in one pass; only these are counted.
     """
-    with held(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))) as counts:
-        n = counts.agg(F.sum("_n")).first()[0] or 0
-        largest = counts.filter(F.col("_n") * F.lit(share) > F.lit(n)).collect()
-    return [tuple(r[k] for k in keys) for r in largest]
+    heavy, n = _heavy_hashes(df, keys, share)
+    if not heavy:
+        return []
+    counts = df.filter(_key_hash(keys).isin(heavy)).groupBy(*keys).count().filter(F.col("count") * share > n).collect()
+    return [tuple(r[k] for k in keys) for r in counts]
 
 
 def lookup_join(
@@ -38,39 +77,34 @@ def lookup_join(
     how: str = "left",
     small_rows: int = BROADCAST_ROWS,
     bound: int | None = None,
+    unique_left: bool = False,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Join `left` to a table with one row per key.
+    """Join `left` to a table with one row per key; each side is read once.
 
     A lookup table of proven small size is broadcast: `bound` is a row count
-    that `right` cannot exceed, and without it the rows are counted (up to the
-    limit).  Otherwise both sides
-    are shuffled, but rows of hot keys stay where they are: they find their
-    (fewer than HOT_SHARE) lookup rows in a broadcast.  Very many rows with a
-    null key stay as well, since they match nothing.
+    that `right` cannot exceed, and without it the rows are counted.
+    Otherwise both sides are shuffled once.  Rows of hot keys are dealt out to
+    PLACES places, and the fewer than HOT_SHARE lookup rows of these keys are
+    copied to each; rows with a null key, which match nothing, are dealt out
+    as well.
+
+    `unique_left` says that no key repeats, so none is looked for.  `probe`
+    is a cheaper table with the same keys in which to look for hot ones.
     """
     keys = list(keys)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join does not support {how!r}")
-    if bound <= small_rows if bound is not None else is_small(right, small_rows):
+    if fits(right, bound, small_rows) if bound is not None else is_small(right, small_rows):
         return left.join(F.broadcast(right), keys, how)
-
-    found = hot_keys(left, keys)
-    if not found:
+    if unique_left:
         return left.join(right, keys, how)
-    hot = [k for k in found if None not in k]
-    order = [*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys]]
-    parts = []
-    travelling = left
-    if hot:
-        names = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*keys).schema))
-        values = right.join(names, keys, "left_semi")
-        parts.append(left.join(names, keys, "left_semi").join(F.broadcast(values), keys, how))
-        travelling = left.join(names, keys, "left_anti")
-    if len(hot) < len(found):
-        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        if how == "left":
-            blank = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in keys]
-            parts.append(left.filter(~present).select("*", *blank))
-        travelling = travelling.filter(present)
-    parts.append(travelling.join(right, keys, how))
-    return reduce(lambda a, b: a.unionByName(b), [p.select(*order) for p in parts])
+
+    heavy, _ = _heavy_hashes(left if probe is None else probe, keys, HOT_SHARE)
+    absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    hot = _key_hash(keys).isin(heavy) if heavy else F.lit(False)
+    hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    place = F.when(hot | absent, F.pmod(F.xxhash64(*hashed), F.lit(PLACES)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
+    joined = left.withColumn("_place", place).join(right.withColumn("_place", F.explode(copies)), [*keys, "_place"], how)
+    return joined.drop("_place")

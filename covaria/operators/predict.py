@@ -18,7 +18,7 @@ def grid_features(
     """(row, col, x, y, features...) for every grid point; gaps hold -9999."""
     grid = prediction_grid(spark, grid_axes(area))
     row, col = cell_of(F.col("x"), F.col("y"), area)
-    sampled = sample_at_points(grid, cells, meta, features)
+    sampled = sample_at_points(grid, cells, meta, features, unique=area)
     return sampled.select(row.alias("row"), col.alias("col"), "*").na.fill(MISSING, list(features))
 
 

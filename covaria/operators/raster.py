@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from ..functions.naming import band_name
 from ..functions.projection import albers_forward, albers_inverse
 from ..schema import MISSING
-from .joins import is_small, lookup_join
+from .joins import fits, is_small, lookup_join
 
 TILE = 256
 
@@ -28,8 +28,22 @@ def _with_meta(df: DataFrame, meta: DataFrame, key: str) -> DataFrame:
     return df.join(side, key)
 
 
-def split_bands(cells: DataFrame, meta: DataFrame) -> DataFrame:
-    """One single-band covariate per band: (covariate, row, col, value)."""
+def split_bands(cells: DataFrame, meta: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """One single-band covariate per band: (covariate, row, col, value).
+
+    With `names` only these covariates.  They are turned into raster names and
+    bands first, so the choice reaches the scan of the stored cells.
+    """
+    if names is not None:
+        listed = band_meta(meta.withColumn("_raster", F.col("raster"))).filter(F.col("covariate").isin(list(names)))
+        stored = [(r["_raster"], r["band"]) for r in listed.select("_raster", "band").collect()]  # metadata only
+        by_raster: dict[str, list[int]] = {}
+        for raster, band in stored:
+            by_raster.setdefault(raster, []).append(band)
+        chosen = F.lit(False)
+        for raster, bands in by_raster.items():
+            chosen = chosen | ((F.col("raster") == raster) & F.col("band").isin(bands))
+        cells = cells.filter(chosen)
     named = _with_meta(cells, meta.select("raster", "n_bands"), "raster")
     return named.select(
         band_name(F.col("raster"), F.col("band"), F.col("n_bands")).alias("covariate"), "row", "col", "value"
@@ -92,9 +106,13 @@ def sample_at_points(
     outside: str = "nodata",
     x: str = "x",
     y: str = "y",
+    unique: Row | dict[str, Any] | None = None,
 ) -> DataFrame:
     """Add one column per covariate: the value of the cell under each point.
 
+    If the points are few, only the cells under them are stacked.  `unique`
+    is a grid that has one point in each cell: there no hot cell is looked for.
+
     Covariates on one grid are stacked first, so the points travel once per
     grid, not once per covariate, and need no pivot afterwards.  Outside the
     extent the value is the covariate's nodata number, or 0 if it has none;
@@ -102,13 +120,22 @@ def sample_at_points(
     """
     out = points
     groups, info = _grid_groups(meta, names)
+    few = unique is None and fits(points.select(x, y), points.count())
     for grid, members in groups:
         row, col = cell_of(F.col(x), F.col(y), grid)
         placed = out.withColumns({"row": row, "col": col})
         inside = F.col("row").between(0, grid["height"] - 1) & F.col("col").between(0, grid["width"] - 1)
+        # The cells under the points, whatever grids were sampled before.
+        places = points.select(row.alias("row"), col.alias("col"))
+        near = cells.filter(inside)
+        if few:
+            near = near.join(F.broadcast(places.filter(inside)), ["row", "col"], "left_semi")
         # One row per cell of the extent: the metadata bounds the lookup side.
-        wide = stack(cells.filter(inside), members)
-        joined = lookup_join(placed, wide, ["row", "col"], "left", bound=grid["width"] * grid["height"])
+        wide = stack(near, members)
+        alone = unique is not None and all(grid[k] == unique[k] for k in ("x0", "y0", "dx", "dy"))
+        joined = lookup_join(
+            placed, wide, ["row", "col"], "left", bound=grid["width"] * grid["height"], unique_left=alone, probe=places
+        )
         filled: dict[str, Column] = {}
         for n in members:
             nodata = info[n]["nodata"]
@@ -126,20 +153,54 @@ def tiles(cells: DataFrame, size: int = TILE) -> DataFrame:
     bounded.
     """
     index = F.pmod(F.col("row"), F.lit(size)) * F.lit(size) + F.pmod(F.col("col"), F.lit(size))
-    packed = (
-        cells.groupBy(
-            "covariate",
-            F.floor(F.col("row") / size).cast("int").alias("tile_row"),
-            F.floor(F.col("col") / size).cast("int").alias("tile_col"),
-        )
-        .agg(F.map_from_entries(F.collect_list(F.struct(index.alias("i"), F.col("value")))).alias("_m"))
-    )
-    slots = F.sequence(F.lit(0), F.lit(size * size - 1))
+    packed = cells.groupBy(
+        "covariate",
+        F.floor(F.col("row") / size).cast("int").alias("tile_row"),
+        F.floor(F.col("col") / size).cast("int").alias("tile_col"),
+    ).agg(F.collect_list(F.struct(index.cast("int").alias("i"), F.col("value"))).alias("_cells"))
+    # Slots without a cell join the list as nulls; one sort brings all into place.
+    slots = F.array_except(F.sequence(F.lit(0), F.lit(size * size - 1)), F.transform("_cells", lambda c: c["i"]))
+    blank = F.lit(None).cast(cells.schema["value"].dataType)
+    empty = F.transform(slots, lambda i: F.struct(i.alias("i"), blank.alias("value")))
     return packed.select(
-        "covariate", "tile_row", "tile_col", F.transform(slots, lambda i: F.col("_m")[i]).alias("values")
+        "covariate", "tile_row", "tile_col",
+        F.transform(F.array_sort(F.concat("_cells", empty)), lambda c: c["value"]).alias("values"),
     )
 
 
+def sample_tiles_at_points(
+    points: DataFrame, tiled: DataFrame, meta: DataFrame, names: Sequence[str], size: int = TILE, x: str = "x", y: str = "y"
+) -> DataFrame:
+    """As `sample_at_points`, from tiles: points meet tiles, and each takes its slot of the tile.
+
+    The shuffle moves one row per tile of the lookup side instead of one per
+    cell; points of a crowded tile are dealt out.
+    """
+    out = points
+    groups, info = _grid_groups(meta, names)
+    for grid, members in groups:
+        row, col = cell_of(F.col(x), F.col(y), grid)
+        inside = row.between(0, grid["height"] - 1) & col.between(0, grid["width"] - 1)
+        place = {"tile_row": F.floor(row / size).cast("int"), "tile_col": F.floor(col / size).cast("int")}
+        placed = out.withColumns({**place, "_inside": inside, "_slot": F.pmod(row, F.lit(size)) * size + F.pmod(col, F.lit(size)) + 1})
+        wide = tiled.filter(F.col("covariate").isin(members)).groupBy("tile_row", "tile_col").agg(
+            *[F.first(F.when(F.col("covariate") == n, F.col("values")), ignorenulls=True).alias(f"_t{i}") for i, n in enumerate(members)]
+        )
+        # A tile is too wide for a broadcast by rows: count cells.
+        tile_count = math.ceil(grid["width"] / size) * math.ceil(grid["height"] / size)
+        joined = lookup_join(
+            placed, wide, ["tile_row", "tile_col"], "left", bound=tile_count * size * size, probe=points.select(*[c.alias(k) for k, c in place.items()])
+        )
+        filled: dict[str, Column] = {}
+        for i, n in enumerate(members):
+            nodata = info[n]["nodata"]
+            gap = F.lit(None if nodata is None else float(nodata)).cast("float")
+            value = F.coalesce(F.get(F.col(f"_t{i}"), F.col("_slot") - 1), gap)
+            filled[n] = F.when(F.col("_inside"), value).otherwise(F.lit(float(nodata or 0.0)).cast("float"))
+        out = joined.withColumns(filled).drop("tile_row", "tile_col", "_inside", "_slot", *[f"_t{i}" for i in range(len(members))])
+    return out.select(*points.columns, *names)
+
+
 def untile(tiled: DataFrame, size: int = TILE) -> DataFrame:
     return (
         tiled.select("covariate", "tile_row", "tile_col", F.posexplode("values").alias("i", "value"))
@@ -223,7 +284,8 @@ def apply_mask(
     if zero_outside:
         keep = keep & (value != 0)
     inside = mask.filter(keep).select("row", "col", F.lit(True).alias("_inside"))
-    joined = lookup_join(grid, inside, ["row", "col"], "left")
+    # A map has one row per cell.
+    joined = lookup_join(grid, inside, ["row", "col"], "left", unique_left=True)
     return joined.withColumn(
         column, F.when(F.col("_inside"), F.col(column)).otherwise(F.lit(missing))
     ).drop("_inside")
@@ -271,7 +333,7 @@ def reproject(
     placed = base.withColumns({"_lon": lon, "_lat": lat})
     row = F.floor((F.lit(float(source["y0"])) - F.col("_lat")) / F.lit(float(source["dy"]))).cast("int")
     col = F.floor((F.col("_lon") - F.lit(float(source["x0"]))) / F.lit(float(source["dx"]))).cast("int")
-    found = lookup_join(placed.select("row_out", "col_out", row.alias("row"), col.alias("col")), cells, ["row", "col"], "left")
+    found = lookup_join(placed.select("row_out", "col_out", row.alias("row"), col.alias("col")), cells, ["row", "col"], "left", unique_left=True)
     nodata = source["nodata"]
     gap = F.lit(None if nodata is None else float(nodata)).cast("float")
     return found.select(

@@ -65,6 +65,19 @@ def point_raster_sample(spark: SparkSession, sf: str) -> DataFrame:
     return sampled.select("point_id", *[F.col(c).cast("double").alias(c) for c in _COVARIATES])
 
 
+@query(
+    "tiled_point_sample",
+    f"WITH {_SAMPLE_SQL} SELECT point_id, CAST(CAST(price AS FLOAT) AS DOUBLE) AS price,"
+    " CAST(CAST(parts_1 AS FLOAT) AS DOUBLE) AS parts_1, CAST(CAST(parts_2 AS FLOAT) AS DOUBLE) AS parts_2 FROM sampled",
+)
+def tiled_point_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """`point_raster_sample` from tiles of the default size."""
+    cells, meta = _single(spark, sf)
+    points = v.points(spark, sf).select("point_id", "x", "y")
+    sampled = raster.sample_tiles_at_points(points, raster.tiles(cells), meta, _COVARIATES)
+    return sampled.select("point_id", *[F.col(c).cast("double").alias(c) for c in _COVARIATES])
+
+
 @query(
     "mask_sample",
     f"WITH {v.MASK_SQL}, {v.POINTS_SQL} SELECT point_id, CAST(value AS DOUBLE) AS value FROM points JOIN mask"
@@ -169,7 +182,7 @@ def mosaic_first_wins(spark: SparkSession, sf: str) -> DataFrame:
 @query("tile_round_trip", f"WITH {v.CELLS_SQL} SELECT covariate, row, col, CAST(value AS DOUBLE) AS value FROM cells")
 def tile_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     cells, _ = _single(spark, sf)
-    back = raster.untile(raster.tiles(cells, 16), 16)
+    back = raster.untile(raster.tiles(cells))
     return back.withColumn("value", F.col("value").cast("double"))
 
 

@@ -53,6 +53,70 @@ def test_small_raster_does_not_shuffle_points(spark):
     assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") == 1
 
 
+def _four_grids(spark, folder):
+    names = ["a", "b", "c", "d"]
+    meta = spark.createDataFrame(
+        [(n, 600, 600, 0.0, 600.0 + i, 1.0, 1.0, None) for i, n in enumerate(names)],
+        "covariate string, width int, height int, x0 double, y0 double, dx double, dy double, nodata double",
+    )
+    cells = spark.range(4 * 3600).select(
+        F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 4 + 1).cast("int")).alias("covariate"),
+        (F.col("id") / 4 / 60).cast("int").alias("row"), ((F.col("id") / 4).cast("int") % 60).alias("col"), F.col("id").cast("float").alias("value"),
+    )
+    # Half of the points are in one cell.
+    points = spark.range(6000).select(
+        "id", F.when(F.col("id") % 2 == 0, 5.5).otherwise(F.col("id") % 60 + 0.5).alias("x"),
+        F.when(F.col("id") % 2 == 0, 580.5).otherwise(600.5 - F.col("id") % 47).alias("y"),
+    )
+    cells.write.parquet(f"{folder}/cells")
+    points.write.parquet(f"{folder}/points")
+    return spark.read.parquet(f"{folder}/points"), spark.read.parquet(f"{folder}/cells"), meta, names
+
+
+def test_sampling_many_grids_reads_the_points_once(spark, tmp_path, monkeypatch):
+    from covaria.operators import joins
+
+    points, cells, meta, names = _four_grids(spark, tmp_path)
+    want = sorted(map(str, raster.sample_at_points(points, cells, meta, names).collect()))
+    # As if nothing were small enough for a broadcast.
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _check_four_grids(spark, joins, points, cells, meta, names, want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _check_four_grids(spark, joins, points, cells, meta, names, want):
+    assert joins.hot_keys(points, ["x", "y"]) == [(5.5, 580.5)]
+    df = raster.sample_at_points(points, cells, meta, names)
+    text = plan(df)
+    assert text.count("SortMergeJoin") == 4 and "BroadcastHashJoin" not in text
+    # Only the final plan's part that runs: one scan of the points, one of the cells for each grid.
+    assert text.count("ReadSchema: struct<id:bigint,x:double,y:double>") == 1
+    assert text.count("ReadSchema: struct<covariate:string,row:int,col:int,value:float>") == 4
+    assert sorted(map(str, df.collect())) == want
+
+
+def test_chosen_bands_reach_the_scan(spark, tmp_path):
+    spark.range(40).select(
+        F.concat(F.lit("r"), (F.col("id") % 10).cast("string")).alias("raster"), (F.col("id") % 2 + 1).cast("int").alias("band"),
+        F.lit(0).alias("row"), F.col("id").cast("int").alias("col"), F.lit(1.0).cast("float").alias("value"),
+    ).write.parquet(f"{tmp_path}/cells")
+    meta = spark.createDataFrame([(f"r{i}", 2) for i in range(10)], "raster string, n_bands int")
+    text = plan(raster.split_bands(spark.read.parquet(f"{tmp_path}/cells"), meta, ["r3_2"]))
+    assert "EqualTo(raster,r3)" in text and "EqualTo(band,2)" in text
+
+
+def test_full_size_tile(spark):
+    cells = spark.range(256 * 256).filter("id % 7 != 3").select(
+        F.lit("a").alias("covariate"), (F.col("id") / 256).cast("int").alias("row"), (F.col("id") % 256).cast("int").alias("col"), F.col("id").cast("float").alias("value")
+    )
+    values = raster.tiles(cells).first()["values"]
+    assert len(values) == 256 * 256 and all(v == (None if i % 7 == 3 else i) for i, v in enumerate(values))
+
+
 def test_mosaic_merges_before_the_shuffle(spark):
     strips = spark.range(10).select((F.col("id") % 2).alias("row"), F.lit(0).alias("col"), F.col("id").alias("strip"), F.col("id").cast("double").alias("value"))
     text = plan(raster.mosaic(strips))
