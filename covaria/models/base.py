@@ -28,6 +28,9 @@ class Fitted(ABC):
 
 
 class Model(ABC):
+    # Parameters that were given and have no effect here.
+    unused: Sequence[str] = ()
+
     @abstractmethod
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> Fitted: ...
 
@@ -78,8 +81,8 @@ class FittedPipeline(Fitted):
 class MLlibModel(Model):
     """Any MLlib estimator; `build` gets the label and weight column names."""
 
-    def __init__(self, build: Callable[[], Estimator]):
-        self.build = build
+    def __init__(self, build: Callable[[], Estimator], unused: Sequence[str] = ()):
+        self.build, self.unused = build, unused
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedPipeline:
         estimator = self.build()

@@ -16,7 +16,7 @@ from .base import Fitted, FittedPipeline, MLlibModel, Model
 from .kernel import KernelRegressor
 from .linear import GramRegressor
 from .neighbours import NeighbourRegressor
-from .trees import boosted_trees, decision_tree, leafwise_trees, random_forest, symmetric_trees
+from .trees import boosted_trees, decision_tree, leafwise_trees, random_forest, symmetric_trees, without_effect
 
 
 def mean_of(columns: Sequence[str]) -> Column:
@@ -123,9 +123,11 @@ def bootstrapped_trees(param: dict[str, Any] | None = None) -> BootstrappedRegre
 
 def bootstrapped_kernel(param: dict[str, Any] | None = None) -> BootstrappedRegressor:
     p, settings = _bootstrap_settings(param)
+    without_effect(p, {"components", "gamma", "regularisation", "seed", "max_iter"}, set())
     return BootstrappedRegressor(lambda i: KernelRegressor(**{**p, "seed": i}), **settings)
 
 
+# The settings of the members.
 def voting_members(key: str = "key", scale: float = 1.0) -> list[Model]:
     """The ten members of the super learner; `scale` shrinks their tree counts."""
 
@@ -156,6 +158,8 @@ class SuperLearner(Model):
         self.key = key
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedEnsemble:
+        if weight is not None:
+            raise ValueError("the vote cannot use a weight: not all its members can")
         keep = [c for c in (self.key,) if c in df.columns]
         with held(df.select(*keep, *features, label)) as table:
             return FittedEnsemble([m.fit(table, features, label) for m in self.members])
@@ -222,6 +226,8 @@ class QuantileIntervalRegressor(Model):
             "num_boost_round": n_estimators, "learning_rate": learning_rate, "max_depth": max_depth, "gamma": 0,
             "subsample": 1.0, "colsample_bylevel": 1, "min_child_weight": 1,
         }
+        if not 0 <= leaf_depth <= 16:
+            raise ValueError("leaf_depth must be from 0 to 16: the table of leaves is broadcast")
         self.leaf_depth, self.accuracy = leaf_depth, accuracy
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedQuantile:

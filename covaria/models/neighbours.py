@@ -32,6 +32,8 @@ class NeighbourRegressor(Model):
         self.k, self.key = k, key
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedNeighbours:
+        if weight is not None:
+            raise ValueError("nearest neighbours cannot use a weight")
         table = df.select(self.key, *features, F.col(label).cast("double").alias("_label"))
         return FittedNeighbours(features, table, self.k, self.key)
 

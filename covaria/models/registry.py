@@ -26,16 +26,34 @@ from .trees import (
     boosted_trees,
     decision_tree,
     leafwise_trees,
+    SMALLEST_SHARE,
     random_forest,
     symmetric_trees,
+    without_effect,
 )
 
 Factory = Callable[[dict[str, Any] | None], Model]
 
 
-def _kernel(param: dict[str, Any] | None = None) -> Model:
-    known = {"components", "gamma", "regularisation", "seed", "max_iter"}
-    return KernelRegressor(**{k: v for k, v in (param or {}).items() if k in known})
+def _known(kind: type[Model], names: set[str]) -> Factory:
+    """A model whose parameters are its own arguments; other names are an error."""
+
+    def make(param: dict[str, Any] | None = None) -> Model:
+        without_effect(param, names, set())
+        return kind(**(param or {}))
+
+    return make
+
+
+KERNEL_NAMES = {"components", "gamma", "regularisation", "seed", "max_iter"}
+
+
+def _vote(param: dict[str, Any] | None = None) -> Model:
+    """The vote has members with fixed settings: whatever booster parameters it is given have no effect and are reported."""
+    p = dict(param or {})
+    model = SuperLearner(key=p.pop("key", "key"))
+    model.unused = sorted(p)
+    return model
 
 
 REGRESSORS: dict[str, Factory] = {
@@ -44,13 +62,15 @@ REGRESSORS: dict[str, Factory] = {
     "LightGBMRegressor": leafwise_trees,
     "RandomForestRegressor": random_forest,
     "DecisionTreeRegressor": decision_tree,
-    "SVMRegressor": _kernel,
+    "SVMRegressor": _known(KernelRegressor, KERNEL_NAMES),
     "BootstrappedXGBRegressor": bootstrapped_trees,
     "BootstrappedSVMRegressor": bootstrapped_kernel,
-    "SuperLearnerRegressor": lambda p=None: SuperLearner(**(p or {})),
-    "QuantileGradientBoosting": lambda p=None: QuantileIntervalRegressor(**(p or {})),
-    "KNeighborsRegressor": lambda p=None: NeighbourRegressor(**(p or {})),
-    "GramRegressor": lambda p=None: GramRegressor(**(p or {})),
+    "SuperLearnerRegressor": _vote,
+    "QuantileGradientBoosting": _known(
+        QuantileIntervalRegressor, {"lower_alpha", "upper_alpha", "n_estimators", "learning_rate", "max_depth", "leaf_depth", "accuracy"}
+    ),
+    "KNeighborsRegressor": _known(NeighbourRegressor, {"k", "key"}),
+    "GramRegressor": _known(GramRegressor, {"ridge"}),
 }
 
 CLASSIFIERS: dict[str, Callable[..., c.Classifier]] = {
@@ -99,7 +119,10 @@ def _space(declared: dict[str, list[Any]]) -> dict[str, Distribution]:
         elif name in ("max_depth", "max_bin", "num_boost_round", "min_child_samples", "early_stopping_rounds"):
             out[name] = randint(int(min(ends)), int(max(ends)) + 1)
         else:
-            out[name] = uniform(float(min(ends)), float(max(ends)))
+            low, high = float(min(ends)), float(max(ends))
+            if name == "learning_rate" or name == "subsample" or name.startswith("colsample"):
+                low, high = max(low, SMALLEST_SHARE), min(high, 1.0)  # what MLlib can take
+            out[name] = uniform(low, high)
     return out
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import warnings
 from typing import Any
 
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
@@ -77,19 +76,38 @@ SYMMETRIC_SPACE: dict[str, list[Any]] = {
     "early_stopping_rounds": [20, 50],
 }
 
-# Limit of the MLlib tree format.
+# Names of settings that have no meaning here.
+MACHINE = {"n_jobs", "nthread", "verbosity", "verbose", "device", "eval_metric", "objective", "random_state"}
+
+# Limit of the MLlib tree format, and the least share of rows or features for a tree.
 MAX_DEPTH = 30
+SMALLEST_SHARE = 1e-3
+# What a model of MLlib makes use of; other names that the declared defaults or spaces have are known but have no twin.
+BOOSTER_USED = {
+    "learning_rate", "max_depth", "max_bin", "num_boost_round", "gamma", "min_child_weight", "subsample", "colsample_bytree",
+    "colsample_bylevel", "colsample_bynode", "seed",
+}
+SYMMETRIC_USED = {"iterations", "num_boost_round", "learning_rate", "depth", "max_bin", "min_child_samples", "random_seed"}
+
+
+def without_effect(param: dict[str, Any] | None, used: set[str], known: set[str]) -> list[str]:
+    """Names of `param` that have no effect here; unknown names are an error."""
+    unknown = sorted(set(param or {}) - used - known)
+    if unknown:
+        raise ValueError(f"unknown parameters {unknown}; known: {sorted(used | known)}")
+    return sorted(set(param or {}) - used)
+
 
 
 def _bounded(name: str, value: float, low: float, high: float) -> float:
-    inside = min(max(value, low), high)
-    if inside != value:
-        warnings.warn(f"{name}={value} is outside the range of MLlib; using {inside}", stacklevel=3)
-    return inside
+    """Values that MLlib cannot take are refused: a moved value would make different trials the same."""
+    if not low <= value <= high:
+        raise ValueError(f"{name}={value} is outside {low} to {high}, the range of MLlib")
+    return value
 
 
 def _fraction(name: str, value: float) -> float:
-    return _bounded(name, float(value), 1e-3, 1.0)
+    return _bounded(name, float(value), SMALLEST_SHARE, 1.0)
 
 
 def _depth(value: Any) -> int:
@@ -97,8 +115,9 @@ def _depth(value: Any) -> int:
 
 
 def boosted_trees(param: dict[str, Any] | None = None) -> MLlibModel:
+    unused = without_effect(param, BOOSTER_USED, {*BOOSTER_DEFAULTS, *BOOSTER_SPACE} | MACHINE)
     p = {**BOOSTER_DEFAULTS, **(param or {})}
-    columns = float(p["colsample_bytree"]) * float(p["colsample_bylevel"]) * float(p["colsample_bynode"])
+    columns = math.prod(_fraction(f"colsample_by{k}", p[f"colsample_by{k}"]) for k in ("tree", "level", "node"))
 
     def build() -> GBTRegressor:
         return GBTRegressor(
@@ -107,16 +126,17 @@ def boosted_trees(param: dict[str, Any] | None = None) -> MLlibModel:
             maxDepth=_depth(p["max_depth"] or 6),
             maxBins=max(2, int(p["max_bin"] or 256)),
             subsamplingRate=_fraction("subsample", p["subsample"]),
-            featureSubsetStrategy="all" if columns >= 1 else str(_fraction("colsample", columns)),
+            featureSubsetStrategy="all" if columns >= 1 else str(max(SMALLEST_SHARE, columns)),
             minInstancesPerNode=max(1, math.ceil(float(p["min_child_weight"]))),
             minInfoGain=max(0.0, float(p["gamma"] or 0)),
             seed=int(p["seed"]),
         )
 
-    return MLlibModel(build)
+    return MLlibModel(build, unused)
 
 
 def symmetric_trees(param: dict[str, Any] | None = None) -> MLlibModel:
+    unused = without_effect(param, SYMMETRIC_USED, {*SYMMETRIC_DEFAULTS, *SYMMETRIC_SPACE} | MACHINE)
     # Without parameters: the defaults above.  With some: the library's own.
     p = dict(SYMMETRIC_DEFAULTS) if not param else {"depth": 6, "learning_rate": 0.03, "max_bin": 254, **param}
     rounds = p.get("iterations") or p.get("num_boost_round") or 1000
@@ -131,23 +151,25 @@ def symmetric_trees(param: dict[str, Any] | None = None) -> MLlibModel:
             seed=int(p.get("random_seed", 0)),
         )
 
-    return MLlibModel(build)
+    return MLlibModel(build, unused)
 
 
 def leafwise_trees(param: dict[str, Any] | None = None) -> MLlibModel:
     """Same booster; a leaf budget becomes the depth that can hold it."""
     p = dict(param or {})
-    if "num_leaves" in p and "max_depth" not in p:
-        p["max_depth"] = max(1, math.ceil(math.log2(p["num_leaves"])))
-    if "n_estimators" in p and "num_boost_round" not in p:
-        p["num_boost_round"] = p["n_estimators"]
+    leaves, rounds = p.pop("num_leaves", None), p.pop("n_estimators", None)
+    if leaves is not None and "max_depth" not in p:
+        p["max_depth"] = max(1, math.ceil(math.log2(leaves)))
+    if rounds is not None and "num_boost_round" not in p:
+        p["num_boost_round"] = rounds
     base = {"subsample": 1.0, "colsample_bylevel": 1.0, "gamma": 0.0, "num_boost_round": 100, "learning_rate": 0.1, "max_depth": 5}
     return boosted_trees({**base, **p})
 
 
 def random_forest(param: dict[str, Any] | None = None) -> MLlibModel:
-    p = {"n_estimators": 100, "max_depth": 10, "max_bin": 256, "random_state": 0, "subsample": 1.0,
-         "max_features": "all", "bootstrap": True, **(param or {})}
+    used = {"n_estimators": 100, "max_depth": 10, "max_bin": 256, "random_state": 0, "subsample": 1.0, "max_features": "all", "bootstrap": True}
+    unused = without_effect(param, set(used), {*MACHINE, "criterion", "oob_score"})
+    p = {**used, **(param or {})}
 
     def build() -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -160,15 +182,17 @@ def random_forest(param: dict[str, Any] | None = None) -> MLlibModel:
             bootstrap=bool(p["bootstrap"]),
         )
 
-    return MLlibModel(build)
+    return MLlibModel(build, unused)
 
 
 def decision_tree(param: dict[str, Any] | None = None) -> MLlibModel:
-    p = {"max_depth": 10, "max_bin": 256, "random_state": 0, **(param or {})}
+    used = {"max_depth": 10, "max_bin": 256, "random_state": 0}
+    unused = without_effect(param, set(used), {*MACHINE, "criterion", "splitter"})
+    p = {**used, **(param or {})}
 
     def build() -> DecisionTreeRegressor:
         return DecisionTreeRegressor(
             maxDepth=_depth(p["max_depth"]), maxBins=int(p["max_bin"]), seed=int(p["random_state"])
         )
 
-    return MLlibModel(build)
+    return MLlibModel(build, unused)

@@ -186,7 +186,12 @@ def _merge_rows(width: int):
 
 def _batched_moments(df: DataFrame, columns: Sequence[str], by: str | None, weight: str | None) -> dict[int, Moments]:
     width = len(columns)
-    fold = F.col(by).cast("long") if by else F.lit(0).cast("long")
+    # The keys keep their type, and null is a key: batches see their places in this list.
+    keys = [r[0] for r in df.select(by).distinct().collect()] if by else [0]  # one row per fold
+    fold = F.lit(0)
+    for place, key in enumerate(keys if by else []):
+        fold = F.when(F.col(by).eqNullSafe(F.lit(key)), F.lit(place)).otherwise(fold)
+    fold = fold.cast("long")
     table = df.select(
         fold.alias("fold"),
         *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)],
@@ -197,7 +202,7 @@ def _batched_moments(df: DataFrame, columns: Sequence[str], by: str | None, weig
     merged = partial.groupBy("fold", "bucket").applyInPandas(_merge_rows(width), _PARTIAL)
     final = merged.groupBy("fold").applyInPandas(_merge_rows(width), _PARTIAL)
     return {
-        int(r["fold"]): Moments(r["n"], np.array(r["mean"]), np.array(r["cross"]).reshape(width, width))
+        keys[int(r["fold"])]: Moments(r["n"], np.array(r["mean"]), np.array(r["cross"]).reshape(width, width))
         for r in final.collect()
     }
 
@@ -233,8 +238,9 @@ def fold_fits(folds: dict[int, Moments], ridge: float = 0.0) -> dict[int, Linear
 
 def fold_prediction(fits: dict[int, LinearFit], features: Sequence[str], by: str = "fold") -> Column:
     """Out-of-fold prediction as one expression: each row uses its fold's weights."""
-    order = sorted(fits)
-    index = F.array_position(F.array(*[F.lit(f) for f in order]).cast("array<long>"), F.col(by).cast("long"))
+    # Rows without a fold have no prediction.
+    order = sorted(f for f in fits if f is not None)
+    index = F.array_position(F.array(*[F.lit(f) for f in order]), F.col(by))
 
     def per_fold(values: list[float]) -> Column:
         return F.element_at(F.array(*[F.lit(float(v)) for v in values]), index.cast("int"))
@@ -242,4 +248,4 @@ def fold_prediction(fits: dict[int, LinearFit], features: Sequence[str], by: str
     out = per_fold([fits[f].intercept for f in order])
     for i, name in enumerate(features):
         out = out + per_fold([fits[f].weights[i] for f in order]) * F.col(name).cast("double")
-    return out
+    return F.when(F.col(by).isNotNull(), out)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from abc import ABC, abstractmethod
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.hashing import order_value
 from ..functions.metrics import SCORERS, score, scorer
@@ -148,7 +149,8 @@ def eliminate(features: Sequence[str], subset_scorer: SubsetScorer, score_last:
     while len(left) > 1:
         scores = subset_scorer.scores([[f for f in left if f != gone] for gone in left])
         rows += [(iteration, i, f, s) for i, (f, s) in enumerate(zip(left, scores))]
-        best = max(range(len(left)), key=lambda i: (float("-inf") if scores[i] is None else scores[i], -i))
+        worth = [float("-inf") if x is None or math.isnan(x) else x for x in scores]
+        best = max(range(len(left)), key=lambda i: (worth[i], -i))
         left.pop(best)
         iteration += 1
     if left:
@@ -161,15 +163,19 @@ def log_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), LOG_SCHEMA)
 
 
+def _score() -> Column:
+    return F.when(~F.isnan("score"), F.col("score"))
+
+
 def eliminated(log: DataFrame) -> DataFrame:
-    """(feature, rank, score): the winner of each iteration; rank 0 went first."""
+    """(feature, rank, score): the winner of each iteration; rank 0 went first.  NaN counts as no score."""
     return log.groupBy("iteration").agg(
-        F.max_by("feature", F.struct("score", -F.col("position"))).alias("feature"), F.max("score").alias("score")
+        F.max_by("feature", F.struct(_score(), -F.col("position"))).alias("feature"), F.max(_score()).alias("score")
     ).select("feature", F.col("iteration").alias("rank"), "score")
 
 
 def arg_max(results: DataFrame) -> DataFrame:
-    return results.agg(F.max_by("feature", F.struct("score", -F.col("position"))).alias("feature"))
+    return results.agg(F.max_by("feature", F.struct(_score(), -F.col("position"))).alias("feature"))
 
 
 def check_scorer(name: str) -> None:

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.distributions import TRIAL, Distribution
 from ..functions.hashing import unit_uniform
@@ -27,6 +27,8 @@ TRIAL_SCHEMA = T.StructType(
     ]
 )
 
+# Names under which a halving search keeps, with a trial's scores, the share of rows and the round of its last scoring.
+BUDGET, RUNG = "budget", "rung"
 Space = dict[str, Distribution]
 Objective = Callable[[dict[str, Any], float], dict[str, float]]
 
@@ -65,12 +67,6 @@ def grid_values(space: dict[str, Distribution | Sequence[Any]]) -> dict[str, Seq
     return out
 
 
-def params_map(trials: DataFrame) -> DataFrame:
-    names = [c for c in trials.columns if c != TRIAL]
-    pairs = [x for n in names for x in (F.lit(n), F.col(n).cast("string"))]
-    return trials.select(TRIAL, F.create_map(*pairs).alias("params"))
-
-
 def _near(name: str, d: Distribution, good: Sequence[Any], seed: str, width: float) -> Column:
     """A value near a randomly chosen good one, inside the declared bounds."""
     u = unit_uniform(f"{seed}:{name}:pick", TRIAL)
@@ -160,10 +156,15 @@ def results_table(spark: SparkSession, results: Sequence[tuple[int, dict, dict]]
 
 
 def best_trial(trials: DataFrame, metric: str) -> DataFrame:
-    """The row with the largest score; the lowest trial id on ties."""
+    """The row with the largest score; the lowest trial id on ties.
+
+    NaN counts as no score.  Trials that were scored on part of the rows only
+    (a `budget` under 1 among their scores) are no candidates.
+    """
     value = F.col("scores")[metric]
     order = F.struct(value, -F.col("trial_id"))
-    return trials.filter(value.isNotNull()).agg(
+    whole = F.coalesce(F.col("scores")[BUDGET], F.lit(1.0)) >= 1.0
+    return trials.filter(value.isNotNull() & ~F.isnan(value) & whole).agg(
         F.max_by("trial_id", order).alias("trial_id"),
         F.max_by("params", order).alias("params"),
         F.max_by("scores", order).alias("scores"),
@@ -171,7 +172,7 @@ def best_trial(trials: DataFrame, metric: str) -> DataFrame:
 
 
 def _top(results: Sequence[tuple[int, dict, dict]], metric: str, share: float) -> list[tuple[int, dict, dict]]:
-    scored = [r for r in results if r[2].get(metric) is not None]
+    scored = [r for r in results if r[2].get(metric) is not None and not math.isnan(r[2][metric])]
     if not scored:
         raise ValueError(f"no trial has a score {metric!r}")
     scored.sort(key=lambda r: (-r[2][metric], r[0]))
@@ -199,20 +200,22 @@ def sampled_search(
 def halving_search(
     spark: SparkSession, space: Space, objective: Objective, metric: str, n: int, seed: str | int = 0, jobs: int = 2, factor: int = 4
 ) -> list[tuple[int, dict, dict]]:
-    """Many trials on few rows, the best of them on more rows, the last on all rows."""
+    """Many trials on few rows, the best of them on more rows, the last on all rows.
+
+    Every trial is in the result, with its last scores, the share of rows that
+    these were made on, and the round; those on all rows come first.
+    """
     steps = max(0, math.floor(math.log(max(n, 1), factor)))
-    alive = [r.asDict() for r in trial_table(spark, space, n, seed).collect()]  # one row per trial
+    everyone = trial_table(spark, space, n, seed)
+    alive = [r[TRIAL] for r in everyone.select(TRIAL).collect()]  # one row per trial
     done: dict[int, tuple[int, dict, dict]] = {}
-    for step in range(steps, -1, -1):
-        schema_ids = [row[TRIAL] for row in alive]
-        trials = trial_table(spark, space, n, seed).filter(F.col(TRIAL).isin(schema_ids))
-        results = run_trials(trials, objective, jobs, budget=factor**-step)
-        if step == 0:
-            done.update({r[0]: r for r in results})
-        else:
-            keep = {r[0] for r in _top(results, metric, 1 / factor)}
-            alive = [row for row in alive if row[TRIAL] in keep]
-    return list(done.values())
+    for rung, step in enumerate(range(steps, -1, -1)):
+        budget = float(factor) ** -step
+        results = run_trials(everyone.filter(F.col(TRIAL).isin(alive)), objective, jobs, budget=budget)
+        done.update({i: (i, params, {**scores, BUDGET: budget, RUNG: float(rung)}) for i, params, scores in results})
+        if step:
+            alive = [r[0] for r in _top(results, metric, 1 / factor)]
+    return sorted(done.values(), key=lambda r: (-r[2][BUDGET], r[0]))
 
 
 METHODS = ("GridSearch", "RandomSearch", "HyperOptSearch", "BayesianOptimization", "HyperBand")
@@ -224,6 +227,8 @@ class SearchResult:
     best: DataFrame
     model: Fitted | None
     model_path: str | None
+    # Parameters of the trials that have no effect on this model.
+    unused: Sequence[str] = ()
 
 
 def search(
@@ -258,17 +263,13 @@ def search(
         else:
             rounds = {"RandomSearch": 1, "HyperOptSearch": 3, "BayesianOptimization": 5}[method]
             results = sampled_search(spark, space, objective, metric, n_iteration, seed, jobs, rounds)
-        (winner, params, _), *_ = _top(results, metric, 0.0)
-        fitted = model(convert(params)).fit(t, features)
+        (winner, params, _), *_ = _top([r for r in results if r[2].get(BUDGET, 1.0) >= 1.0], metric, 0.0)
+        chosen = model(convert(params))
+        fitted = chosen.fit(t, features)
     path = None
     if save_to is not None:
         path = f"{save_to.rstrip('/')}/{winner}/model"
         fitted.save(path)
     trials = results_table(spark, results)
-    return SearchResult(trials, best_trial(trials, metric), fitted, path)
+    return SearchResult(trials, best_trial(trials, metric), fitted, path, list(getattr(chosen, "unused", ())))
 
-
-def ranked_trials(trials: DataFrame, metric: str) -> DataFrame:
-    """Trials with their place by score (a table of one row per trial)."""
-    value = F.col("scores")[metric]
-    return trials.withColumn("place", F.row_number().over(Window.orderBy(F.desc(value), "trial_id")))

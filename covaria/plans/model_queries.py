@@ -474,6 +474,18 @@ def best_trial(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("trial_id", F.col("scores")["oos_r2_scorer"].alias("score"))
 
 
+@query(
+    "best_trial_with_gaps",
+    f"WITH {_TRIAL_SQL} SELECT trial_id, CAST(s AS DOUBLE) AS score FROM trials WHERE trial_id % 3 <> 0 AND trial_id % 5 <> 0 ORDER BY s DESC, trial_id LIMIT 1",
+)
+def best_trial_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and NaN scores never win."""
+    value = F.col("scores")["oos_r2_scorer"]
+    gaps = F.when(F.col("trial_id") % 3 == 0, F.lit(None).cast("double")).when(F.col("trial_id") % 5 == 0, F.lit(float("nan"))).otherwise(value)
+    best = search.best_trial(_order_trials(spark, sf).withColumn("scores", F.create_map(F.lit("oos_r2_scorer"), gaps)), "oos_r2_scorer")
+    return best.select("trial_id", F.col("scores")["oos_r2_scorer"].alias("score"))
+
+
 @query(
     "trial_score_filter",
     "SELECT o_orderkey AS trial_id, 'cv_rmse_scorer' AS name, -o_totalprice AS score FROM orders UNION ALL"

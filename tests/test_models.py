@@ -100,13 +100,41 @@ def test_models_fit_save_load(spark, training, tmp_path, name, param):
         assert fitted.importance(spark).first()["feature"] == "quantity"
 
 
-def test_parameters_out_of_range_are_reported(training):
-    with pytest.warns(UserWarning, match="learning_rate"):
-        boosted_trees({**QUICK, "num_boost_round": 1, "learning_rate": 10}).fit(training.limit(200), ["quantity"])
+def test_parameters_out_of_range_or_unknown_are_refused(training):
+    for wrong in ({"learning_rate": 10}, {"subsample": 0}, {"max_depth": 31}, {"colsample_bytree": 0}):
+        with pytest.raises(ValueError, match=next(iter(wrong))):
+            boosted_trees({**QUICK, "num_boost_round": 1, **wrong}).fit(training.limit(200), ["quantity"])
+    for name in ("XGBRegressor", "CatBoostRegressor", "RandomForestRegressor", "SVMRegressor", "BootstrappedSVMRegressor", "KNeighborsRegressor",
+                 "GramRegressor", "QuantileGradientBoosting", "LightGBMRegressor", "BootstrappedXGBRegressor"):
+        with pytest.raises(ValueError, match="unknown parameters"):
+            built = regressor(name, {"nonsense": 1})
+            built.member(0)
+    assert list(boosted_trees({"lambda": 1, "max_depth": 3, "alpha": 0}).unused) == ["alpha", "lambda"]
+    assert regressor("SuperLearnerRegressor", {"max_depth": 3, "num_boost_round": 100}).unused == ["max_depth", "num_boost_round"]
+    with pytest.raises(ValueError, match="weight"):
+        NeighbourRegressor().fit(training, ["quantity"], weight="tax")
+    with pytest.raises(ValueError, match="weight"):
+        SuperLearner([decision_tree()]).fit(training, ["quantity"], weight="tax")
+
+
+def test_whole_and_fractional_parameters():
     built = boosted_trees({"max_depth": 4.9, "num_boost_round": 3.7}).build()
     assert (built.getMaxDepth(), built.getMaxIter()) == (4, 3)
 
 
+def test_both_moment_ways_keep_all_folds(spark):
+    rows = [(float(i % 4) / 2 if i % 4 else None, float(i), float(i * i % 7)) for i in range(40)]
+    for kind, table in (("double", rows), ("string", [(None if f is None else f"f{f}", a, b) for f, a, b in rows])):
+        df = spark.createDataFrame(table, f"fold {kind}, a double, target double")
+        one, two = (gram.moments(df, ["a"], by="fold", method=m) for m in ("builtin", "batched"))
+        assert set(one) == set(two) and len(one) == 4 and None in one
+        for fold in one:
+            assert one[fold].n == two[fold].n == 10 and np.allclose(one[fold].mean, two[fold].mean) and np.allclose(one[fold].cross, two[fold].cross)
+    folds = spark.createDataFrame([(0.5, 1.0), (1.5, 1.0), (None, 1.0)], "fold double, a double")
+    fits = {0.5: gram.LinearFit(np.array([2.0]), 0.0), 1.5: gram.LinearFit(np.array([3.0]), 0.0)}
+    assert [r[0] for r in folds.select(gram.fold_prediction(fits, ["a"])).collect()] == [2.0, 3.0, None]
+
+
 def test_registry_rejects_unknown_names():
     assert len(REGRESSORS) >= 10 and len(CLASSIFIERS) == 6
     with pytest.raises(ValueError, match="unknown model"):

@@ -130,6 +130,50 @@ def test_best_trial_breaks_ties_by_id(spark):
     assert best["trial_id"] == 1 and best["params"] == {"a": "1"}
 
 
+def test_shapley_ranking_takes_models_that_need_a_row_key(spark, training):
+    train, oos = split.holdout(training.limit(600), "key", 10)
+    # The model and parameters of a Shapley run as it is usually configured; they are the boosters', and the vote has its own.
+    model = regressor("SuperLearnerRegressor", {"max_depth": 7, "num_boost_round": 100, "learning_rate": 0.3})
+    model.members = [GramRegressor(), regressor("KNeighborsRegressor", {"k": 3})]
+    ranked = rank_features(train, RankingConfig("FeatureRankingByShap", "r2_scorer", 5), model, oos, features=["quantity", "size"])[0]
+    assert {r["feature"] for r in ranked.collect()} == {"quantity", "size"}
+
+
+def test_sampled_shapley_is_exact_for_an_additive_model(spark, training):
+    fitted = GramRegressor().fit(training, FEATURES)
+    data = training.limit(200)
+    got = shapley.sampled_values(fitted, data, "key", 3)
+    # For a linear model every order gives a feature its weight times the change of its value.
+    totals = got.groupBy("key").agg(F.sum("phi").alias("total"), F.count("*").alias("n"))
+    assert totals.filter(f"n != {len(FEATURES)}").count() == 0 and totals.count() == data.count()
+    sums = got.groupBy("feature").agg(F.avg("phi").alias("phi")).collect()
+    exact = {f: abs(w) * data.agg(F.stddev(f)).first()[0] for f, w in zip(FEATURES, fitted.fit.weights)}
+    assert all(abs(r["phi"]) <= exact[r["feature"]] + 1e-6 for r in sums)
+
+
+def test_nan_is_never_the_best(spark):
+    rows = _result([(0, float("nan")), (1, 1.0), (2, None), (3, 2.0)])
+    assert search.best_trial(search.results_table(spark, rows), "m").first()["trial_id"] == 3
+    assert search._top(rows, "m", 0.5)[0][0] == 3
+    log = spark.createDataFrame([(0, 0, "a", float("nan")), (0, 1, "b", 1.0), (1, 0, "c", None), (1, 1, "d", float("nan"))], ranking.LOG_SCHEMA)
+    assert [tuple(r) for r in ranking.eliminated(log).orderBy("rank").collect()] == [("b", 0, 1.0), ("c", 1, None)]
+    assert ranking.arg_max(log).first()[0] == "b"
+
+    class Scores(ranking.SubsetScorer):
+        def scores(self, subsets):
+            return [float("nan") if "b" in s else 0.5 for s in subsets]
+
+    assert [r[2] for r in ranking.eliminate(["a", "b", "c"], Scores(), False)][:1] == ["a"]
+
+
+def test_halving_keeps_every_trial(spark):
+    results = search.halving_search(spark, {"x": d.uniform(0, 1)}, lambda p, budget: {"m": p["x"] + budget}, "m", 16, jobs=1)
+    assert sorted(r[0] for r in results) == list(range(16))
+    assert sorted((r[2]["budget"], r[2]["rung"]) for r in results) == [(1 / 16, 0.0)] * 12 + [(1 / 4, 1.0)] * 3 + [(1.0, 2.0)]
+    table = search.results_table(spark, results)
+    assert search.best_trial(table, "m").first()["trial_id"] == results[0][0]
+
+
 def test_adaptive_search_moves_towards_the_optimum(spark):
     space = {"x": d.uniform(0, 10), "n": d.randint(1, 9), "k": d.choice(["p", "q"]), "l": d.loguniform(0.1, 10)}
 
