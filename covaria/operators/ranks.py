@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.hashing import HASH_BITS
 from ..session import cut_lineage, held
@@ -106,7 +106,12 @@ def range_of(value: Column, cuts: Sequence[int]) -> Column:
 
 
 def exact_rank(df: DataFrame, value: Column, name: str = "rank", bits: int = HASH_BITS, rows: int | None = None) -> DataFrame:
-    """Add the 0-based position of each row in the order of `value`."""
+    """Add the 0-based position of each row in the order of `value`, then of the columns.
+
+    A hash of many rows has equal values; with the columns behind it a task
+    that runs again gives the same positions.
+    """
+    ties = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     n = df.count() if rows is None else rows
     range_bits = min(_MAX_RANGE_BITS, max(6, (max(n, 1) // _ROWS_PER_RANGE).bit_length()))
     marked = df.withColumn("_v", value).withColumn("_b", F.shiftright("_v", bits - range_bits))
@@ -114,7 +119,7 @@ def exact_rank(df: DataFrame, value: Column, name: str = "rank", bits: int = HAS
     counts = marked.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_b", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_v"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_v", *ties))
     return (
         marked.withColumn("_r", inside)
         .join(F.broadcast(offsets), "_b")

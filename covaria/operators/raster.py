@@ -339,3 +339,36 @@ def reproject(
     return found.select(
         F.col("row_out").alias("row"), F.col("col_out").alias("col"), F.coalesce("value", gap).alias("value")
     )
+
+
+# The names of coordinate systems in degrees that are taken for the projection's own datum.
+GEOGRAPHIC = ("EPSG:4326", "EPSG:4283")
+PROJECTED = "EPSG:3577"
+
+
+def to_projection(
+    spark: SparkSession, cells: DataFrame, meta: DataFrame, grid: Row | dict[str, Any] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Bring the covariates in degrees onto grids in metres: (cells, meta).
+
+    `meta` may have a column `crs`; a null there, or no such column, means
+    that a covariate is projected already.  The new grid is `grid`, or for
+    each covariate the one that `suggested_grid` finds.  Only metadata comes
+    to the driver, one row for each covariate.
+    """
+    if "crs" not in meta.columns:
+        return cells, meta
+    degrees = meta.filter(F.col("crs").isin(list(GEOGRAPHIC))).collect()
+    if not degrees:
+        return cells, meta
+    names = [r["covariate"] for r in degrees]
+    out = cells.filter(~F.col("covariate").isin(names)).select("covariate", "row", "col", "value")
+    rows = []
+    for r in degrees:
+        target = dict(grid.asDict() if isinstance(grid, Row) else grid) if grid is not None else suggested_grid(spark, r)
+        one = cells.filter(F.col("covariate") == r["covariate"]).select("row", "col", "value")
+        out = out.unionByName(reproject(one, r, target, spark).select(F.lit(r["covariate"]).alias("covariate"), "row", "col", "value"))
+        place = {k: target[k] for k in ("x0", "y0", "dx", "dy", "width", "height")}
+        rows.append({**r.asDict(), **place, "crs": PROJECTED})
+    moved = spark.createDataFrame(rows, meta.schema)
+    return out, meta.filter(F.col("crs").isNull() | ~F.col("crs").isin(list(GEOGRAPHIC))).unionByName(moved)

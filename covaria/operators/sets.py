@@ -29,6 +29,19 @@ def existing(wanted: DataFrame, present: DataFrame, name: str) -> tuple[DataFram
     return wanted.join(keys, name, "left_semi"), wanted.join(keys, name, "left_anti")
 
 
+def usable(wanted: Sequence[str], present: DataFrame, name: str = "covariate") -> tuple[list[str], DataFrame]:
+    """The distinct names of a list that exist, in order, and a report (name, reason) of what was left out.
+
+    The list is a run's configuration, so it is short.
+    """
+    spark = present.sparkSession
+    listed = spark.createDataFrame(list(enumerate(wanted)), f"position int, {name} string")
+    found, absent = existing(drop_repeats(listed, name), present, name)
+    report = repeats(listed, name).select(name, F.lit("repeated").alias("reason"))
+    report = report.unionByName(absent.select(name, F.lit("absent").alias("reason")))
+    return [r[name] for r in found.orderBy("position").collect()], report
+
+
 def match_exact(features: DataFrame, covariates: DataFrame, name: str = "covariate") -> DataFrame:
     """Covariates of the selected features, by equal name."""
     return covariates.join(features.select(F.col("feature").alias(name)).distinct(), name, "left_semi")

@@ -207,19 +207,25 @@ def random_points_in_mask(spark: SparkSession, sf: str) -> DataFrame:
 _LON, _LAT = "(115.0 + o_custkey % 380 / 10.0)", "(-43.0 + o_orderkey % 320 / 10.0)"
 
 
+# Fixed values, worked out apart from the code under test: GRS80 (6378137, 1/298.257222101) and the cone of
+# EPSG:3577 (parallels 18 and 36 south, meridian 132 east).
+_ECC, _ECC2 = 0.08181919104281579, 0.006694380022900787
+_CONE, _CONST, _RHO0 = -0.44847899716830203, 1.1805242276692356, -15452159.644039396
+_AXIS, _MERIDIAN = 6378137.0, 132.0
+
+
 def _q_sql(s: str) -> str:
-    e, e2 = repr(projection._E), repr(projection._E2)
-    return f"({1 - projection._E2!r} * ({s} / (1.0 - {e2} * {s} * {s}) - ln((1.0 - {e} * {s}) / (1.0 + {e} * {s})) / {2 * projection._E!r}))"
+    return f"({1 - _ECC2!r} * ({s} / (1.0 - {_ECC2!r} * {s} * {s}) - ln((1.0 - {_ECC!r} * {s}) / (1.0 + {_ECC!r} * {s})) / {2 * _ECC!r}))"
 
 
-_RHO = f"({projection.SEMI_MAJOR / projection.CONE!r} * sqrt({projection.SCALE!r} - {projection.CONE!r} * {_q_sql('s')}))"
-_THETA = f"(radians(lon - {projection.LONGITUDE_0!r}) * {projection.CONE!r})"
+_RHO = f"({_AXIS / _CONE!r} * sqrt({_CONST!r} - {_CONE!r} * {_q_sql('s')}))"
+_THETA = f"(radians(lon - {_MERIDIAN!r}) * {_CONE!r})"
 
 
 @query(
     "albers_forward",
     f"WITH p AS (SELECT o_orderkey, CAST({_LON} AS DOUBLE) AS lon, CAST({_LAT} AS DOUBLE) AS lat, sin(radians({_LAT})) AS s FROM orders)"
-    f" SELECT o_orderkey, round({_RHO} * sin({_THETA}), 3) AS x, round({projection.RHO_0!r} - {_RHO} * cos({_THETA}), 3) AS y FROM p",
+    f" SELECT o_orderkey, round({_RHO} * sin({_THETA}), 3) AS x, round({_RHO0!r} - {_RHO} * cos({_THETA}), 3) AS y FROM p",
 )
 def albers_forward(spark: SparkSession, sf: str) -> DataFrame:
     lonlat = _lonlat(spark, sf)
@@ -247,22 +253,21 @@ def albers_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 def _refine_sql(lat: str) -> str:
     """One step of the inverse latitude."""
-    e, e2 = repr(projection._E), repr(projection._E2)
     s = f"sin({lat})"
-    one = f"(1.0 - {e2} * {s} * {s})"
-    tail = f"ln((1.0 - {e} * {s}) / (1.0 + {e} * {s})) / {2 * projection._E!r}"
-    return f"{lat} + {one} * {one} / (2.0 * cos({lat})) * (q / {1 - projection._E2!r} - {s} / {one} + {tail})"
+    one = f"(1.0 - {_ECC2!r} * {s} * {s})"
+    tail = f"ln((1.0 - {_ECC!r} * {s}) / (1.0 + {_ECC!r} * {s})) / {2 * _ECC!r}"
+    return f"{lat} + {one} * {one} / (2.0 * cos({lat})) * (q / {1 - _ECC2!r} - {s} / {one} + {tail})"
 
 
 _HEIGHT = f"(SELECT CAST(max(p_partkey) // {v.GRID_WIDTH} + 1 AS INTEGER) FROM part)"
 _REPROJECT_SQL = f"""{v.CELLS_SQL},
   out AS (SELECT CAST(i // 60 AS INTEGER) AS r, CAST(i % 60 AS INTEGER) AS c FROM (SELECT unnest(range(60 * ({_HEIGHT} + 10))) AS i) t),
-  xy AS (SELECT r, c, -(300000.0 + (c + 0.5) * 5000.0) AS dx, -({projection.RHO_0!r} - (-2300000.0 - (r + 0.5) * 5000.0)) AS dy FROM out),
-  qs AS (SELECT *, ({projection.SCALE!r} - (dx * dx + dy * dy) * {(projection.CONE / projection.SEMI_MAJOR) ** 2!r}) / {projection.CONE!r} AS q FROM xy),
+  xy AS (SELECT r, c, -(300000.0 + (c + 0.5) * 5000.0) AS dx, -({_RHO0!r} - (-2300000.0 - (r + 0.5) * 5000.0)) AS dy FROM out),
+  qs AS (SELECT *, ({_CONST!r} - (dx * dx + dy * dy) * {(_CONE / _AXIS) ** 2!r}) / {_CONE!r} AS q FROM xy),
   l0 AS (SELECT *, asin(q / 2.0) AS l FROM qs), l1 AS (SELECT * REPLACE ({_refine_sql('l')} AS l) FROM l0),
   l2 AS (SELECT * REPLACE ({_refine_sql('l')} AS l) FROM l1), l3 AS (SELECT * REPLACE ({_refine_sql('l')} AS l) FROM l2),
   src AS (SELECT r, c, CAST(floor((-22.0 - degrees(l)) / 0.05) AS INTEGER) AS row,
-    CAST(floor((132.0 + degrees(atan2(dx, dy) / {projection.CONE!r}) - 135.0) / 0.05) AS INTEGER) AS col FROM l3)"""
+    CAST(floor((132.0 + degrees(atan2(dx, dy) / {_CONE!r}) - 135.0) / 0.05) AS INTEGER) AS col FROM l3)"""
 
 
 @query(
@@ -279,3 +284,39 @@ def raster_reproject(spark: SparkSession, sf: str) -> DataFrame:
     prices = cells.filter("covariate = 'price'").select("row", "col", "value")
     out = raster.reproject(prices, source, target, spark)
     return out.withColumn("value", F.col("value").cast("double"))
+
+
+_PREPARED_SQL = f"""WITH {_REPROJECT_SQL},
+  h AS (SELECT {_HEIGHT} + 10 AS rows),
+  p AS (SELECT o_orderkey AS key, o_totalprice AS target, 300000.0 + {v.sql_uniform('gx', 'o_orderkey')} * 300000.0 AS x,
+    -2300000.0 - {v.sql_uniform('gy', 'o_orderkey')} * (5000.0 * rows) AS y FROM orders, h),
+  placed AS (SELECT *, CAST(floor((-2300000.0 - y) / 5000.0) AS INTEGER) AS r, CAST(floor((x - 300000.0) / 5000.0) AS INTEGER) AS c FROM p)
+SELECT key, CAST(CAST(target AS FLOAT) AS DOUBLE) AS target, CAST(a.value AS DOUBLE) AS parts_1, CAST(b.value AS DOUBLE) AS parts_2
+FROM placed JOIN src USING (r, c) JOIN (SELECT * FROM cells WHERE covariate = 'parts_1') a ON a.row = src.row AND a.col = src.col
+  JOIN (SELECT * FROM cells WHERE covariate = 'parts_2') b ON b.row = src.row AND b.col = src.col"""
+
+
+@query("prepared_training", _PREPARED_SQL)
+def prepared_training(spark: SparkSession, sf: str) -> DataFrame:
+    """The data-preparation stage on a two-band raster in degrees, with a repeated and an absent covariate."""
+    from ..functions.geojson import point_feature
+    from ..functions.hashing import unit_uniform
+    from .config import TargetConfig, WorkflowConfig
+    from .workflow import Inputs, prepare
+
+    height = v.area_of(spark, sf)["height"]
+    place = {"x0": F.lit(135.0), "y0": F.lit(-22.0), "dx": F.lit(0.05), "dy": F.lit(0.05), "crs": F.lit("EPSG:4326")}
+    meta = v.raster_meta(spark, sf).filter("raster = 'parts'").withColumns(place)
+    points = v.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"),
+        (F.lit(300000.0) + unit_uniform("gx", "o_orderkey") * F.lit(300000.0)).alias("x"),
+        (F.lit(-2300000.0) - unit_uniform("gy", "o_orderkey") * F.lit(5000.0 * (height + 10))).alias("y"),
+    )
+    text = points.select("key", point_feature(F.col("x"), F.col("y"), [F.col("price")]).alias("value"))
+    inputs = Inputs(
+        features=point_ops.parse_features(text), cells=raster.split_bands(v.raster_cells(spark, sf), meta), meta=raster.band_meta(meta),
+        grid={"x0": 300000.0, "y0": -2300000.0, "dx": 5000.0, "dy": 5000.0, "width": 60, "height": height + 10},
+    )
+    conf = WorkflowConfig(covariates=["parts_1", "parts_2", "parts_1", "nowhere"], target=TargetConfig(property="price"))
+    made = prepare(inputs, conf)
+    return made.training.select("key", *[F.col(c).cast("double").alias(c) for c in ("target", "parts_1", "parts_2")])

@@ -80,7 +80,7 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax"
     )
     parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
-    items = spread(items)
+    items = spread(items, "l_orderkey")
     joined = items.join(parts, items.l_partkey == parts.p_partkey).withColumn("key", _training_key())
     amount = F.col("l_quantity") * F.col("p_retailprice") * (F.lit(1) - F.col("l_discount"))
     return joined.select(
@@ -210,7 +210,7 @@ POINTS_SQL = f"""points AS (
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
     height = area_of(spark, sf)["height"]
-    return spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey")).select(
+    return spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey"), "o_orderkey").select(
         F.col("o_orderkey").alias("point_id"),
         (F.lit(X0 - STEP / 2) + unit_uniform("px", "o_orderkey") * F.lit(STEP * (GRID_WIDTH + 1))).alias("x"),
         (F.lit(Y0 + STEP / 2) - unit_uniform("py", "o_orderkey") * F.lit(STEP * (height + 1))).alias("y"),
@@ -229,6 +229,3 @@ def point_features(spark: SparkSession, sf: str) -> DataFrame:
     )
     return parse_features(text)
 
-
-def hash_order(seed: str | int, key: str = "key") -> Column:
-    return order_value(seed, key)

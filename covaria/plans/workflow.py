@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -18,9 +18,9 @@ from ..operators import explore, ranking, search as search_ops, shapley
 from ..operators.clean import cast_float, clean, clean_selected
 from ..operators.points import normalise_points, project_points
 from ..operators.predict import prediction_map
-from ..operators.raster import sample_at_points
+from ..operators.raster import GEOGRAPHIC, PROJECTED, reproject, sample_at_points, suggested_grid, to_projection
 from ..operators.scoring import fit_and_predict, out_of_fold, predicted_vs_real
-from ..operators.sets import match_exact
+from ..operators.sets import match_exact, usable
 from ..operators.split import assign_folds, assign_group_folds, holdout
 from ..schema import covariates_of
 from ..session import cut_lineage, held
@@ -43,6 +43,22 @@ class Inputs:
     mask: DataFrame | None = None
     oos_features: DataFrame | None = None
     shap_features: DataFrame | None = None
+    # Where covariates in degrees are brought to; without it a grid is worked out for each.
+    grid: Row | dict[str, Any] | None = None
+
+
+def projected(spark: SparkSession, inputs: Inputs) -> Inputs:
+    """The inputs with all covariates, the area and its mask in the projection."""
+    cells, meta = to_projection(spark, inputs.cells, inputs.meta, inputs.grid)
+    area, mask = inputs.area, inputs.mask
+    crs = None if area is None else (area.asDict() if isinstance(area, Row) else area).get("crs")
+    if crs in GEOGRAPHIC:
+        known = area.asDict() if isinstance(area, Row) else area
+        target = {**known, **(inputs.grid or suggested_grid(spark, area)), "crs": PROJECTED}
+        if mask is not None:
+            mask = reproject(mask, area, target, spark)
+        area = target
+    return replace(inputs, cells=cells, meta=meta, area=area, mask=mask)
 
 
 def build_training_table(
@@ -74,15 +90,26 @@ class Prepared:
     oos: DataFrame | None
     shap: DataFrame | None
     rejects: DataFrame
+    covariates: list[str]
+    left_out: DataFrame
 
 
 def prepare(inputs: Inputs, conf: WorkflowConfig) -> Prepared:
-    """Training, out-of-sample and Shapley tables, with group folds if asked for."""
+    """Training, out-of-sample and Shapley tables, with group folds if asked for.
+
+    Covariates in degrees are brought to the projection.  A covariate that is
+    named twice counts once, and one that does not exist is left out; both are
+    reported in `left_out`.
+    """
     t = conf.target
+    inputs = projected(inputs.meta.sparkSession, inputs)
+    names, left_out = usable(conf.covariates, inputs.meta)
+    if not names:
+        raise ValueError(f"none of the covariates exists: {list(conf.covariates)}")
 
     def table(features: DataFrame, prop: str | None) -> tuple[DataFrame, DataFrame]:
         rows, lost = build_training_table(
-            features, inputs.cells, inputs.meta, conf.covariates, prop, t.weight, t.group, t.geographic
+            features, inputs.cells, inputs.meta, names, prop, t.weight, t.group, t.geographic
         )
         # Sampling the rasters is the costly part: splits and folds read its result.
         return cut_lineage(rows), lost
@@ -97,7 +124,7 @@ def prepare(inputs: Inputs, conf: WorkflowConfig) -> Prepared:
         oos, _ = table(inputs.oos_features, t.property)
     if inputs.shap_features is not None:
         shap, _ = table(inputs.shap_features, None)
-    return Prepared(training, oos, shap, rejects)
+    return Prepared(training, oos, shap, rejects, names, left_out)
 
 
 def explore_table(df: DataFrame, prefix: str) -> dict[str, DataFrame]:
@@ -220,6 +247,10 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
     later stages read the written training tables back instead of sampling
     the rasters again.
     """
+    inputs = projected(spark, inputs)
+    names, left_out = usable(conf.covariates, inputs.meta)
+    missed = left_out.count()  # of a short list
+    conf = replace(conf, covariates=names)
     out = WorkflowResult(selected_features=list(conf.selected_features or conf.covariates))
 
     def publish(tables: dict[str, DataFrame]) -> None:
@@ -235,6 +266,8 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
         made = {"training": ready.training, "oos": ready.oos, "shap": ready.shap}
         publish({n: t for n, t in made.items() if t is not None})
         publish({"rejects": ready.rejects.select("reject_reason")})
+        if missed:
+            publish({"left_out": left_out})
     else:
         out.tables.update(_earlier_tables(spark, conf.output_folder))
     training, oos, shap = (out.tables.get(n) for n in ("training", "oos", "shap"))

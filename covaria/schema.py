@@ -48,6 +48,8 @@ RASTER_META_SCHEMA = T.StructType(
         T.StructField("dx", T.DoubleType(), False),
         T.StructField("dy", T.DoubleType(), False),
         T.StructField("nodata", T.DoubleType(), True),
+        # Coordinate system; null for the projection in metres.
+        T.StructField("crs", T.StringType(), True),
     ]
 )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
 import uuid
 
@@ -39,36 +40,43 @@ def build_session(master: str | None = None, app: str = "covaria", **conf: str)
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings that hold for any session, unless they were chosen already."""
+    """Apply the settings that hold for any session, unless the user set them, to whatever value."""
+    chosen = spark.sparkContext.getConf()
     for key, value in METHOD_LIMIT.items():
-        if spark.conf.get(key, None) in (None, "65535"):
+        if not chosen.contains(key) and spark.conf.get(key, None) in (None, "65535"):
             spark.conf.set(key, value)
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores on a table that comes in fewer splits than there are cores.
 
     Looks at the split count only; a table of many files is left as it is.
-    Hashing whole rows is even and, unlike round robin, needs no sort to be
-    repeatable.
+    Choose the columns before: what is dealt out by `key` here is not pruned
+    later.  Unlike round robin, a key needs no sort to be repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+@functools.lru_cache(maxsize=1)
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """One folder for a local master, gone with the process."""
+    return tempfile.TemporaryDirectory(prefix="covaria-", ignore_cleanup_errors=True)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
     Only a local master (tests, a laptop) may go without such a folder; it
-    gets a temporary one.
+    gets a temporary one, which is deleted when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return f"{base.rstrip('/')}/covaria-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="covaria-")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _local_folder().name
+    return f"{base.rstrip('/')}/covaria-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

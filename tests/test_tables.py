@@ -161,7 +161,7 @@ def test_csv_readers(spark, tmp_path):
 def test_geojson_document_round_trip(spark, tmp_path):
     df = spark.range(25).select("id", F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y"))
     path = str(tmp_path / "doc")
-    sinks.write_geojson_collection(df, path, ["id"], "id")
+    sinks.write_geojson_collection(df, path, ["id"], "id", one_file=True)
     text = "\n".join(p.read_text() for p in sorted((tmp_path / "doc").glob("part-*")))
     doc = json.loads(text)
     assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 25
