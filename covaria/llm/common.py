@@ -36,8 +36,10 @@ def spread_join(
     hot = right.filter(is_hot).select(
         *[F.col(k).alias(f"_h_{k}") for k in keys], *[F.col(c).alias(f"_h_{c}") for c in added], F.lit(True).alias("_is_hot")
     )
+    # Always 0, but not for the optimizer: with a constant it would take the place out of the shuffle's key.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
     cold = right.filter(~is_hot).select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in added], F.lit(0).alias("_c_place")
+        *[F.col(k).alias(f"_c_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in added], zero.alias("_c_place")
     )
     some_null = F.lit(False)
     for k in keys:

@@ -50,6 +50,11 @@ def test_spread_join_keeps_hot_and_null_keys(spark):
     right = left.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"), F.min("i").alias("low"))
     got = common.spread_join(left, right, ["k"], "n", 3000, ["i"])
     assert got.count() == 3001 and got.filter("low IS NULL").count() == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = common.spread_join(left, right, ["k"], "n", 3000, ["i"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The place is part of the shuffle's key, so rows of a hot key do not meet.
+    assert "SortMergeJoin [_place#" in plan and "hashpartitioning(_place#" in plan and "hashpartitioning(_c_place#" in plan
     assert got.filter("k = 1").select("low", "n").distinct().collect() == [(1, left.filter("k = 1").count())]
 
 
