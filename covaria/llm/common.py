@@ -55,6 +55,25 @@ def spread_join(
     return out.select(*left.columns, *[F.coalesce(f"_h_{c}", f"_c_{c}").alias(c) for c in added])
 
 
+def pair_tiles(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
+    """Split the rows of large keys so that every pair of rows of a key still meets, and in one place.
+
+    Adds `tile`, `part` and `cross`.  A key with n > `size` rows has
+    ceil(n / size) parts; a row goes to one tile for each part of its key.
+    The pairs of a tile are those of two different parts if `cross`, else all.
+    `rows` is read twice, so it should be cheap to make or written out.
+    """
+    sizes = cut_lineage(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > size))
+    if sizes.isEmpty():
+        return rows.select(*rows.columns, F.col(key).alias("tile"), F.lit(0).alias("part"), F.lit(False).alias("cross"))
+    counted = spread_join(rows, sizes, [key], "_rows", rows.count(), [item])
+    parts = F.coalesce(F.ceil(F.col("_rows") / size), F.lit(1)).cast("int")
+    part = F.pmod(F.xxhash64(item), parts).cast("int")
+    each = counted.select(*rows.columns, part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_other"))
+    low, high = F.least("part", "_other"), F.greatest("part", "_other")
+    return each.select(*rows.columns, F.xxhash64(key, low, high).alias("tile"), "part", (low != high).alias("cross"))
+
+
 def plain_names(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """`df` with columns c0, c1, ... in their order, and their real names, so added columns cannot clash with them."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), df.columns

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from .common import components, spread_join, table
+from .common import components, pair_tiles, spread_join, table
 from .registry import query
 
 THRESHOLD = 0.98
@@ -21,6 +21,9 @@ GRID_DIMS = 4
 SEED = 7
 # Rows of one side that are compared at a time.
 ROWS = 256
+# A cell with more rows is not searched for promising ones, and is verified in tiles of its parts.
+CELL_ROWS = 8192
+TILE_ROWS = 512
 # Slack of the budgets against rounding, and wider slack of the grid.
 TIGHT, WIDE = 1e-6, 1e-3
 _OFFSETS = np.array([o for o in itertools.product((-1, 0, 1), repeat=GRID_DIMS) if o >= (0,) * GRID_DIMS], np.int64)
@@ -122,7 +125,7 @@ def by_cell(find):
 
     def columns_of(batches: list[pa.RecordBatch]) -> list:
         whole = pa.Table.from_batches(batches).combine_chunks()
-        return [c.chunk(0) if pa.types.is_list(c.type) else c.to_numpy() for c in whole.columns] if whole.num_rows else []
+        return [c.chunk(0) if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False) for c in whole.columns] if whole.num_rows else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -142,14 +145,21 @@ def by_cell(find):
     return run
 
 
-def _promising(threshold: float):
-    """Members of a cell that may have a partner in it, by the block's leading coordinates and the lengths of all blocks."""
+def _promising(threshold: float, most: int):
+    """Members of a cell that may have a partner in it, by the block's leading coordinates and the lengths of all blocks.
+
+    All members of a very large cell count as promising: they are left to the
+    exact step, which splits it.
+    """
     bound = 2 - 2 * threshold + 1e-6
 
     def find(cell, ids, labels, place, budget, y0, y1, y2, y3, norms0, norms1):
         home = np.flatnonzero(place >= 0)
         if not len(home):
             return
+        if len(cell) > most:
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(ids), pa.array(place)], ["cell", "id", "place"])
+            return
         y = np.stack((y0, y1, y2, y3), axis=1).astype(np.float64)
         norms = np.ascontiguousarray(np.stack((norms0, norms1), axis=1)).view(np.uint8).astype(np.int16)
         block = np.where(place >= 0, place, -1 - place)
@@ -173,13 +183,13 @@ def _promising(threshold: float):
 
 
 def _verified(threshold: float):
-    """Exact links of a cell: counts for each member, and links enough to connect what is linked.
+    """Exact links of a cell, or of a tile of a large cell: counts for each member, and links enough to connect what is linked.
 
     A pair is counted in the first block whose budget it keeps, so once over
     all cells.
     """
 
-    def find(cell, ids, place, weights, labels, x):
+    def find(tile, ids, place, part, cross, weights, labels, x):
         block = np.where(place >= 0, place, -1 - place)
         for at, matrix in _vectors(x):
             _, blocks, budgets = plan(matrix.shape[1], threshold)
@@ -194,6 +204,7 @@ def _verified(threshold: float):
                 h = home[start : start + ROWS]
                 linked = unit[h] @ unit.T >= threshold
                 linked &= (labels[at][h, None] == labels[at][None, :]) & (block[at][h, None] == block[at][None, :])
+                linked &= ~cross[at][h, None] | (part[at][h, None] != part[at][None, :])
                 linked[np.arange(len(h)), h] = False
                 for i, row in zip(h, linked):
                     near = np.flatnonzero(row)
@@ -245,9 +256,10 @@ def groups(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     reps = nodes.withColumnRenamed("rep", "id")
     met = visits(reps, threshold).repartition("cell").sortWithinPartitions("cell")
-    members = met.mapInArrow(_promising(threshold), "cell long, id long, place int")
-    full = members.join(reps.select("id", "n", "label", "x"), "id").select("cell", "id", "place", "n", "label", "x")
-    found = full.repartition("cell").sortWithinPartitions("cell").mapInArrow(_verified(threshold), "a long, b long, links long")
+    members = met.mapInArrow(_promising(threshold, CELL_ROWS), "cell long, id long, place int")
+    tiled = pair_tiles(cut_lineage(members), "cell", "id", TILE_ROWS)
+    full = tiled.join(reps.select("id", "n", "label", "x"), "id").select("tile", "id", "place", "part", "cross", "n", "label", "x")
+    found = full.repartition("tile").sortWithinPartitions("tile").mapInArrow(_verified(threshold), "a long, b long, links long")
     found = cut_lineage(found)
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     stars = components(found.filter("b IS NOT NULL").select("a", "b").distinct())

@@ -177,8 +177,10 @@ def test_every_page_finds_its_neighbour_across_ranges(spark):
 # --- embeddings
 
 
-@pytest.mark.parametrize("dim", [3, 16, 64, 70])
-def test_vectors_match_brute_force(spark, dim):
+@pytest.mark.parametrize("dim, tile, cell", [(3, 512, 8192), (16, 512, 8192), (64, 3, 8192), (70, 512, 2), (64, 2, 2)])
+def test_vectors_match_brute_force(spark, monkeypatch, dim, tile, cell):
+    monkeypatch.setattr(vectors, "TILE_ROWS", tile)
+    monkeypatch.setattr(vectors, "CELL_ROWS", cell)
     rng = np.random.default_rng(dim)
     rows, n = [], 0
     for label in (0, 1, None):
