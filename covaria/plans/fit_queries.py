@@ -147,6 +147,54 @@ def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, "DecisionTreeRegressor", path).transform(oos).select("key", "target", "prediction")
 
 
+# What SQL can state of trained models: how many rows they answer, and that the answers hold to the data.
+_QUALITY = {
+    "XGBRegressor": _PROBE,
+    "CatBoostRegressor": {"iterations": 5, "depth": 4, "learning_rate": 0.3},
+    "LightGBMRegressor": {"n_estimators": 5, "num_leaves": 15, "learning_rate": 0.3},
+    "RandomForestRegressor": {"n_estimators": 10, "max_depth": 6},
+    "DecisionTreeRegressor": {"max_depth": 6},
+    "SVMRegressor": {"components": 16, "max_iter": 10},
+    "GramRegressor": {},
+}
+_HELD_SQL = f"{v.CLEAN_SQL}, num AS (SELECT key, CAST(target AS DOUBLE) AS target FROM clean), {v.sql_holdout('num', 10)}"
+_NAMES_SQL = ", ".join(f"('{n}')" for n in _QUALITY)
+
+
+@query(
+    "model_quality",
+    f"WITH {_HELD_SQL}, n AS (SELECT count(*) AS n_rows, count(DISTINCT key) AS n_keys, sum(target) AS total FROM held WHERE is_oos)"
+    f" SELECT name, n_rows, n_keys, round(total, 0) AS total, true AS answered, true AS plausible, true AS better_than_mean, true AS same_when_loaded"
+    f" FROM n, (VALUES {_NAMES_SQL}) t(name)",
+)
+def model_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every kind of model on the held-out rows.
+
+    plausible: no prediction is farther from the labels than a quarter of
+    their range; better_than_mean: less squared error than the labels' own
+    mean; same_when_loaded: the saved model predicts alike.
+    """
+    train, oos = _split(spark, sf)
+    rows = []
+    with held(train) as train, held(oos) as oos:
+        for name, param in _QUALITY.items():
+            path = f"{shared_folder(spark)}/model"
+            fitted = regressor(name, param).fit(train, v.FEATURES)
+            fitted.save(path)
+            both = load(spark, name, path).transform(fitted.transform(oos, "p"), "q")
+            y, p, q = F.col("target").cast("double"), F.col("p"), F.col("q")
+            low, high = F.min(y), F.max(y)
+            slack = (high - low) / 4
+            rows.append(both.agg(
+                F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct("key").alias("n_keys"),
+                F.round(F.sum(y), 0).alias("total"), (F.count(F.when(~F.isnan(p), p)) == F.count(F.lit(1))).alias("answered"),
+                ((F.min(p) >= low - slack) & (F.max(p) <= high + slack)).alias("plausible"),
+                (F.avg((p - y) * (p - y)) < F.var_pop(y)).alias("better_than_mean"),
+                (F.max(F.abs(p - q)) < 1e-6).alias("same_when_loaded"),
+            ).first())
+    return spark.createDataFrame(rows)
+
+
 # ---- search ------------------------------------------------------------------------------------
 
 
@@ -188,6 +236,48 @@ def halving_search(spark: SparkSession, sf: str) -> DataFrame:
     return _search(spark, sf, "HyperBand", {"ridge": d.loguniform(1e-6, 1.0)}, 5, "GramRegressor")
 
 
+_METHODS = {
+    "GridSearch": ({"ridge": [0.0, 0.1, 10.0]}, 3),
+    "RandomSearch": ({"ridge": d.loguniform(1e-6, 1.0)}, 3),
+    "HyperOptSearch": ({"ridge": d.loguniform(1e-6, 1.0)}, 4),
+    "BayesianOptimization": ({"ridge": d.loguniform(1e-6, 1.0)}, 5),
+    "HyperBand": ({"ridge": d.loguniform(1e-6, 1.0)}, 5),
+}
+
+
+@query(
+    "search_quality",
+    f"WITH {_HELD_SQL}, n AS (SELECT sum(CASE WHEN is_oos THEN 1 ELSE 0 END)::BIGINT AS n_oos FROM held)"
+    " SELECT name, n_trials, n_oos, true AS ids_once, true AS scored, true AS best_is_largest, true AS refit_as_best FROM n, (VALUES "
+    + ", ".join(f"('{m}', {n}::BIGINT)" for m, (_, n) in _METHODS.items())
+    + ") t(name, n_trials)",
+)
+def search_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every search method: all trials are there once and scored, the best has the largest score, and its parameters were refitted."""
+    train, oos = _split(spark, sf)
+    rows = []
+    metric = "oos_mean_absolute_error_scorer"
+    with held(split.assign_group_folds(train, "groupcv", 2)) as train, held(oos) as oos:
+        n_oos = oos.count()
+        for name, (space, n) in _METHODS.items():
+            found = search.search(
+                train, oos, _THREE, lambda p: regressor("GramRegressor", p), space, name, metric, ["mean_absolute_error_scorer"],
+                n_iteration=n, n_splits=2, jobs=4,
+            )
+            trials = found.trials.collect()  # one row per trial
+            best = found.best.first()
+            whole = [t["scores"] for t in trials if t["scores"].get(search.BUDGET, 1.0) >= 1.0]
+            again = regressor("GramRegressor", {k: float(x) for k, x in best["params"].items()}).fit(train, _THREE)
+            rows.append((
+                name, len(trials), n_oos, sorted(t["trial_id"] for t in trials) == list(range(n)),
+                all(t["scores"].get(metric) is not None for t in trials), best["scores"][metric] == max(x[metric] for x in whole),
+                bool(abs(again.fit.weights - found.model.fit.weights).max() < 1e-6),
+            ))
+    return spark.createDataFrame(
+        rows, "name string, n_trials long, n_oos long, ids_once boolean, scored boolean, best_is_largest boolean, refit_as_best boolean"
+    )
+
+
 # ---- drift and workflow --------------------------------------------------------------------------
 
 
