@@ -10,10 +10,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import cut_lineage
-from .common import components, spread_join, table, without
+from .common import components, pair_tiles, spread_join, table, without
 from .registry import query
 
 SEED = 42
+# Distinct fingerprints of a cell that are compared in one piece.
+CELL_SIZE = 50_000
 # Words of a long text are taken in portions of this many bytes.
 PORTION = 4 << 20
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -177,8 +179,8 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
 
     All linked pairs of a cell with up to 32 fingerprints are given; of a
     larger cell only as many as connect it, so a group of near copies gives
-    few rows.  Batches pass through in the order of the cells; what is held is
-    one cell, 24 bytes for each of its distinct fingerprints.
+    few rows.  A cell with more than CELL_SIZE distinct fingerprints is cut
+    into tiles in which all its pairs meet; a task holds one tile at a time.
     """
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +196,8 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
                 )
 
     visited = fps.select("fp", "id").mapInArrow(visit, "cell long, fp long, id long")
-    return visited.repartition("cell").sortWithinPartitions("cell").mapInArrow(linker(distance), "a long, b long")
+    tiled = pair_tiles(visited, "cell", "fp", CELL_SIZE).select("tile", "fp", "id")
+    return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(linker(distance), "a long, b long")
 
 
 def groups(

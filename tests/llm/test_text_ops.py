@@ -78,8 +78,9 @@ def test_fingerprints_match_the_definition(spark, monkeypatch):
         assert simhash.fingerprint(None if t is None else t[:5000].encode()) == fingerprint(t and t[:5000])
 
 
-@pytest.mark.parametrize("short", [2, 32])
-def test_links_connect_what_is_within_the_distance(spark, short):
+@pytest.mark.parametrize("short, cell", [(2, 50_000), (32, 50_000), (32, 7)])
+def test_links_connect_what_is_within_the_distance(spark, monkeypatch, short, cell):
+    monkeypatch.setattr(simhash, "CELL_SIZE", cell)
     rng = np.random.default_rng(5)
     base = rng.integers(-(2**62), 2**62, 30)
     fps = {int(b) for b in base}
