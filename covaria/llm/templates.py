@@ -130,7 +130,26 @@ def drop_templates(
     return kept.drop("n_lines", "n_dropped").toDF(*names)
 
 
-@query("op10_line_templates")
+OP10_SQL = rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
+w AS (SELECT doc_id, line_no, list_filter(string_split_regex(line, '\s+'), lambda x: x <> '') AS ws FROM l),
+m AS (SELECT doc_id, line_no, len(ws) AS n, list_transform(ws, lambda x: CASE WHEN regexp_matches(x, '[0-9]|@|://') THEN '{FIELD}' ELSE x END) AS ws
+  FROM w WHERE len(ws) >= {MIN_WORDS}),
+k AS (SELECT doc_id, line_no, n || ' ' || array_to_string(ws, ' ') AS key FROM m WHERE n < {FIELD_WORDS} UNION ALL
+  SELECT doc_id, line_no, n || ' ' || p || ' ' || array_to_string(ws[1:{LEAD} + (n - {LEAD}) * p // {PARTS}], ' ') || chr(9) ||
+    array_to_string(ws[{LEAD} + (n - {LEAD}) * (p + 1) // {PARTS} + 1:], ' ') FROM m, range({PARTS}) r(p) WHERE n >= {FIELD_WORDS}),
+g AS (SELECT key, min(doc_id) AS keeper FROM k GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+gone AS (SELECT DISTINCT doc_id, line_no FROM k JOIN g USING (key) WHERE keeper < doc_id),
+c AS (SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.line_no) FILTER (gone.doc_id IS NULL), '') AS text, count(*) AS n_lines,
+    count(gone.doc_id) AS n_dropped
+  FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.line_no = l.line_no GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(c.text, '') END AS text, coalesce(n_lines, 0)::BIGINT AS n_lines,
+  coalesce(n_dropped, 0)::BIGINT AS n_dropped
+FROM documents d LEFT JOIN c USING (doc_id)
+"""
+
+
+@query("op10_line_templates", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """Each document with its remaining text, its number of lines, and how many of them were dropped."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
