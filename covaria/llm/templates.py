@@ -39,7 +39,8 @@ def template_keys(
     n = len(words)
     if n < min_words:
         return []
-    words = [FIELD if VARIABLE.search(w) else w for w in words]
+    if VARIABLE.search(line):
+        words = [FIELD if VARIABLE.search(w) else w for w in words]
     if n < field_words:
         return [xxhash.xxh3_128_digest(f"{n} {' '.join(words)}")]
     cuts = [lead + (n - lead) * k // parts for k in range(parts + 1)]
