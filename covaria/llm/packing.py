@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import cut_lineage
 from .common import table
 from .registry import query
 from .token_cache import encoded, public_tokenizer
@@ -107,8 +108,7 @@ def token_sizes(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
-    from ..session import cut_lineage
-
+    """Whole documents by the tokens of their texts."""
     sized = cut_lineage(token_sizes(docs))  # counted for the shards, then packed
     return pack(sized).withColumnRenamed("id", "doc_id")
 
