@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from ..functions.naming import band_name
 from ..functions.projection import albers_forward, albers_inverse
 from ..schema import MISSING
-from .joins import fits, is_small, lookup_join
+from .joins import BROADCAST_ROWS, fits, is_small, lookup_join
 
 TILE = 256
 
@@ -110,7 +110,7 @@ def sample_at_points(
 ) -> DataFrame:
     """Add one column per covariate: the value of the cell under each point.
 
-    If the points are few, only the cells under them are stacked.  `unique`
+    If the points are few and a grid is large, only the cells under them are stacked.  `unique`
     is a grid that has one point in each cell: there no hot cell is looked for.
 
     Covariates on one grid are stacked first, so the points travel once per
@@ -120,7 +120,8 @@ def sample_at_points(
     """
     out = points
     groups, info = _grid_groups(meta, names)
-    few = unique is None and fits(points.select(x, y), points.count())
+    large = any(grid["width"] * grid["height"] > BROADCAST_ROWS for grid, _ in groups)
+    few = large and unique is None and fits(points.select(x, y), points.count())
     for grid, members in groups:
         row, col = cell_of(F.col(x), F.col(y), grid)
         placed = out.withColumns({"row": row, "col": col})
