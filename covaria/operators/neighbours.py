@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.hashing import order_value
+from .joins import is_small
 
 # Tasks get this module's helpers with the closure, whether or not the package
 # is installed on the executors.
@@ -213,7 +214,7 @@ def nearest(
     r = _narrow(reference, reference_key, features, "neighbour")
     schema = _pairs_schema(q.schema["query"].dataType, r.schema["neighbour"].dataType)
     limit = max(1, shipped_values // max(width, 1))
-    if r.limit(limit + 1).count() <= limit:
+    if r.count() <= limit:
         found = _shipped(q, r, width, k, skip_self, schema)
     else:
         found = _by_cells(q, r, width, k, skip_self, schema, pivots, block_rows)
@@ -226,16 +227,22 @@ def nearest(
     )
 
 
+def with_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels beside the pairs.  A row near to very many queries is a hot key, so labels of a proven size are broadcast;
+    others leave a hot key to the runtime's skew handling, for finding it first would search all neighbours twice."""
+    return pairs.join(F.broadcast(labels) if is_small(labels) else labels, "neighbour")
+
+
 def neighbour_mean(pairs: DataFrame, reference: DataFrame, key: str, label: str) -> DataFrame:
     """(query, prediction): mean label of the neighbours."""
     labels = reference.select(F.col(key).alias("neighbour"), F.col(label).cast("double").alias("_label"))
-    return pairs.join(labels, "neighbour").groupBy("query").agg(F.avg("_label").alias("prediction"))
+    return with_labels(pairs, labels).groupBy("query").agg(F.avg("_label").alias("prediction"))
 
 
 def neighbour_vote(pairs: DataFrame, reference: DataFrame, key: str, label: str) -> DataFrame:
     """(query, prediction, share): most frequent label, smallest label on ties."""
     labels = reference.select(F.col(key).alias("neighbour"), F.col(label).alias("_label"))
-    counts = pairs.join(labels, "neighbour").groupBy("query", "_label").agg(F.count(F.lit(1)).alias("_n"))
+    counts = with_labels(pairs, labels).groupBy("query", "_label").agg(F.count(F.lit(1)).alias("_n"))
     # At most k labels per query.
     return counts.groupBy("query").agg(
         F.max_by("_label", F.struct(F.col("_n"), -F.col("_label"))).alias("prediction"),
