@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import plain_names, table, without
+from .common import plain_names, table
 from .registry import query
 
 WINDOW = 10
@@ -50,8 +50,9 @@ def scan(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """(id, n_words, spans, items) for each row of `docs`.
+    """(id, same, n_words, spans, items) for each row of `docs`.
 
+    same: xxhash64 of the text, which tells rows that share or lack an id apart;
     spans: (at, len) of each verified occurrence, `at` counted from 1, sorted;
     items: sorted ids of the items with an occurring window.  A window is
     looked up by hash and then compared word by word.  Null and empty texts
@@ -85,7 +86,7 @@ def scan(
         F.sort_array(F.collect_set("span")).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
-    out = found.select("id", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_"))
+    out = found.select("id", F.col("_same").alias("same"), "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_"))
     return out.drop("_")
 
 
@@ -101,10 +102,23 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda acc: acc["n"])
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` without any benchmark window."""
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", by_id: bool = True
+) -> DataFrame:
+    """The rows of `docs` without any benchmark window.
+
+    With `by_id` a window in one row takes all rows that share its id; else a
+    row goes only if its own text holds a window.  Rows without an id are
+    always judged by their own text.
+    """
     hit = scan(docs, benchmark, window, id_col, text_col).filter(F.size("spans") > 0)
-    return without(docs, hit.select("id"), id_col)
+    plain, names = plain_names(docs)
+    key, own = plain[f"c{names.index(id_col)}"], F.xxhash64(plain[f"c{names.index(text_col)}"])
+    same = F.col("same")
+    if by_id:
+        own, same = F.when(key.isNull(), own), F.when(F.col("id").isNull(), same)
+    gone = hit.select(F.col("id").alias("_id"), same.alias("_own")).distinct()
+    return plain.join(gone, key.eqNullSafe(gone["_id"]) & own.eqNullSafe(gone["_own"]), "left_anti").toDF(*names)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
