@@ -36,9 +36,10 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, item_col: str
     """(h, window_words, items): each distinct window once, with the sorted ids of its items as strings.
 
     An item of fewer words than a window, but not none, is one window.  Items
-    without an id are left out; items that share an id count as one.
+    without an id have windows, but add nothing to `items`; items that share
+    an id count as one.
     """
-    w = benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), words(F.col(text_col)).alias("w"))
+    w = benchmark.select(F.col(item_col).cast("string").alias("item"), words(F.col(text_col)).alias("w"))
     w = w.filter(F.size("w") > 0)
     length = F.least(F.size("w"), F.lit(window))
     each = w.select("item", "w", F.explode(_windows(F.col("w"), length)).alias("x"))

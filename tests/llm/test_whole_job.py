@@ -1,6 +1,9 @@
 """Rows, lines and elements that a stage must not leave out or take with others."""
 
+import duckdb
+
 import corpus_pipeline
+from check_oracle import compare
 from covaria.llm import decontaminate
 
 from .helpers import documents, prose
@@ -19,3 +22,17 @@ def test_decontamination_takes_only_rows_with_a_window(spark, tmp_path):
     # By id, rows that share an id go together; rows without one never do.
     got = decontaminate.clean_documents(docs, bench)
     assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted([c for c in clean if c[0] != 1], key=str)
+
+
+def test_benchmark_items_without_an_id_are_found(spark, tmp_path):
+    one, other = prose(701, 12), prose(702, 12)
+    documents(spark, [(1, "a " + one), (2, "b " + other), (3, "c " + one + " " + other), (4, "clean")]).write.parquet(str(tmp_path / "documents.parquet"))
+    bench = spark.createDataFrame([(None, one), (7, other), (None, other)], "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = decontaminate.op7(spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    cur = con.execute(decontaminate.OP7_SQL)
+    assert compare(got.columns, [tuple(r) for r in got.collect()], [d[0] for d in cur.description], cur.fetchall()) is None
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in got.collect()} == {1: (12, 0), 2: (12, 1), 3: (24, 1), 4: (0, 0)}
