@@ -13,13 +13,15 @@ from ..session import cut_lineage
 from .common import plain_names, spread_join, table
 from .registry import query
 
-# Lines under MIN_WORDS words are left alone; under FIELD_WORDS only masked fields may differ.
+# Lines under MIN_WORDS words are left alone, or with `short` filed by their exact words; under FIELD_WORDS only masked fields may differ.
 MIN_WORDS = 5
 FIELD_WORDS = 8
 # Leading words that are constant in a template, and the parts of the rest of which one may vary.
 LEAD = 2
 PARTS = 4
 MIN_DOCS = 2
+# A leaf is a template if at least one in CONSTANT of all words of the line are constant in it.
+CONSTANT = 2
 VARIABLE = regex.compile(r"\d|@|://")
 FIELD = "<*>"
 
@@ -33,20 +35,35 @@ def template_keys(
     words.  Words with digits, mail addresses and links are fields in every
     leaf.  In a line of `field_words` or more the words after the leading ones
     make `parts` runs of equal length, and each leaf makes a field of one run:
-    lines that differ in one run of words meet there.
+    lines that differ in one run of words meet there.  A leaf needs half of
+    the line's words as constants; a line without such a leaf, like a row of
+    numbers, is filed by its exact words.
     """
     words = line.split()
     n = len(words)
     if n < min_words:
         return []
+    exact = words
+    fields = [False] * n
     if VARIABLE.search(line):
-        words = [FIELD if VARIABLE.search(w) else w for w in words]
+        fields = [bool(VARIABLE.search(w)) for w in words]
+        words = [FIELD if f else w for w, f in zip(words, fields)]
+    constant = n - sum(fields)
     if n < field_words:
-        return [xxhash.xxh3_128_digest(f"{n} {' '.join(words)}")]
+        if CONSTANT * constant >= n:
+            return [xxhash.xxh3_128_digest(f"{n} {' '.join(words)}")]
+        return [exact_key(exact)]
     cuts = [lead + (n - lead) * k // parts for k in range(parts + 1)]
-    return [
+    keys = [
         xxhash.xxh3_128_digest(f"{n} {k} {' '.join(words[: cuts[k]])}\0{' '.join(words[cuts[k + 1]:])}") for k in range(parts)
+        if CONSTANT * (constant - (cuts[k + 1] - cuts[k]) + sum(fields[cuts[k] : cuts[k + 1]])) >= n
     ]
+    return keys or [exact_key(exact)]
+
+
+def exact_key(words: list[str]) -> bytes:
+    """The leaf of lines with exactly these words."""
+    return xxhash.xxh3_128_digest(f"exact {' '.join(words)}")
 
 
 def filed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **tree: int) -> DataFrame:
