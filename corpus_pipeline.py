@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go from all documents but the first; no document goes."""
-    return templates.drop_templates(docs)
+    """Lines of recurring templates and recurring short lines go from all documents but the first; no document goes."""
+    return templates.drop_templates(docs, short=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

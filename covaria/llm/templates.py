@@ -22,12 +22,16 @@ PARTS = 4
 MIN_DOCS = 2
 # A leaf is a template if at least one in CONSTANT of all words of the line are constant in it.
 CONSTANT = 2
+# A word or, in scripts that set no blanks between words, two characters.
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+HAS_UNSPACED = regex.compile(f"[{UNSPACED}]")
+SHORT_WORD = regex.compile(rf"(?:[{UNSPACED}]\p{{M}}*+){{1,2}}|[^\s{UNSPACED}]+")
 VARIABLE = regex.compile(r"\d|@|://")
 FIELD = "<*>"
 
 
 def template_keys(
-    line: str, min_words: int = MIN_WORDS, field_words: int = FIELD_WORDS, lead: int = LEAD, parts: int = PARTS
+    line: str, min_words: int = MIN_WORDS, field_words: int = FIELD_WORDS, lead: int = LEAD, parts: int = PARTS, short: bool = False
 ) -> list[bytes]:
     """Leaves of the tree in which a line is filed.
 
@@ -38,11 +42,14 @@ def template_keys(
     lines that differ in one run of words meet there.  A leaf needs half of
     the line's words as constants; a line without such a leaf, like a row of
     numbers, is filed by its exact words.
+
+    With `short`, lines under `min_words` words are filed by their exact words
+    too, and two characters of a script without blanks count as a word.
     """
-    words = line.split()
+    words = SHORT_WORD.findall(line) if short and not line.isascii() and HAS_UNSPACED.search(line) else line.split()
     n = len(words)
     if n < min_words:
-        return []
+        return [exact_key(words)] if short and n else []
     exact = words
     fields = [False] * n
     if VARIABLE.search(line):
@@ -142,7 +149,8 @@ def drop_templates(
 
     A document may lose all its lines and then has an empty text.  Null texts
     stay null.  Lines repeated within one document only are kept.  Rows that
-    share an id share what they lose.
+    share an id share what they lose.  `short=True` covers lines under
+    `min_words` words and scripts without blanks.
     """
     kept, names = without_lines(docs, dropped_lines(docs, min_docs, id_col, text_col, **tree), id_col, text_col)
     return kept.drop("n_lines", "n_dropped").toDF(*names)

@@ -46,3 +46,15 @@ def test_rows_of_numbers_share_no_template(spark):
     got = {r.doc_id: r.text for r in templates.drop_templates(documents(spark, rows)).collect()}
     # Exact copies still go, and so do templates with constant words.
     assert got == {**dict(rows), 3: "age 1 2 3 4 5", 6: ""}
+
+
+def test_pipeline_drops_short_lines_and_lines_without_blanks(spark):
+    passage = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。"
+    rows = [
+        (1, "All rights reserved.\nown\nPage 3"), (2, "two\nAll  rights reserved.\nPage 4"), (3, passage + "\nbefore"), (4, "after\n" + passage),
+        (5, "\n \nสวัสดีครับ"), (6, "\n \nสวัสดีครับ"), (7, passage.replace("無", "有")), (8, "once here\nonce here"), (None, "All rights reserved."),
+    ]
+    got = corpus_pipeline.drop_repeated_lines(spark, documents(spark, rows), "")
+    # No field in a short line: pages 3 and 4 stay.
+    want = {**dict(rows), 2: "two\nPage 4", 4: "after", 6: "\n ", 7: ""}
+    assert {r.doc_id: r.text for r in got.collect()} == want
