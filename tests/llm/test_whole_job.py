@@ -1,10 +1,11 @@
 """Rows, lines and elements that a stage must not leave out or take with others."""
 
 import duckdb
+import pytest
 
 import corpus_pipeline
 from check_oracle import compare
-from covaria.llm import decontaminate, templates
+from covaria.llm import decontaminate, extract, templates
 
 from .helpers import documents, prose
 
@@ -58,3 +59,19 @@ def test_pipeline_drops_short_lines_and_lines_without_blanks(spark):
     # No field in a short line: pages 3 and 4 stay.
     want = {**dict(rows), 2: "two\nPage 4", 4: "after", 6: "\n ", 7: ""}
     assert {r.doc_id: r.text for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<div class='layout has-sidebar'><article><p>a</article></div>", ["a"]),
+    ("<div id=page class=nav-open><main><p>a</main></div><div class=ad>b</div>", ["a"]),
+    ("<div class='layout sidebar'><div id=menu><h2>t</h2><article><p>a</article></div></div>", ["t", "a"]),
+    ("<main><section class=widget><h1>t</h1><article>a</article></section></main>", ["t", "a"]),
+    ("<div class=banner><main>a<div class=social>b</div></main></div>", ["a"]),
+    ("<article><section id=related-work>a</section><section id=social-history>b</section><section id=naval-war>c</section></article>", ["a", "b", "c"]),
+    ("<article><p>x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>y=2</annotation></math> z</article>", ["x y=2 z"]),
+    # Names still count for what is no article, or beside one.
+    ("<article>a<div class='box related'><article>card</article></div></article><div id=comments><article>troll</article></div>", ["a"]),
+    ("<div class='x ADS'>b</div><nav><article>n</article></nav><p>a", ["a"]), ("<div class=sidebar>b</div>", []),
+])
+def test_names_do_not_take_articles(html, want):
+    assert [t for _, t in extract.blocks(html)] == want
