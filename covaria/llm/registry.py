@@ -8,7 +8,7 @@ from ..plans.registry import Query, Run
 
 QUERIES: dict[str, Query] = {}
 
-MODULES = ("warc", "extract", "token_cache", "toxicity", "simhash", "vectors", "decontaminate", "language", "packing", "templates", "quality", "manifest")
+MODULES = ("warc", "extract", "token_cache", "toxicity", "simhash", "vectors", "decontaminate", "language", "packing", "templates", "quality", "manifest", "phrases")
 
 
 def query(name: str, sql: str | None = None):
