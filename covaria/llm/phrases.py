@@ -4,9 +4,10 @@ Frequent phrases are mined by Toivonen's method.  A sample of the documents
 proposes phrases.  One pass over all documents counts every word, and every
 longer phrase whose two parts of one word less are proposed: these are the
 proposals and their negative border.  A border phrase that turns out frequent
-was missed by the sample; it is added and a further pass counts what can be
-built from it, until nothing is missed.  So all counts are exact, whatever the
-sample held.
+was missed by the sample; it is added, and a further pass counts whatever can be
+built from it.  That pass takes every phrase it counts for the first time for
+frequent when it looks for longer ones, so it closes the search.  All counts are
+exact, whatever the sample held.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import Broadcast, SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import cut_lineage
@@ -30,13 +33,13 @@ LEAST = 30
 TOP = 2000
 # Share of the documents that proposes phrases, and the occurrences there that make a proposal.
 SAMPLE = 8
-LEAST_SAMPLED = 2
+LEAST_SAMPLED = 3
 # Proposals are kept as two bits each in a filter of this many bits: its size does not grow with the data.  A phrase
 # that the filter holds by chance is counted without need, which costs time and changes nothing.
 FILTER_BITS = 27
 # Bytes of text that are looked at in one piece, and different phrases that a task holds before it hands them on.
 PORTION = 1 << 20
-HELD = 400_000
+HELD = 800_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + b"\n" * len(_BREAKS)
@@ -94,8 +97,8 @@ class Hashes:
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=out[1:])
         return out
 
-    def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-        h = (sums[ends] - sums[starts]) * self.down[starts] ^ np.uint64(seed)
+    def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
+        h = (sums[ends] - sums[starts]) * self.down[starts] ^ np.asarray(seed, np.uint64)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(32))
@@ -120,24 +123,40 @@ def held(h: np.ndarray, bitmap: np.ndarray | None) -> np.ndarray:
     return out
 
 
-def admitted(sums, starts, ends, joined, hashes: Hashes, seed: int, bitmap) -> list[np.ndarray]:
-    """For k = 2, 3, ...: the words at which a phrase of k words starts whose parts of k - 1 words the filter holds."""
-    out = []
-    inside = held(hashes.of(sums, starts, ends, seed), bitmap)
+def admitted(sums, starts, ends, joined, hashes: Hashes, seed: int, now, past) -> Iterator[np.ndarray]:
+    """For k = 2, 3, ...: the words at which a phrase of k words starts that is to be counted.
+
+    Without `past`, those whose two parts of k - 1 words are counted and held
+    by `now`.  With `past`, those that `past` did not let in, where a part is
+    good if `now` holds it or if it is counted in this very pass: a part whose
+    count is not known yet is taken for frequent, so nothing is missed again.
+    """
+    h = hashes.of(sums, starts, ends, seed)
+    good = held(h, now)
+    old = held(h, past) if past is not None else None
     for k in range(2, LONGEST + 1):
-        # `inside` marks starts of phrases of k - 1 words that are admitted and held.
-        at = np.flatnonzero(inside[:-1] & inside[1:] & joined[: len(inside) - 1]) if len(inside) else np.zeros(0, np.int64)
-        out.append(at)
-        if k < LONGEST:
-            inside = np.zeros(max(0, len(inside) - 1), bool)
-            inside[at] = held(hashes.of(sums, starts[at], ends[at + k - 1], seed), bitmap)
-    return out
+        at = np.flatnonzero(good[:-1] & good[1:] & joined[: max(0, len(good) - 1)])
+        if past is None:
+            new = at
+        else:
+            was = old[at] & old[at + 1]
+            new = at[~was]
+        yield new
+        if k == LONGEST:
+            return
+        h = hashes.of(sums, starts[at], ends[at + k - 1], seed)
+        good = np.zeros(max(0, len(good) - 1), bool)
+        good[at] = held(h, now)
+        if past is not None:
+            good[new] = True
+            old = np.zeros(len(good), bool)
+            old[at] = was & held(h, past)
 
 
 def count_portion(
     part: bytes, seen: int, group: str, words: Counter | None, longer: list[Counter], hashes: Hashes, now, past
 ) -> int:
-    """Count the phrases of a portion that the filter `now` admits and the filter `past` does not; the number of words."""
+    """Count the words (unless `words` is None) and the admitted phrases of a portion; the number of its words."""
     data = np.frombuffer(part, np.uint8)
     gap = (data == 32) | (data == 10)
     starts = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
@@ -148,28 +167,33 @@ def count_portion(
         words.update(part.split()[seen:])
     joined = data[ends] == 32
     sums, seed = hashes.sums(data), seed_of(group)
-    found = admitted(sums, starts, ends, joined, hashes, seed, now)
-    known = admitted(sums, starts, ends, joined, hashes, seed, past) if past is not None else [None] * len(found)
-    for k, (at, old) in enumerate(zip(found, known), 2):
+    for k, at in enumerate(admitted(sums, starts, ends, joined, hashes, seed, now, past), 2):
         if seen:
             at = at[at + k > seen]
-        if old is not None:
-            at = np.setdiff1d(at, old, assume_unique=True)
         longer[k - 2].update([part[a:b] for a, b in zip(starts[at].tolist(), ends[at + k - 1].tolist())])
     return len(starts) - seen
 
 
-def counted(texts: DataFrame, now: np.ndarray | None, past: np.ndarray | None = None, least: int = LEAST) -> DataFrame:
+def packed(context: SparkContext, *bitmaps: np.ndarray | None) -> Broadcast:
+    """Filters for the tasks, compressed: a filter with few phrases is small."""
+    small = zstandard.ZstdCompressor(level=1)
+    return context.broadcast([None if b is None else small.compress(b.tobytes()) for b in bitmaps])
+
+
+def unpacked(shared: Broadcast) -> list[np.ndarray | None]:
+    large = zstandard.ZstdDecompressor()
+    return [None if b is None else np.frombuffer(large.decompress(b), np.uint8) for b in shared.value]
+
+
+def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST) -> DataFrame:
     """(group, phrase, k, f) with f >= `least` from `texts` (group, text in bytes); k = 0 is the number of all words.
 
-    With `past` the words, and the phrases that `past` admits, are left out.
-    Counts are merged in the tasks before they are shuffled.
+    `shared` holds the filters `now` and `past` of `admitted`.  With `past` the
+    words are left out.  Counts are merged in the tasks before they are shuffled.
     """
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((now, past))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, past = shared.value
+        now, past = unpacked(shared)
         hashes, counters, totals = Hashes(), {}, Counter()
 
         def take(part: bytes, seen: int, group: str) -> None:
@@ -241,18 +265,17 @@ class Proposals:
         Returns the filter as it was, or None if nothing was missing.  What
         comes to the driver are words of the filter, so never more than it.
         """
-        shared = found.sparkSession.sparkContext.broadcast(self.bitmap)
+        shared = packed(found.sparkSession.sparkContext, self.bitmap)
         bits = (len(self.bitmap) * 8).bit_length() - 1
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = Hashes()
+            hashes, (bitmap,) = Hashes(), unpacked(shared)
             for b in batches:
-                hs = []
-                for group, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    data = np.frombuffer(phrase.encode(), np.uint8)
-                    hs.append(hashes.of(hashes.sums(data), np.array([0]), np.array([len(data)]), seed_of(group)))
-                h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-                h = h[~held(h, shared.value)]
+                raws = [phrase.encode() for phrase in b.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, raws)])
+                seeds = np.array([seed_of(group) for group in b.column(0).to_pylist()], np.uint64)
+                h = hashes.of(hashes.sums(np.frombuffer(b"".join(raws), np.uint8)), ends[:-1], ends[1:], seeds)
+                h = h[~held(h, bitmap)]
                 one, two = places(h, bits)
                 at = np.stack([one, two], axis=1).ravel()
                 first = np.tile([1, 0], len(h))
@@ -262,6 +285,7 @@ class Proposals:
         rows = parts.mapInArrow(run, "word long, bit int, phrases long").groupBy("word").agg(
             F.expr("bit_or(shiftleft(1L, bit))").alias("bits"), F.sum("phrases").alias("phrases")
         ).toArrow()
+        shared.destroy()
         new = int(np.sum(rows["phrases"].to_numpy())) if rows.num_rows else 0
         self.added.append(new)
         if not new:
@@ -280,16 +304,24 @@ def frequent(
     `texts` has the columns group and text (bytes); `draw`, a number made from
     the row, picks the sample (`draw` % `sample` == 0).  Returns (group,
     phrase, k, f), with the number of all words of a group as k = 0, and how
-    many phrases the sample and then each pass over all texts added.
+    many phrases the sample proposed and how many it missed.
     """
+    context = texts.sparkSession.sparkContext
     proposals = Proposals(np.zeros(1 << (bits - 3), np.uint8))
+
+    def passed(rows: DataFrame, least: int, *filters: np.ndarray | None) -> DataFrame:
+        shared = packed(context, *filters)
+        out = cut_lineage(counted(rows, shared, least))
+        shared.destroy()
+        return out
+
     # Without a filter everything in the sample is counted.
-    proposals.grow(counted(texts.filter(F.pmod(draw, F.lit(sample)) == 0), None, least=least_sampled))
-    found = cut_lineage(counted(texts, proposals.bitmap, least=least))
-    new = found
-    while (past := proposals.grow(new)) is not None:
-        new = cut_lineage(counted(texts, proposals.bitmap, past, least=least))
-        found = found.unionByName(new)
+    proposals.grow(passed(texts.filter(F.pmod(draw, F.lit(sample)) == 0), least_sampled, None, None))
+    found = passed(texts, least, proposals.bitmap, None)
+    past = proposals.grow(found)
+    if past is not None:
+        # Closed after this pass: what it finds that is not proposed was taken for proposed, so its extensions are counted.
+        found = found.unionByName(passed(texts, least, proposals.bitmap, past))
     return found, proposals.added
 
 
