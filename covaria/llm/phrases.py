@@ -39,7 +39,7 @@ LEAST_SAMPLED = 3
 FILTER_BITS = 27
 # Bytes of text that are looked at in one piece, and different phrases that a task holds before it hands them on.
 PORTION = 1 << 20
-HELD = 800_000
+HELD = 400_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + b"\n" * len(_BREAKS)
@@ -154,7 +154,7 @@ def admitted(sums, starts, ends, joined, hashes: Hashes, seed: int, now, past) -
 
 
 def count_portion(
-    part: bytes, seen: int, group: str, words: Counter | None, longer: list[Counter], hashes: Hashes, now, past
+    part: bytes, seen: int, group: str, words: Counter | None, longer: list[Counter], hashes: Hashes, now, past, longest: int = LONGEST
 ) -> int:
     """Count the words (unless `words` is None) and the admitted phrases of a portion; the number of its words."""
     data = np.frombuffer(part, np.uint8)
@@ -165,6 +165,8 @@ def count_portion(
         return 0
     if words is not None:
         words.update(part.split()[seen:])
+    if longest == 1:
+        return len(starts) - seen
     joined = data[ends] == 32
     sums, seed = hashes.sums(data), seed_of(group)
     for k, at in enumerate(admitted(sums, starts, ends, joined, hashes, seed, now, past), 2):
@@ -185,11 +187,12 @@ def unpacked(shared: Broadcast) -> list[np.ndarray | None]:
     return [None if b is None else np.frombuffer(large.decompress(b), np.uint8) for b in shared.value]
 
 
-def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST) -> DataFrame:
+def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """(group, phrase, k, f) with f >= `least` from `texts` (group, text in bytes); k = 0 is the number of all words.
 
     `shared` holds the filters `now` and `past` of `admitted`.  With `past` the
     words are left out.  Counts are merged in the tasks before they are shuffled.
+    With `longest` = 1 only words are counted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +202,7 @@ def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST) -> DataFram
         def take(part: bytes, seen: int, group: str) -> None:
             if group not in counters:
                 counters[group] = (Counter() if past is None else None, [Counter() for _ in range(LONGEST - 1)])
-            n = count_portion(part, seen, group, *counters[group], hashes, now, past)
+            n = count_portion(part, seen, group, *counters[group], hashes, now, past, longest)
             if past is None:
                 totals[group] += n
 
@@ -304,19 +307,21 @@ def frequent(
     `texts` has the columns group and text (bytes); `draw`, a number made from
     the row, picks the sample (`draw` % `sample` == 0).  Returns (group,
     phrase, k, f), with the number of all words of a group as k = 0, and how
-    many phrases the sample proposed and how many it missed.
+    many words and longer phrases the sample proposed and how many it missed.
     """
     context = texts.sparkSession.sparkContext
     proposals = Proposals(np.zeros(1 << (bits - 3), np.uint8))
 
-    def passed(rows: DataFrame, least: int, *filters: np.ndarray | None) -> DataFrame:
+    def passed(rows: DataFrame, least: int, *filters: np.ndarray | None, longest: int = LONGEST) -> DataFrame:
         shared = packed(context, *filters)
-        out = cut_lineage(counted(rows, shared, least))
+        out = cut_lineage(counted(rows, shared, least, longest))
         shared.destroy()
         return out
 
-    # Without a filter everything in the sample is counted.
-    proposals.grow(passed(texts.filter(F.pmod(draw, F.lit(sample)) == 0), least_sampled, None, None))
+    drawn = texts.filter(F.pmod(draw, F.lit(sample)) == 0)
+    proposals.grow(passed(drawn, least_sampled, None, None, longest=1))
+    # Longer proposals consist of proposed words; the empty filter lets all of them in as new.
+    proposals.grow(passed(drawn, least_sampled, proposals.bitmap, np.zeros_like(proposals.bitmap)))
     found = passed(texts, least, proposals.bitmap, None)
     past = proposals.grow(found)
     if past is not None:
