@@ -19,6 +19,10 @@ class FittedLinear(Fitted):
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         return df.withColumn(output, self.fit.expression(self.features))
 
+    def predict_array(self, x: np.ndarray) -> np.ndarray:
+        """Predictions for rows of feature values."""
+        return x @ np.asarray(self.fit.weights, float) + self.fit.intercept
+
     def weights_table(self, spark: SparkSession) -> DataFrame:
         rows = [(i, f, float(w)) for i, (f, w) in enumerate(zip(self.features, self.fit.weights))]
         rows.append((len(rows), None, float(self.fit.intercept)))

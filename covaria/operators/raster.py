@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.naming import band_name
-from ..functions.projection import albers_forward, albers_inverse
+from ..functions.projection import GEOGRAPHIC, PROJECTED, check_crs, from_albers, to_albers
 from ..schema import MISSING
 from .joins import BROADCAST_ROWS, fits, is_small, lookup_join
 
@@ -292,16 +292,22 @@ def apply_mask(
     ).drop("_inside")
 
 
+def _crs_of(source: Row | dict[str, Any]) -> str:
+    """The raster's code; without one, degrees."""
+    found = source.asDict() if isinstance(source, Row) else source
+    return check_crs(found.get("crs") or GEOGRAPHIC[0])
+
+
 def suggested_grid(spark: SparkSession, source: Row | dict[str, Any], steps: int = 21) -> dict[str, Any]:
-    """A projected grid for a geographic raster: its outline's bounds, square
-    cells that keep the number of cells along the diagonal."""
+    """A projected grid for a raster in degrees or in a zone: its outline's
+    bounds, square cells that keep the number of cells along the diagonal."""
     width, height = int(source["width"]), int(source["height"])
     along = spark.range(steps * steps).select(
         (F.pmod("id", F.lit(steps)) / F.lit(steps - 1)).alias("u"), (F.floor(F.col("id") / steps) / F.lit(steps - 1)).alias("w")
     )
     lon = F.lit(float(source["x0"])) + F.col("u") * F.lit(float(source["dx"]) * width)
     lat = F.lit(float(source["y0"])) - F.col("w") * F.lit(float(source["dy"]) * height)
-    x, y = albers_forward(lon, lat)
+    x, y = to_albers(lon, lat, _crs_of(source))
     corner = (F.col("u") == F.col("w")) & F.col("u").isin(0.0, 1.0)
     e = along.select(x.alias("x"), y.alias("y"), F.when(corner, F.col("u")).alias("corner")).agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y1"), F.max("y").alias("y0"),
@@ -318,10 +324,10 @@ def suggested_grid(spark: SparkSession, source: Row | dict[str, Any], steps: int
 def reproject(
     cells: DataFrame, source: Row | dict[str, Any], target: Row | dict[str, Any], spark: SparkSession
 ) -> DataFrame:
-    """Nearest-cell copy of a geographic raster onto an EPSG:3577 grid.
+    """Nearest-cell copy of a raster in degrees or in a zone (its `crs`) onto an EPSG:3577 grid.
 
-    Every target cell centre is mapped back to degrees, so each target cell
-    is produced once and gaps cannot appear.
+    Every target cell centre is mapped back, so each target cell is produced
+    once and gaps cannot appear.
     """
     width, height = int(target["width"]), int(target["height"])
     base = spark.range(width * height).select(
@@ -330,7 +336,7 @@ def reproject(
     )
     x = F.lit(float(target["x0"])) + (F.col("col_out") + F.lit(0.5)) * F.lit(float(target["dx"]))
     y = F.lit(float(target["y0"])) - (F.col("row_out") + F.lit(0.5)) * F.lit(float(target["dy"]))
-    lon, lat = albers_inverse(x, y)
+    lon, lat = from_albers(x, y, _crs_of(source))
     placed = base.withColumns({"_lon": lon, "_lat": lat})
     row = F.floor((F.lit(float(source["y0"])) - F.col("_lat")) / F.lit(float(source["dy"]))).cast("int")
     col = F.floor((F.col("_lon") - F.lit(float(source["x0"]))) / F.lit(float(source["dx"]))).cast("int")
@@ -342,34 +348,30 @@ def reproject(
     )
 
 
-# The names of coordinate systems in degrees that are taken for the projection's own datum.
-GEOGRAPHIC = ("EPSG:4326", "EPSG:4283")
-PROJECTED = "EPSG:3577"
-
-
 def to_projection(
     spark: SparkSession, cells: DataFrame, meta: DataFrame, grid: Row | dict[str, Any] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Bring the covariates in degrees onto grids in metres: (cells, meta).
+    """Bring the covariates of other coordinate systems onto grids of EPSG:3577: (cells, meta).
 
     `meta` may have a column `crs`; a null there, or no such column, means
-    that a covariate is projected already.  The new grid is `grid`, or for
-    each covariate the one that `suggested_grid` finds.  Only metadata comes
-    to the driver, one row for each covariate.
+    that a covariate is projected already, and an unknown code is an error.
+    The new grid is `grid`, or for each covariate the one that
+    `suggested_grid` finds.  Only metadata comes to the driver, one row for
+    each covariate.
     """
     if "crs" not in meta.columns:
         return cells, meta
-    degrees = meta.filter(F.col("crs").isin(list(GEOGRAPHIC))).collect()
-    if not degrees:
+    others = [r for r in meta.collect() if check_crs(r["crs"]) != PROJECTED]
+    if not others:
         return cells, meta
-    names = [r["covariate"] for r in degrees]
+    names = [r["covariate"] for r in others]
     out = cells.filter(~F.col("covariate").isin(names)).select("covariate", "row", "col", "value")
     rows = []
-    for r in degrees:
+    for r in others:
         target = dict(grid.asDict() if isinstance(grid, Row) else grid) if grid is not None else suggested_grid(spark, r)
         one = cells.filter(F.col("covariate") == r["covariate"]).select("row", "col", "value")
         out = out.unionByName(reproject(one, r, target, spark).select(F.lit(r["covariate"]).alias("covariate"), "row", "col", "value"))
         place = {k: target[k] for k in ("x0", "y0", "dx", "dy", "width", "height")}
         rows.append({**r.asDict(), **place, "crs": PROJECTED})
     moved = spark.createDataFrame(rows, meta.schema)
-    return out, meta.filter(F.col("crs").isNull() | ~F.col("crs").isin(list(GEOGRAPHIC))).unionByName(moved)
+    return out, meta.filter(F.col("crs").isNull() | (F.col("crs") == PROJECTED)).unionByName(moved)

@@ -9,6 +9,7 @@ from ..functions import projection
 from ..operators import points as point_ops, raster
 from ..operators.drift import random_points
 from ..operators.predict import grid_features, prediction_map
+from ..operators.tilemap import map_cells, reproject_tiles, tiled_prediction_map
 from ..models.linear import FittedLinear
 from ..operators.gram import LinearFit
 from ..session import shared_folder
@@ -163,6 +164,22 @@ def masked_map(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("row", "col", "x", "y", F.round("value", 4).alias("value"))
 
 
+@query(
+    "tiled_prediction_map",
+    f"WITH {_GRID_FEATURES_SQL}, {v.MASK_SQL} SELECT row, col, x, y,"
+    f" CASE WHEN coalesce(m.value, 0) = 0 THEN -9999.0 ELSE round({_LINE_SQL}, 4) END AS value FROM gf LEFT JOIN mask m USING (row, col)",
+)
+def tiled_map(spark: SparkSession, sf: str) -> DataFrame:
+    """`masked_map` made and written tile by tile: no cell is shuffled."""
+    cells, meta = _single(spark, sf)
+    mask = raster.tiles(v.mask_cells(spark, sf).withColumn("covariate", F.lit("mask")))
+    area = v.area_of(spark, sf)
+    made = tiled_prediction_map(spark, area, raster.tiles(cells), meta, _LINE, mask, nodata=0.0)
+    path = f"{shared_folder(spark)}/map"
+    sinks.write_tiles(made, path)
+    return map_cells(spark.read.parquet(path), area).withColumn("value", F.round("value", 4))
+
+
 @query(
     "mosaic_first_wins",
     "WITH strips AS (SELECT l_orderkey % 60 AS row, l_partkey % 50 AS col, concat_ws('-', l_shipdate::DATE, l_orderkey, l_linenumber,"
@@ -286,6 +303,62 @@ def raster_reproject(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("value", F.col("value").cast("double"))
 
 
+@query(
+    "tiled_reproject",
+    f"WITH {_REPROJECT_SQL} SELECT r AS row, c AS col, CAST(coalesce(value, -9999) AS DOUBLE) AS value FROM src"
+    " LEFT JOIN (SELECT row, col, value FROM cells WHERE covariate = 'price') p USING (row, col)",
+)
+def tiled_reproject(spark: SparkSession, sf: str) -> DataFrame:
+    """`raster_reproject` from tiles to tiles."""
+    height = v.area_of(spark, sf)["height"]
+    source = {"x0": 135.0, "y0": -22.0, "dx": 0.05, "dy": 0.05, "width": v.GRID_WIDTH, "height": height, "nodata": -9999.0}
+    target = {"x0": 300000.0, "y0": -2300000.0, "dx": 5000.0, "dy": 5000.0, "width": 60, "height": height + 10}
+    cells, _ = _single(spark, sf)
+    tiled = raster.tiles(cells.filter("covariate = 'price'"))
+    out = raster.untile(reproject_tiles(spark, tiled, ["price"], source, target))
+    return out.select("row", "col", F.col("value").cast("double").alias("value"))
+
+
+_MGA = projection.zone_of("EPSG:28355")
+# Fixed values, worked out apart from the code under test: radius of the rectifying sphere times 0.9996, and the series
+# of the third flattening of GRS80.
+_RADIUS = 6364902.166112739
+_SERIES = (0.0008377318247285514, 7.608527848149475e-07, 1.1976455209422673e-09, 2.429170654841013e-12, 5.711757817902033e-15)
+_ZONE_SUM = [" + ".join(f"{a!r} * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, a in enumerate(_SERIES, 1)) for f, g in (("cos", "sinh"), ("sin", "cosh"))]
+
+
+@query(
+    "zone_forward",
+    f"""WITH p AS (SELECT o_orderkey, 144.5 + o_custkey % 50 / 10.0 AS lon, CAST({_LAT} AS DOUBLE) AS lat FROM orders),
+    t AS (SELECT *, sinh(atanh(sin(radians(lat))) - {_ECC!r} * atanh({_ECC!r} * sin(radians(lat)))) AS t, radians(lon - 147.0) AS l FROM p),
+    s AS (SELECT *, atan2(t, cos(l)) AS xi, asinh(sin(l) / sqrt(t * t + cos(l) * cos(l))) AS eta FROM t)
+    SELECT o_orderkey, round(500000.0 + {_RADIUS!r} * (eta + {_ZONE_SUM[0]}), 2) AS x,
+      round(10000000.0 + {_RADIUS!r} * (xi + {_ZONE_SUM[1]}), 2) AS y FROM s""",
+)
+def zone_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Degrees to the transverse Mercator zone of meridian 147 east."""
+    lon, lat = _zone_lonlat()
+    x, y = _MGA.forward(lon, lat)
+    return v.table(spark, sf, "orders").select("o_orderkey", F.round(x, 2).alias("x"), F.round(y, 2).alias("y"))
+
+
+def _zone_lonlat():
+    return F.lit(144.5) + F.col("o_custkey") % 50 / 10.0, F.lit(-43.0) + F.col("o_orderkey") % 320 / 10.0
+
+
+@query(
+    "zone_to_albers",
+    f"WITH p AS (SELECT o_orderkey, 144.5 + o_custkey % 50 / 10.0 AS lon, CAST({_LAT} AS DOUBLE) AS lat, sin(radians({_LAT})) AS s FROM orders)"
+    f" SELECT o_orderkey, round({_RHO} * sin({_THETA}), 3) AS x, round({_RHO0!r} - {_RHO} * cos({_THETA}), 3) AS y FROM p",
+)
+def zone_to_albers(spark: SparkSession, sf: str) -> DataFrame:
+    """Points in a zone, made from degrees, reach the place that the degrees have in the projection."""
+    x, y = _MGA.forward(*_zone_lonlat())
+    zoned = v.table(spark, sf, "orders").select("o_orderkey", x.alias("x"), y.alias("y"))
+    out = point_ops.project_points(zoned, crs="EPSG:28355")
+    return out.select("o_orderkey", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
 _PREPARED_SQL = f"""WITH {_REPROJECT_SQL},
   h AS (SELECT {_HEIGHT} + 10 AS rows),
   p AS (SELECT o_orderkey AS key, o_totalprice AS target, 300000.0 + {v.sql_uniform('gx', 'o_orderkey')} * 300000.0 AS x,

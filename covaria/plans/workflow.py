@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from ..functions.metrics import long_scores, mean_scores, score
 from ..models.base import Fitted, Model
 from ..models.linear import FittedLinear
+from ..functions.projection import PROJECTED, check_crs
 from ..models.registry import classifier, load, regressor
 from ..operators import drift as drift_ops
 from ..operators import explore, ranking, search as search_ops, shapley
 from ..operators.clean import cast_float, clean, clean_selected
 from ..operators.points import normalise_points, project_points
 from ..operators.predict import prediction_map
-from ..operators.raster import GEOGRAPHIC, PROJECTED, reproject, sample_at_points, suggested_grid, to_projection
+from ..operators.raster import reproject, sample_at_points, suggested_grid, to_projection
 from ..operators.scoring import fit_and_predict, out_of_fold, predicted_vs_real
 from ..operators.sets import match_exact, usable
 from ..operators.split import assign_folds, assign_group_folds, holdout
@@ -52,7 +53,7 @@ def projected(spark: SparkSession, inputs: Inputs) -> Inputs:
     cells, meta = to_projection(spark, inputs.cells, inputs.meta, inputs.grid)
     area, mask = inputs.area, inputs.mask
     crs = None if area is None else (area.asDict() if isinstance(area, Row) else area).get("crs")
-    if crs in GEOGRAPHIC:
+    if check_crs(crs) != PROJECTED:
         known = area.asDict() if isinstance(area, Row) else area
         target = {**known, **(inputs.grid or suggested_grid(spark, area)), "crs": PROJECTED}
         if mask is not None:
