@@ -126,14 +126,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
     """`docs` with the words of hit spans taken out of the text; other texts stay as they are.
 
     A removed word goes with what stands between it and the word before.
-    Rows that share an id and differ in text lose the spans of one of them, so
-    ids are meant to be unique here.
+    Rows that share or lack an id are told apart by their text: each loses the
+    spans of its own.
     """
     hits = scan(docs, benchmark, window, id_col, text_col).filter(F.size("spans") > 0)
-    hits = hits.groupBy("id").agg(F.first("spans").alias("spans"))
+    hits = hits.groupBy("id", "same").agg(F.first("spans").alias("spans"))
     plain, names = plain_names(docs)
     key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
-    joined = plain.join(hits, plain[key].eqNullSafe(hits["id"]), "left")
+    joined = plain.join(hits, plain[key].eqNullSafe(hits["id"]) & (F.xxhash64(plain[text]) == hits["same"]), "left")
     pieces = F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0))
 
     def kept(_: Column, i: Column) -> Column:

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import cut_lineage
-from .common import components, pair_tiles, spread_join, table, without
+from .common import components, pair_tiles, plain_names, spread_join, table, without
 from .registry import query
 
 SEED = 42
@@ -224,12 +224,52 @@ def groups(
     return out.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
-def keep_one(docs: DataFrame, distance: int = 4, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its group; rows without an id stay."""
+def keep_one(
+    docs: DataFrame, distance: int = 4, size: int = 4, id_col: str = "doc_id", text_col: str = "text", by_row: bool = False
+) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its group; rows without an id stay.
+
+    With `by_row` one row of each group stays, whatever the ids: that of the
+    smallest id, those without one last, and of rows that share an id that of
+    the smallest hash of the text.  Ids may be of any ordered type there.
+    """
+    if by_row:
+        return _one_row(docs, distance, size, id_col, text_col)
     gone = groups(docs, distance, size, id_col, text_col).filter("id != component").select("id")
     return without(docs, gone, id_col)
 
 
+def _one_row(docs: DataFrame, distance: int, size: int, id_col: str, text_col: str) -> DataFrame:
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
+    seen = with_fingerprints(docs.select(key.alias("id"), F.col(text_col).alias("text")), "id", "text", size)
+    # Equal rows, and rows with one fingerprint, are counted before they are shuffled.
+    seen = cut_lineage(seen.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n")))
+    nodes = cut_lineage(seen.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m")))
+    # The fingerprint itself is the node, so ids need not be numbers or unique.
+    stars = components(links(nodes.select("fp", F.col("fp").alias("id")), distance).distinct())
+    rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select("fp", "m", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = cut_lineage(rooted)
+    keepers = rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.count(F.lit(1)).alias("k"))
+    by_fp = spread_join(rooted, keepers, ["root"], "k", rooted.count(), ["fp"]).select("fp", "m", "keeper")
+    total = nodes.agg(F.sum("m")).first()[0] or 0
+    met = spread_join(seen, by_fp, ["fp"], "m", total, ["id"])
+    # Rows to drop, and keepers that stand there more than once.
+    gone = F.col("id") != F.col("keeper")
+    marks = cut_lineage(met.filter(gone | (F.col("n") > 1)).select("id.none", F.col("id.id").alias("_id"), F.col("id.same").alias("_same"), gone.alias("_drop")))
+    plain, names = plain_names(docs)
+    own, text = plain[f"c{names.index(id_col)}"], plain[f"c{names.index(text_col)}"]
+
+    def same(side: DataFrame) -> Column:
+        return own.eqNullSafe(side["_id"]) & (F.xxhash64(text) == side["_same"])
+
+    kept = plain.join(marks, same(marks), "left_anti")
+    many = marks.filter(~F.col("_drop")).select("_id", "_same")
+    if not many.isEmpty():
+        # Merged before the shuffle, so equal rows never meet as rows.
+        kept = kept.unionByName(plain.join(many, same(many)).dropDuplicates(["_id", "_same"]).select(*plain.columns))
+    return kept.toDF(*names)
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     found = groups(table(spark, sf, "documents"))

@@ -74,19 +74,24 @@ def exact_key(words: list[str]) -> bytes:
 
 
 def filed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **tree: int) -> DataFrame:
-    """(id, line, key): the leaves of every line, `line` counted from 0; each leaf once for a document's first line in it."""
+    """(id, same, line, key, again): the leaves of every line, `line` counted from 0.
+
+    `same` is a hash of the text, which tells rows that share or lack an id
+    apart; `again` marks a leaf that a line before it in the document has.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, lines, keys, again = [], [], [], []
 
             def out():
+                at = pa.array(rows, pa.int64())
                 return pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(rows, pa.int64())), pa.array(lines, pa.int32()), pa.array(keys, pa.binary()), pa.array(again, pa.bool_())],
-                    ["id", "line", "key", "again"],
+                    [b.column(0).take(at), b.column(1).take(at), pa.array(lines, pa.int32()), pa.array(keys, pa.binary()), pa.array(again, pa.bool_())],
+                    ["id", "same", "line", "key", "again"],
                 )
 
-            for r, text in enumerate(b.column(1)):
+            for r, text in enumerate(b.column(2)):
                 seen: set[bytes] = set()
                 for i, line in enumerate((text.as_py() or "").split("\n")):
                     for key in template_keys(line, **tree):
@@ -102,37 +107,42 @@ def filed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield out()
 
     schema = T.StructType([
-        T.StructField("id", docs.schema[id_col].dataType), T.StructField("line", T.IntegerType()),
+        T.StructField("id", docs.schema[id_col].dataType), T.StructField("same", T.LongType()), T.StructField("line", T.IntegerType()),
         T.StructField("key", T.BinaryType()), T.StructField("again", T.BooleanType()),
     ])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def dropped_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", **tree: int
+    docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", by_row: bool = False, **tree: int
 ) -> DataFrame:
-    """(id, lines): numbers of the lines to drop, one row per document that loses any.
+    """(id, same, lines): numbers of the lines to drop, one row per document that loses any.
 
     A leaf recurs if at least `min_docs` documents have a line in it.  The
     document with the smallest id keeps its lines there, so one copy of every
-    passage stays.  Documents without an id count but lose nothing.
+    passage stays.  Documents without an id count but lose nothing, and those
+    that share the smallest id all keep their lines.  With `by_row` rows that
+    share or lack an id are told apart by their text: one text keeps the
+    lines, that of the smallest id, those without an id last.
     """
     filed = cut_lineage(filed_lines(docs, id_col, text_col, **tree))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("same").alias("same")) if by_row else F.col("id")
     leaves = filed.groupBy("key").agg(
-        F.sum(F.when(F.col("again"), 0).otherwise(1)).alias("docs"), F.min("id").alias("keeper"), F.count(F.lit(1)).alias("n")
+        F.sum(F.when(F.col("again"), 0).otherwise(1)).alias("docs"), F.min(order).alias("keeper"), F.count(F.lit(1)).alias("n")
     )
     leaves = cut_lineage(leaves.filter(F.col("docs") >= min_docs).select("key", "keeper", "n"))
     total = leaves.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    met = spread_join(filed.filter(F.col("id").isNotNull()).select("id", "line", "key"), leaves, ["key"], "n", total, ["id", "line"])
-    return met.filter("keeper < id").groupBy("id").agg(F.collect_set("line").alias("lines"))
+    asked = filed if by_row else filed.filter(F.col("id").isNotNull())
+    met = spread_join(asked.select("id", "same", "line", "key"), leaves, ["key"], "n", total, ["id", "same", "line"])
+    return met.filter(F.col("keeper") < order).groupBy("id", "same").agg(F.collect_set("line").alias("lines"))
 
 
 def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
     """`docs` under the names c0, c1, ... with a text that has lost its lines, `n_lines` and `n_dropped`; and the real names."""
     plain, names = plain_names(docs)
     key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
-    gone = dropped.select(F.col("id").alias("_id"), F.col("lines").alias("_gone"))
-    joined = plain.join(gone, plain[key] == gone["_id"], "left")
+    gone = dropped.select(F.col("id").alias("_id"), F.col("same").alias("_same"), F.col("lines").alias("_gone"))
+    joined = plain.join(gone, plain[key].eqNullSafe(gone["_id"]) & (F.xxhash64(plain[text]) == gone["_same"]), "left")
     lines = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
     return joined.select(
@@ -143,16 +153,17 @@ def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", t
 
 
 def drop_templates(
-    docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", **tree: int
+    docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", by_row: bool = False, **tree: int
 ) -> DataFrame:
     """`docs`, its columns and rows as they are, without the lines of recurring templates in the text.
 
     A document may lose all its lines and then has an empty text.  Null texts
-    stay null.  Lines repeated within one document only are kept.  Rows that
-    share an id share what they lose.  `short=True` covers lines under
+    stay null.  Lines repeated within one document only are kept.  A row loses
+    lines of its own text only; rows with equal id and text share what they
+    lose.  `by_row` is that of `dropped_lines`; `short=True` covers lines under
     `min_words` words and scripts without blanks.
     """
-    kept, names = without_lines(docs, dropped_lines(docs, min_docs, id_col, text_col, **tree), id_col, text_col)
+    kept, names = without_lines(docs, dropped_lines(docs, min_docs, id_col, text_col, by_row, **tree), id_col, text_col)
     return kept.drop("n_lines", "n_dropped").toDF(*names)
 
 
