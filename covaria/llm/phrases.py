@@ -36,10 +36,10 @@ SAMPLE = 8
 LEAST_SAMPLED = 3
 # Proposals are kept as two bits each in a filter of this many bits: its size does not grow with the data.  A phrase
 # that the filter holds by chance is counted without need, which costs time and changes nothing.
-FILTER_BITS = 27
+FILTER_BITS = 26
 # Bytes of text that are looked at in one piece, and different phrases that a task holds before it hands them on.
 PORTION = 1 << 20
-HELD = 400_000
+HELD = 250_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + b"\n" * len(_BREAKS)
