@@ -555,15 +555,16 @@ def _density_sql(c: str) -> str:
 @query(
     "gaussian_nb_drift",
     f"""WITH {v.CLEAN_SQL}, {_NUMERIC},
-    st AS (SELECT '1/' || key AS key, quantity, size, 1 AS c FROM num WHERE quantity > 25
+    st AS MATERIALIZED (SELECT '1/' || key AS key, quantity, size, 1 AS c FROM num WHERE quantity > 25
       UNION ALL SELECT '2/' || key, quantity, size, 2 FROM num),
-    m AS (SELECT avg(quantity) AS mq, stddev_pop(quantity) AS sq, avg(size) AS ms, stddev_pop(size) AS ss FROM st),
-    z AS (SELECT key, c, (quantity - mq) / sq AS zq, (size - ms) / ss AS zs FROM st, m),
-    g AS (SELECT count(*) FILTER (c = 1) / count(*) AS p1, count(*) FILTER (c = 2) / count(*) AS p2,
+    m AS MATERIALIZED (SELECT avg(quantity) AS mq, stddev_pop(quantity) AS sq, avg(size) AS ms, stddev_pop(size) AS ss FROM st),
+    z AS MATERIALIZED (SELECT key, c, (quantity - (SELECT mq FROM m)) / (SELECT sq FROM m) AS zq, (size - (SELECT ms FROM m)) / (SELECT ss FROM m) AS zs FROM st),
+    g AS MATERIALIZED (SELECT count(*) FILTER (c = 1) / count(*) AS p1, count(*) FILTER (c = 2) / count(*) AS p2,
       avg(zq) FILTER (c = 1) AS mq1, avg(zq) FILTER (c = 2) AS mq2, avg(zs) FILTER (c = 1) AS ms1, avg(zs) FILTER (c = 2) AS ms2,
       var_pop(zq) FILTER (c = 1) AS vq1, var_pop(zq) FILTER (c = 2) AS vq2, var_pop(zs) FILTER (c = 1) AS vs1,
-      var_pop(zs) FILTER (c = 2) AS vs2, 1e-9 * greatest(var_pop(zq), var_pop(zs)) AS eps FROM z)
-    SELECT key, c AS actual_class, round(1 / (1 + exp({_density_sql('2')} - {_density_sql('1')})), 7) AS probability_class_1 FROM z, g""",
+      var_pop(zs) FILTER (c = 2) AS vs2, 1e-9 * greatest(var_pop(zq), var_pop(zs)) AS eps FROM z),
+    d AS (SELECT *, {", ".join(f"(SELECT {n} FROM g) AS {n}" for n in "p1 p2 mq1 mq2 ms1 ms2 vq1 vq2 vs1 vs2 eps".split())} FROM z)
+    SELECT key, c AS actual_class, round(1 / (1 + exp({_density_sql('2')} - {_density_sql('1')})), 7) AS probability_class_1 FROM d""",
 )
 def gaussian_nb_drift(spark: SparkSession, sf: str) -> DataFrame:
     out = drift.measure_drift(shifted_classes(spark, sf), ["quantity", "size"], GaussianBayes(), keep=["key"]).table
