@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .gram import moments
 
@@ -26,34 +28,48 @@ def nice_step(low: float, high: float, max_bins: int = MAX_BINS) -> float:
         power += 1
 
 
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., covariate, value) with one row per covariate."""
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
-    return df.selectExpr(*keep, f"stack({len(columns)}, {pairs}) AS (covariate, value)")
+    pairs = [v for c in columns for v in (F.lit(c), _named(c).cast("double"))]
+    return df.select(*keep, F.stack(F.lit(len(columns)), *pairs).alias("covariate", "value"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], max_bins: int = MAX_BINS) -> DataFrame:
-    """(covariate, bin_start, bin_end, n) for all covariates in one pass after min/max."""
-    ends = df.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in columns],
-        *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in columns],
-    ).first()
-    steps = {
-        c: nice_step(ends[f"lo_{c}"], ends[f"hi_{c}"], max_bins) for c in columns if ends[f"lo_{c}"] is not None
-    }
-    # One small integer per value: the partial counts are tiny.
-    bins = ", ".join(f"'{c}', CAST(floor(CAST(`{c}` AS DOUBLE) / {s!r}D) AS BIGINT), {s!r}D" for c, s in steps.items())
-    binned = df.selectExpr(f"stack({len(steps)}, {bins}) AS (covariate, bin, step)")
-    return (
-        binned.filter(F.col("bin").isNotNull())
-        .groupBy("covariate", "bin", "step")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "covariate",
-            (F.col("bin") * F.col("step")).alias("bin_start"),
-            ((F.col("bin") + 1) * F.col("step")).alias("bin_end"),
-            "n",
-        )
+    """(covariate, bin_start, bin_end, n) for all covariates in one pass after min/max.
+
+    A task counts whole batches into one short array per covariate, so neither
+    values nor rows are multiplied.  Nulls and values that are not finite are
+    left out.
+    """
+    plain = df.select(*[_named(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    inside = [F.when(F.abs(F.col(c)) < float("inf"), F.col(c)) for c in plain.columns]
+    ends = plain.agg(*[f(v) for v in inside for f in (F.min, F.max)]).first()
+    spans = {i: (ends[2 * i], ends[2 * i + 1]) for i in range(len(columns)) if ends[2 * i] is not None}
+    steps = {i: nice_step(lo, hi, max_bins) for i, (lo, hi) in spans.items()}
+    first = {i: math.floor(spans[i][0] / s) for i, s in steps.items()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {i: np.zeros(math.floor(spans[i][1] / s) - first[i] + 1, np.int64) for i, s in steps.items()}
+        for b in batches:
+            for i, step in steps.items():
+                v = b.column(i).to_numpy(zero_copy_only=False)
+                bins = np.floor(v[np.isfinite(v)] / step).astype(np.int64) - first[i]
+                counts[i] += np.bincount(bins, minlength=len(counts[i]))
+        rows = [(i, first[i] + k, n) for i, c in counts.items() for k, n in enumerate(c.tolist()) if n]
+        made = np.array(rows, np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(made[:, j]) for j in range(3)], ["column", "bin", "n"])
+
+    found = plain.mapInArrow(count, "column long, bin long, n long").groupBy("column", "bin").agg(F.sum("n").alias("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    sizes = F.array(*[F.lit(steps.get(i)).cast("double") for i in range(len(columns))])
+    step = F.get(sizes, F.col("column").cast("int"))
+    return found.select(
+        F.get(names, F.col("column").cast("int")).alias("covariate"), (F.col("bin") * step).alias("bin_start"),
+        ((F.col("bin") + 1) * step).alias("bin_end"), "n",
     )
 
 
