@@ -80,11 +80,12 @@ def lookup_join(
     unique_left: bool = False,
     probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Join `left` to a table with one row per key; each side is read once.
+    """Join `left` to a table with one row per key; the join itself reads each side once.
 
     A lookup table of proven small size is broadcast: `bound` is a row count
-    that `right` cannot exceed, and without it the rows are counted.
-    Otherwise both sides are shuffled once.  Rows of hot keys are dealt out to
+    that `right` cannot exceed; without it `right` is run once more to count
+    its rows, and without `unique_left` the keys of `probe` (or `left`) are run
+    to look for hot ones.  Otherwise both sides are shuffled once.  Rows of hot keys are dealt out to
     PLACES places, and the fewer than HOT_SHARE lookup rows of these keys are
     copied to each; rows with a null key, which match nothing, are dealt out
     as well.

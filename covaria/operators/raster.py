@@ -340,7 +340,11 @@ def reproject(
     placed = base.withColumns({"_lon": lon, "_lat": lat})
     row = F.floor((F.lit(float(source["y0"])) - F.col("_lat")) / F.lit(float(source["dy"]))).cast("int")
     col = F.floor((F.col("_lon") - F.lit(float(source["x0"]))) / F.lit(float(source["dx"]))).cast("int")
-    found = lookup_join(placed.select("row_out", "col_out", row.alias("row"), col.alias("col")), cells, ["row", "col"], "left", unique_left=True)
+    # The source grid bounds its cells, so they need not be counted.
+    found = lookup_join(
+        placed.select("row_out", "col_out", row.alias("row"), col.alias("col")), cells, ["row", "col"], "left",
+        bound=int(source["width"]) * int(source["height"]), unique_left=True,
+    )
     nodata = source["nodata"]
     gap = F.lit(None if nodata is None else float(nodata)).cast("float")
     return found.select(
