@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Sequence
 
 import pandas as pd
@@ -21,24 +21,35 @@ SHARD = 8192
 PACKED = "id {id}, piece int, start_token long, n_tokens int, bin_id long, bin_length int, bin_offset int"
 
 
-def best_fit(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, bin_cost: int = BIN_COST) -> list[tuple[int, int, int]]:
-    """(bin, length, offset) for each size.  Sizes are between 1 and the largest length.
+def mixes(lengths: Sequence[int], largest: int) -> list[list[int]]:
+    """The sets of lengths that are tried: all, all but one, and each by itself, if they can hold the largest size."""
+    lengths = sorted(set(lengths))
+    tried = [lengths] + [[c for c in lengths if c != gone] for gone in lengths] + [[c] for c in lengths]
+    out: list[list[int]] = []
+    for mix in tried:
+        if mix and mix[-1] >= largest and mix not in out:
+            out.append(mix)
+    return out
 
-    Decreasing best fit: each size goes where it leaves the least room.  Where
-    none has room, a bin opens with the length whose cost for each token that
-    can still be put in is least; of equals the shorter.  In the end each bin
-    shrinks to the shortest length that holds its contents.
-    """
-    lengths = sorted(lengths)
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    to_come = sum(sizes)
+
+def _fill(ascending: Sequence[int], end: int, room: int) -> int:
+    """What the sizes before `end` can put into a room, the largest that fits first."""
+    used = 0
+    while end and ascending[0] <= room - used:
+        end = bisect_right(ascending, room - used, 0, end) - 1
+        used += ascending[end]
+    return used
+
+
+def _packed(ascending: Sequence[int], mix: Sequence[int], lengths: Sequence[int], bin_cost: int) -> tuple[int, list[tuple[int, int]], list[int], list[int]]:
+    """(cost, (bin, offset) of each size, opened lengths, final lengths) for sizes in ascending order and bins of `mix`."""
     rooms: list[int] = []  # rooms of open bins, sorted, each once
     bins_with: dict[int, list[int]] = {}
     filled: list[int] = []
-    placed: list[tuple[int, int]] = [(0, 0)] * len(sizes)
-    capacity: list[int] = []
-    for i in order:
-        size = sizes[i]
+    opened: list[int] = []
+    placed = [(0, 0)] * len(ascending)
+    for i in range(len(ascending) - 1, -1, -1):
+        size = ascending[i]
         at = bisect_left(rooms, size)
         if at < len(rooms):
             room = rooms[at]
@@ -47,22 +58,57 @@ def best_fit(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, bin_cost: i
                 del bins_with[room]
                 rooms.pop(at)
         else:
-            fits = [c for c in lengths if c >= size]
-            room = min(fits, key=lambda c: ((c + bin_cost) / min(c, to_come), c))
+            best = None
+            for c in mix[bisect_left(mix, size) :]:
+                used = size + _fill(ascending, i, c - size)
+                cost = (lengths[bisect_left(lengths, used)] + bin_cost) / used
+                if best is None or cost < best[0]:
+                    best = (cost, c)
+            room = best[1]
             b = len(filled)
             filled.append(0)
-            capacity.append(room)
+            opened.append(room)
         placed[i] = (b, filled[b])
         filled[b] += size
-        to_come -= size
         left = room - size
         if left:
             if left not in bins_with:
                 insort(rooms, left)
                 bins_with[left] = []
             bins_with[left].append(b)
-    final = [next(c for c in lengths if c >= n) for n in filled]
-    return [(b, final[b], offset) for b, offset in placed]
+    final = [lengths[bisect_left(lengths, n)] for n in filled]
+    return sum(final) + bin_cost * len(final), placed, opened, final
+
+
+def joint_fit(
+    sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, bin_cost: int = BIN_COST
+) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """((bin, length, offset) for each size, the length that each bin was opened with).  Sizes are between 1 and the largest length.
+
+    Decreasing best fit: each size goes where it leaves the least room.  Where
+    none has room, a bin opens with the length whose cost is least for each
+    token that the sizes still to come can put in; of equals the shorter.  In
+    the end each bin shrinks to the shortest length that holds its contents.
+    All this is done for a few sets of permitted lengths (`mixes`), and the set
+    with the least total cost is kept, of equals the first, so the result is
+    never dearer than with one length.
+    """
+    lengths = sorted(set(lengths))
+    order = sorted(range(len(sizes)), key=lambda i: (sizes[i], -i))
+    ascending = [sizes[i] for i in order]
+    if not ascending:
+        return [], []
+    tried = (_packed(ascending, mix, lengths, bin_cost) for mix in mixes(lengths, ascending[-1]))
+    _, placed, opened, final = min(tried, key=lambda t: t[0])
+    out = [(0, 0, 0)] * len(ascending)
+    for i, (b, offset) in zip(order, placed):
+        out[i] = (b, final[b], offset)
+    return out, opened
+
+
+def best_fit(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, bin_cost: int = BIN_COST) -> list[tuple[int, int, int]]:
+    """(bin, length, offset) for each size, by `joint_fit`."""
+    return joint_fit(sizes, lengths, bin_cost)[0]
 
 
 def pack(
