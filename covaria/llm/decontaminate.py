@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import plain_names, table
+from ..session import cut_lineage
+from .common import plain_names, spread_join, table
 from .registry import query
 
 WINDOW = 10
-# The window set is broadcast up to this many rows (about 100 bytes each); beyond it the join shuffles.
+# The window set is broadcast with its words up to this many rows (about 100 bytes each).  A larger one is broadcast as
+# hashes (about 50 bytes each), in parts of at most HASHES, and the words of the hits are compared afterwards.
 BROADCAST_WINDOWS = 500_000
+HASHES = 4_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # All but \x00-\x2F, \x3A-\x60 and \x7B-\x7F, said in the positive: negated unions of ranges match many times slower.
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]++"
@@ -47,6 +50,31 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, item_col: str
     return each.groupBy("h", "window_words").agg(F.collect_set("item").alias("items"))
 
 
+def _looked_up(each: DataFrame, known: DataFrame, parts: int) -> DataFrame:
+    """(id, _same, span, items) of the windows in `each` (id, _same, w, at, len, h) that are in `known`.
+
+    Hashes alone are broadcast, so the words of a document stay where they are
+    read; only hits take theirs along.  The items come to the hits by hash, safe
+    against windows that very many documents hold.
+    """
+    known = known.groupBy("_h").agg(F.collect_list(F.struct("window_words", "items")).alias("choices"))
+    known = cut_lineage(known)
+    found = None
+    for part in range(parts):
+        hashes = known.select("_h") if parts == 1 else known.filter(F.pmod("_h", F.lit(parts)) == part).select("_h")
+        hit = each.join(F.broadcast(hashes), F.col("h") == F.col("_h"), "left_semi")
+        hit = hit.select("id", "_same", "at", "len", "h", F.slice("w", "at", "len").alias("words"))
+        found = hit if found is None else found.unionByName(hit)
+    found = cut_lineage(found)
+    counts = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    total = found.agg(F.count(F.lit(1))).first()[0]
+    wanted = counts.join(known, F.col("h") == F.col("_h")).select("h", "n", "choices")
+    met = spread_join(found, wanted, ["h"], "n", total, ["id", "at"])
+    # Windows of one hash are told apart by their words.
+    same = F.get(F.filter("choices", lambda c: c["window_words"] == F.col("words")), F.lit(0))
+    return met.withColumn("_w", same).filter("_w IS NOT NULL").select("id", "_same", F.struct("at", "len").alias("span"), F.col("_w.items").alias("items"))
+
+
 def scan(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
@@ -59,15 +87,16 @@ def scan(
     looked up by hash and then compared word by word.  Null and empty texts
     have no words.  Rows may repeat or lack an id: each is counted by itself.
 
-    Each document is read once.  Its windows and one row for itself meet the
-    broadcast set in the same stage; only hits and the rows for themselves go
-    on, and come together by a row key made of the document itself.
+    Windows are looked up in a broadcast set in the stage that reads the
+    documents, whatever the size of the benchmark: only hits and one row for
+    each document go on, and come together by a row key made of the document
+    itself.  Documents are read once for every HASHES windows.
     """
     known = benchmark_windows(benchmark, window, item_col, item_text_col)
     lengths = sorted(
         {r[0] for r in known.select(F.size("window_words")).distinct().collect()}  # at most `window` numbers
     )
-    small = known.groupBy().count().first()[0] <= BROADCAST_WINDOWS
+    n_windows = known.groupBy().count().first()[0]
     known = known.withColumnRenamed("h", "_h")
     read = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("_same"), words(F.col(text_col)).alias("w")
@@ -76,12 +105,19 @@ def scan(
     every = F.concat(own, *[_windows(F.col("w"), n) for n in lengths])
     each = read.select("id", "_same", "w", F.explode(every).alias("x"))
     each = each.select("id", "_same", "w", F.col("x.at").alias("at"), F.col("x.len").alias("len"), F.col("x.h").alias("h"))
-    met = each.join(F.broadcast(known) if small else known, F.col("h") == F.col("_h"), "left")
-    met = met.filter("_h IS NOT NULL OR at = 0").select(
-        "id", "_same", F.when(F.col("at") == 0, F.size("w")).alias("n"),
-        F.when(F.slice("w", F.greatest("at", F.lit(1)), "len") == F.col("window_words"), F.struct("at", "len")).alias("span"),
-        F.when(F.slice("w", F.greatest("at", F.lit(1)), "len") == F.col("window_words"), F.col("items")).alias("items"),
-    )
+    if n_windows <= BROADCAST_WINDOWS:
+        met = each.join(F.broadcast(known), F.col("h") == F.col("_h"), "left")
+        met = met.filter("_h IS NOT NULL OR at = 0").select(
+            "id", "_same", F.when(F.col("at") == 0, F.size("w")).alias("n"),
+            F.when(F.slice("w", F.greatest("at", F.lit(1)), "len") == F.col("window_words"), F.struct("at", "len")).alias("span"),
+            F.when(F.slice("w", F.greatest("at", F.lit(1)), "len") == F.col("window_words"), F.col("items")).alias("items"),
+        )
+    else:
+        hits = _looked_up(each.filter("at > 0"), known, -(-n_windows // HASHES))
+        met = read.select(
+            "id", "_same", F.size("w").alias("n"), F.lit(None).cast(hits.schema["span"].dataType).alias("span"),
+            F.lit(None).cast("array<string>").alias("items"),
+        ).unionByName(hits.withColumn("n", F.lit(None).cast("int")))
     found = met.groupBy("id", "_same").agg(
         F.max("n").cast("long").alias("n_words"), F.count("n").alias("_copies"),
         F.sort_array(F.collect_set("span")).alias("spans"),
