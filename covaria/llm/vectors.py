@@ -113,8 +113,12 @@ def visits(reps: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def by_cell(find):
-    """Run `find` on the columns of each cell with two rows or more; batches come sorted by their first column."""
+def by_cell(find, most: int | None = None, passed=None):
+    """Run `find` on the columns of each cell with two rows or more; batches come sorted by their first column.
+
+    With `most`, no cell of more rows is held: what has come of it, and all
+    that follows, goes on batch by batch through `passed`.
+    """
 
     def groups(columns: list) -> Iterator:
         keys = columns[0]
@@ -129,13 +133,23 @@ def by_cell(find):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        through = None  # the cell that is passed on
         for b in batches:
+            if through is not None and b.num_rows:
+                end = int(np.searchsorted(b.column(0).to_numpy(), through, side="right"))
+                if end:
+                    yield passed(b.slice(0, end))
+                b = b.slice(end)
+                through = None if b.num_rows else through
             if not b.num_rows:
                 continue
             keys = b.column(0).to_numpy()
             cut = int(np.searchsorted(keys, keys[-1]))  # the last cell may go on in the next batch
             if cut == 0 and (not held or held[-1].column(0)[-1].as_py() == keys[0]):
                 held.append(b)
+                if most is not None and sum(x.num_rows for x in held) > most:
+                    yield from map(passed, held)
+                    held, through = [], keys[-1]
                 continue
             yield from groups(columns_of([*held, b.slice(0, cut)]))
             held = [b.slice(cut)]
@@ -149,7 +163,7 @@ def _promising(threshold: float, most: int):
     """Members of a cell that may have a partner in it, by the block's leading coordinates and the lengths of all blocks.
 
     All members of a very large cell count as promising: they are left to the
-    exact step, which splits it.
+    exact step, which splits it, and go on without being held.
     """
     bound = 2 - 2 * threshold + 1e-6
 
@@ -179,7 +193,10 @@ def _promising(threshold: float, most: int):
                 [pa.array(cell[found]), pa.array(ids[found]), pa.array(place[found])], ["cell", "id", "place"]
             )
 
-    return by_cell(find)
+    def passed(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3)], ["cell", "id", "place"])
+
+    return by_cell(find, most, passed)
 
 
 def _verified(threshold: float):
@@ -238,18 +255,31 @@ def _verified(threshold: float):
     return by_cell(find)
 
 
+def label_codes(rows: DataFrame) -> DataFrame:
+    """`rows` (id, label, x) with a whole number for each distinct label: the smallest id that has it."""
+    known = rows.filter(F.col("label").isNotNull() & F.col("id").isNotNull()).groupBy("label").agg(
+        F.min("id").alias("code"), F.count(F.lit(1)).alias("n")
+    )
+    total = rows.agg(F.count(F.lit(1))).first()[0]
+    coded = spread_join(rows, known, ["label"], "n", total, ["id"])
+    return coded.select("id", F.col("code").alias("label"), "x")
+
+
 def groups(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component) for each row of `vectors`; ids are integers and unique.
 
     Vectors link if their labels are equal and not null and their cosine in
     double precision reaches the threshold.  Null vectors, zero vectors and
     those with null or non-finite components, like rows without an id or
-    label, link with nothing: no links, their own id as component.  Equal
-    vectors are one node with a weight, so copies never make pairs.
+    label, link with nothing: no links, their own id as component.  Labels of
+    any type that can be grouped are compared as they are.  Equal vectors are one node with a weight, so copies never make pairs.
     """
     x = F.col(vector_col).cast("array<double>")
     sound = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), x.alias("x"))
+    whole = vectors.schema[label_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    label = F.col(label_col).cast("long") if whole else F.col(label_col)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), x.alias("x"))
+    rows = rows if whole else label_codes(rows)
     rows = rows.withColumn("sound", F.coalesce(F.col("x").isNotNull() & F.col("label").isNotNull() & F.col("id").isNotNull() & sound, F.lit(False)))
     rows = cut_lineage(rows)
     nodes = cut_lineage(rows.filter("sound").groupBy("label", "x").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
