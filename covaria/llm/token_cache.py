@@ -116,9 +116,22 @@ def version(path: str) -> str:
         return hashlib.sha256(f.read() + b"\0" + tokenizers.__version__.encode()).hexdigest()
 
 
-def content_digest(text: Column) -> Column:
-    """Digest of what the tokenizer can tell apart: runs of ASCII white space count as one blank; null as empty."""
-    return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " "), 256))
+@lru_cache(maxsize=4)
+def ignores_runs(path: str) -> bool:
+    """Whether the tokenizer of a file takes any run of ASCII white space for one blank."""
+    from tokenizers import Tokenizer
+
+    return splits_at_blanks(Tokenizer.from_file(path))
+
+
+def content_digest(text: Column, joined: bool = True) -> Column:
+    """Digest of what the tokenizer can tell apart; null as empty.
+
+    `joined`: runs of ASCII white space count as one blank, for tokenizers
+    that take them so; others get the digest of the text as it is.
+    """
+    text = F.coalesce(text, F.lit(""))
+    return F.unhex(F.sha2(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " ") if joined else text, 256))
 
 
 def encoded(texts: DataFrame, path: str) -> DataFrame:
@@ -160,16 +173,17 @@ def count_tokens(
     spark = docs.sparkSession
     path = path or public_tokenizer()
     tokenizer = version(path)
+    joined = ignores_runs(path)
     text = F.col(text_col)
     rows = cut_lineage(docs.select(
-        F.col(id_col).alias("id"), content_digest(text).alias("digest"),
+        F.col(id_col).alias("id"), content_digest(text, joined).alias("digest"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
     ))
     wanted = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     misses = wanted.join(stored_counts(spark, cache, tokenizer), "digest", "left_anti")
     # One row of each missing digest carries its text.
     carriers = misses.select(F.col("digest").alias("_digest"), F.col("first").alias("_first"))
-    texts = docs.select(content_digest(text).alias("digest"), F.col(id_col).alias("_id"), text.alias("text"))
+    texts = docs.select(content_digest(text, joined).alias("digest"), F.col(id_col).alias("_id"), text.alias("text"))
     texts = texts.join(
         carriers, (F.col("digest") == F.col("_digest")) & F.col("_id").eqNullSafe(F.col("_first")), "left_semi"
     ).select("digest", "text")
