@@ -25,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # tables would blow up generated code, so Arrow batches feed matrix products.
 BUILTIN_WIDTH = 12
 _MERGE_GROUPS = 512
+# Cross products travel in square blocks of this many columns.
+BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -137,14 +139,21 @@ def _builtin_moments(df: DataFrame, columns: Sequence[str], by: str | None) -> d
     return out
 
 
-_PARTIAL = "fold long, bucket int, n double, mean array<double>, cross array<double>"
+_PARTIAL = "fold long, bucket int, i int, j int, n double, mean_i array<double>, mean_j array<double>, cross array<double>"
 
 
-def _moment_row(fold: int, bucket: int, m: Moments) -> dict:
-    return {"fold": fold, "bucket": bucket, "n": m.n, "mean": m.mean.tolist(), "cross": m.cross.ravel().tolist()}
+def _block_rows(fold: int, bucket: int, m: Moments, block: int) -> Iterator[dict]:
+    """The upper triangle of the cross products, block by block."""
+    cuts = [slice(k, k + block) for k in range(0, len(m.mean), block)]
+    for i, a in enumerate(cuts):
+        for j, b in enumerate(cuts[i:], i):
+            yield {
+                "fold": fold, "bucket": bucket, "i": i, "j": j, "n": m.n, "mean_i": m.mean[a].tolist(), "mean_j": m.mean[b].tolist(),
+                "cross": m.cross[a, b].ravel().tolist(),
+            }
 
 
-def _batch_moments(width: int, weighted: bool):
+def _batch_moments(width: int, weighted: bool, block: int):
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -166,22 +175,31 @@ def _batch_moments(width: int, weighted: bool):
                 centred = x - mean
                 part = Moments(float(total), mean, (centred * w[:, None]).T @ centred)
                 held[int(fold)] = held.get(int(fold), Moments.empty(width)).merge(part)
-        if held:
-            yield pd.DataFrame([_moment_row(f, bucket, m) for f, m in held.items()])
+        for fold, m in held.items():
+            yield pd.DataFrame(list(_block_rows(fold, bucket, m, block)))
 
     return partials
 
 
-def _merge_rows(width: int):
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = (
-            Moments(r.n, np.asarray(r.mean), np.asarray(r.cross).reshape(width, width))
-            for r in rows.itertuples(index=False)
-        )
-        total = merge_all(parts, width)
-        return pd.DataFrame([_moment_row(int(rows["fold"].iloc[0]), 0, total)])
-
-    return merge
+def _merge_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """One block of one fold: counts, means of its rows and columns, and its cross products."""
+    n, total = 0.0, None
+    for r in rows.itertuples(index=False):
+        a, b = np.asarray(r.mean_i), np.asarray(r.mean_j)
+        cross = np.asarray(r.cross).reshape(len(a), len(b))
+        if total is None:
+            n, mean_i, mean_j, total = r.n, a, b, cross
+            continue
+        both = n + r.n
+        gap_i, gap_j = a - mean_i, b - mean_j
+        total = total + cross + np.outer(gap_i, gap_j) * (n * r.n / both)
+        mean_i, mean_j = mean_i + gap_i * (r.n / both), mean_j + gap_j * (r.n / both)
+        n = both
+    first = rows.iloc[0]
+    return pd.DataFrame([{
+        "fold": int(first["fold"]), "bucket": 0, "i": int(first["i"]), "j": int(first["j"]), "n": n,
+        "mean_i": mean_i.tolist(), "mean_j": mean_j.tolist(), "cross": total.ravel().tolist(),
+    }])
 
 
 def _batched_moments(df: DataFrame, columns: Sequence[str], by: str | None, weight: str | None) -> dict[int, Moments]:
@@ -197,14 +215,66 @@ def _batched_moments(df: DataFrame, columns: Sequence[str], by: str | None, weig
         *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)],
         *([F.col(weight).cast("double").alias("weight")] if weight else []),
     )
-    partial = table.mapInPandas(_batch_moments(width, weight is not None), _PARTIAL)
-    # Two merge levels: no group holds more than (tasks / 512) partial rows.
-    merged = partial.groupBy("fold", "bucket").applyInPandas(_merge_rows(width), _PARTIAL)
-    final = merged.groupBy("fold").applyInPandas(_merge_rows(width), _PARTIAL)
-    return {
-        keys[int(r["fold"])]: Moments(r["n"], np.array(r["mean"]), np.array(r["cross"]).reshape(width, width))
-        for r in final.collect()
-    }
+    partial = table.mapInPandas(_batch_moments(width, weight is not None, BLOCK), _PARTIAL)
+    # Two merge levels: no group holds more than (tasks / 512) blocks, however many columns there are.
+    merged = partial.groupBy("fold", "bucket", "i", "j").applyInPandas(_merge_blocks, _PARTIAL)
+    final = merged.groupBy("fold", "i", "j").applyInPandas(_merge_blocks, _PARTIAL)
+    out: dict[int, Moments] = {}
+    # The matrix of each fold, which the solution needs as a whole.
+    for r in final.collect():
+        m = out.get(keys[int(r["fold"])])
+        if m is None:
+            m = out[keys[int(r["fold"])]] = Moments(r["n"], np.zeros(width), np.zeros((width, width)))
+        a, b = r["i"] * BLOCK, r["j"] * BLOCK
+        cross = np.array(r["cross"]).reshape(len(r["mean_i"]), len(r["mean_j"]))
+        m.mean[a : a + BLOCK] = r["mean_i"]
+        m.cross[a : a + BLOCK, b : b + BLOCK] = cross
+        m.cross[b : b + BLOCK, a : a + BLOCK] = cross.T
+    return out
+
+
+def absolute_errors(
+    df: DataFrame, features: Sequence[str], label: str, fits: dict[int, Sequence[tuple[Sequence[int], LinearFit]]], by: str | None = None
+) -> dict[int, list[float]]:
+    """Mean absolute error of several fits for each value of `by` (key 0 without one), in one pass.
+
+    `fits` has for each key the same number of (places of features, fit).  A
+    batch is one matrix product for all of them, so a pass costs the same
+    generated code whatever their number.  Rows with a null are left out.
+    """
+    keys = [k for k in fits if k is not None]
+    stacked = []
+    for key in keys:
+        weights = np.zeros((len(features) + 1, len(fits[key])))
+        for k, (index, fit) in enumerate(fits[key]):
+            weights[list(index), k] = fit.weights
+            weights[-1, k] = fit.intercept
+        stacked.append(weights)
+    place = F.lit(0) if by is None else F.array_position(F.array(*[F.lit(k) for k in keys]), F.col(by)).cast("int") - 1
+    table = df.select(place.alias("fold"), *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate([*features, label])])
+    table = table.dropna().filter("fold >= 0")
+
+    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = [np.zeros(w.shape[1]) for w in stacked]
+        counts = [0] * len(stacked)
+        for batch in batches:
+            folds = batch["fold"].to_numpy()
+            values = batch.iloc[:, 1:].to_numpy(dtype=float)
+            for fold in np.unique(folds):
+                x = values[folds == fold]
+                guess = x[:, :-1] @ stacked[fold][:-1] + stacked[fold][-1]
+                sums[fold] += np.abs(guess - x[:, -1:]).sum(axis=0)
+                counts[fold] += len(x)
+        for fold, total in enumerate(sums):
+            if counts[fold]:
+                yield pd.DataFrame({"fold": fold, "fit": np.arange(len(total)), "n": counts[fold], "total": total})
+
+    found = table.mapInPandas(partials, "fold int, fit int, n long, total double")
+    rows = found.groupBy("fold", "fit").agg((F.sum("total") / F.sum("n")).alias("mean")).collect()  # folds times fits
+    out = {key: [None] * len(fits[key]) for key in keys}
+    for r in rows:
+        out[keys[r["fold"]]][r["fit"]] = r["mean"]
+    return out
 
 
 def moments(

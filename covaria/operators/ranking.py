@@ -14,7 +14,7 @@ from ..functions.metrics import SCORERS, score, scorer
 from ..models.base import Model
 from ..models.linear import GramRegressor
 from ..session import held
-from .gram import MOMENT_SCORERS, fit_moments, fold_fits, fold_prediction, leave_one_out, moments, squared_scores
+from .gram import BUILTIN_WIDTH, MOMENT_SCORERS, absolute_errors, fit_moments, fold_fits, fold_prediction, leave_one_out, moments, squared_scores
 from .scoring import fold_scores
 
 LOG_SCHEMA = T.StructType(
@@ -34,6 +34,15 @@ class SubsetScorer(ABC):
     def scores(self, subsets: Sequence[Sequence[str]]) -> list[float]: ...
 
 
+def _wide(name: str, features: Sequence[str]) -> bool:
+    """Whether all subsets are scored by matrix products: an expression for each would blow up generated code."""
+    return name == "mean_absolute_error_scorer" and len(features) + 1 > BUILTIN_WIDTH
+
+
+def _negated(value: float | None) -> float | None:
+    return None if value is None else -value
+
+
 def _average(values: Sequence[float | None]) -> float | None:
     return None if any(v is None for v in values) else sum(values) / len(values)
 
@@ -68,6 +77,15 @@ class LinearFolds(SubsetScorer):
         self.folds = moments(df, features, label, by=fold)
 
     def scores(self, subsets: Sequence[Sequence[str]]) -> list[float]:
+        if _wide(self.name, self.at):
+            fits: dict = {f: [] for f in self.folds if f is not None}
+            for subset in subsets:
+                index = [self.at[f] for f in subset]
+                for f, fit in fold_fits({f: m.pick([*index, len(self.at)]) for f, m in self.folds.items()}, self.ridge).items():
+                    if f is not None:
+                        fits[f].append((index, fit))
+            errors = absolute_errors(self.df, list(self.at), self.label, fits, self.fold)
+            return [_average([_negated(errors[f][i]) for f in errors]) for i in range(len(subsets))]
         aggs = []
         for i, subset in enumerate(subsets):
             index = [self.at[f] for f in subset] + [len(self.at)]
@@ -115,6 +133,10 @@ class LinearHoldout(SubsetScorer):
         self.at = {f: i for i, f in enumerate(features)}
 
     def scores(self, subsets: Sequence[Sequence[str]]) -> list[float]:
+        if _wide(self.name, self.at):
+            index = [[self.at[f] for f in subset] for subset in subsets]
+            fits = {0: [(i, fit_moments(self.train.pick([*i, len(self.at)]), self.ridge)) for i in index]}
+            return [_negated(e) for e in absolute_errors(self.oos, list(self.at), self.label, fits)[0]]
         aggs = []
         for i, subset in enumerate(subsets):
             index = [self.at[f] for f in subset] + [len(self.at)]

@@ -12,11 +12,13 @@ from ..models.classifiers import GaussianBayes
 from ..models.ensembles import FittedEnsemble, interval_columns
 from ..models.linear import FittedLinear, GramRegressor
 from ..operators import drift, explore, neighbours, ranking, scoring, search, shapley, split, standardise as std
-from ..operators.gram import LinearFit
+from ..operators.gram import LinearFit, moments
 from ..session import shared_folder
 from ..sources import sinks
 from . import views as v
+from .config import RankingConfig
 from .registry import query
+from .workflow import rank_features
 
 PAIR = ["quantity", "discount"]
 SCORERS = list(metrics.SCORERS)
@@ -156,10 +158,11 @@ def oos_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("label_pred", F.round("label_pred", 4))
 
 
-_GROUP_CV_SQL = f"""{v.CLEAN_SQL}, {_NUMERIC},
+_GROUP_FOLDS_SQL = f"""{v.CLEAN_SQL}, {_NUMERIC},
   gf AS (SELECT groupcv, CAST((row_number() OVER (ORDER BY {v.sql_order(0, "CAST(CAST(groupcv AS INTEGER) AS VARCHAR) || '.0'")}) - 1) % 5
     AS INTEGER) AS fold FROM (SELECT DISTINCT groupcv FROM num) g),
-  folds AS (SELECT num.*, gf.fold FROM num JOIN gf USING (groupcv)),
+  folds AS (SELECT num.*, gf.fold FROM num JOIN gf USING (groupcv))"""
+_GROUP_CV_SQL = f"""{_GROUP_FOLDS_SQL},
   fits AS (SELECT f.fold, {_fit_sql('quantity', 'discount')} FROM (SELECT DISTINCT fold FROM folds) f
     JOIN folds t ON t.fold <> f.fold GROUP BY f.fold),
   guess AS (SELECT folds.*, w0 + wa * quantity + wb * discount AS p FROM folds JOIN fits USING (fold))"""
@@ -324,6 +327,111 @@ def oos_elimination_log_linear(spark: SparkSession, sf: str) -> DataFrame:
     return log.withColumn("score", F.round("score", 4))
 
 
+_THREE = ("quantity", "discount", "retailprice")
+
+
+def _elimination_sql(head: str, train: str, test: str, measure: str, digits: int, score_last: bool) -> str:
+    """Elimination of three features, every step in closed form.
+
+    `train` is the FROM clause of the fits, by f.fold; `test` that of the rows
+    to score, with a fold; `measure` is a score of {p} with {k} features.
+    """
+    pairs = [(b, c) for a in _THREE for b, c in [[f for f in _THREE if f != a]]]
+    fits, guesses, scores = [], [], []
+    for i, (b, c) in enumerate(pairs):
+        fit = _fit_sql(b, c)
+        for name in ("wa", "wb", "w0"):
+            fit = fit.replace(f" AS {name}", f" AS {name}_{i}")
+        fits.append(fit)
+        guesses.append(f"w0_{i} + wa_{i} * {b} + wb_{i} * {c} AS without_{i}")
+    for i, f in enumerate(_THREE):
+        fits.append(f"regr_slope(target, {f}) AS s_{i}, regr_intercept(target, {f}) AS i_{i}")
+        guesses.append(f"i_{i} + s_{i} * {f} AS only_{i}")
+    for i in range(3):
+        scores += [f"{measure.format(p=f'without_{i}', k=2)} AS without_{i}", f"{measure.format(p=f'only_{i}', k=1)} AS only_{i}"]
+    names = ", ".join(f"avg({kind}_{i}) AS {kind}_{i}" for kind in ("without", "only") for i in range(3))
+
+    def rows(kind: str) -> str:
+        return " UNION ALL ".join(f"SELECT {i} AS place, '{f}' AS feature, {kind}_{i} AS score FROM m" for i, f in enumerate(_THREE))
+
+    return f"""{head}, fits AS (SELECT f.fold, {', '.join(fits)} FROM {train} GROUP BY f.fold),
+    guess AS (SELECT t.fold, target, {', '.join(guesses)} FROM {test} t JOIN fits USING (fold)),
+    s AS (SELECT fold, {', '.join(scores)} FROM guess GROUP BY fold), m AS (SELECT {names} FROM s),
+    without AS ({rows('without')}), alone AS ({rows('only')}),
+    first AS (SELECT * FROM without ORDER BY score DESC, place LIMIT 1),
+    second AS (SELECT gone.place, gone.feature, kept.score, kept.feature AS kept FROM alone gone JOIN alone kept ON gone.place <> kept.place
+      WHERE gone.place NOT IN (SELECT place FROM first) AND kept.place NOT IN (SELECT place FROM first) ORDER BY kept.score DESC, gone.place LIMIT 1)
+    SELECT feature, 0 AS rank, round(score, {digits}) AS score FROM first
+    UNION ALL SELECT feature, 1, round(score, {digits}) FROM second
+    UNION ALL SELECT kept, 2, {f'round(score, {digits})' if score_last else '0.0'} FROM second"""
+
+
+_R2_SQL = "(1 - sum(pow({p} - target, 2)) / (var_pop(target) * count(*)))"
+_LEFT_OUT = "(SELECT DISTINCT fold FROM folds) f JOIN folds t ON t.fold <> f.fold"
+
+
+@query(
+    "cv_elimination_three",
+    _elimination_sql(f"WITH {v.CLEAN_SQL}, {_NUMERIC}, {v.sql_folds('num', 5)}", _LEFT_OUT, "folds", "-avg(abs({p} - target))", 4, False),
+)
+def cv_elimination_three(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking stage over folds, by a score that sums of products cannot give."""
+    conf = RankingConfig("FeatureRankingByEliminationCV", "mean_absolute_error_scorer", 5)
+    table = rank_features(v.clean_training(spark, sf), conf, GramRegressor(), features=_THREE)[0]
+    return table.withColumn("score", F.round("score", 4))
+
+
+@query(
+    "group_elimination_three",
+    _elimination_sql(
+        f"WITH {_GROUP_FOLDS_SQL}", _LEFT_OUT, "folds",
+        f"greatest(1 - (1 - {_R2_SQL}) * (count(*) - 1) / (count(*) - {{k}} - 1), 0)", 8, False,
+    ),
+)
+def group_elimination_three(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking stage over folds of groups."""
+    rows = split.assign_group_folds(v.clean_training(spark, sf), "groupcv", 5)
+    conf = RankingConfig("FeatureRankingByGroupCV", "adjusted_r2_scorer", 5)
+    return rank_features(rows, conf, GramRegressor(), features=_THREE)[0].withColumn("score", F.round("score", 8))
+
+
+@query(
+    "oos_elimination_three",
+    _elimination_sql(
+        f"WITH {v.CLEAN_SQL}, {_NUMERIC}, {v.sql_holdout('num', 10)}, f AS (SELECT 0 AS fold, * FROM held WHERE NOT is_oos),"
+        " scored AS (SELECT 0 AS fold, * FROM held WHERE is_oos)", "f", "scored", "-sqrt(avg(pow({p} - target, 2)))", 3, True,
+    ),
+)
+def oos_elimination_three(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking stage on held-out rows."""
+    train, oos = split.holdout(v.clean_training(spark, sf), "key", 10)
+    conf = RankingConfig("FeatureRankingByEliminationOOS", "rmse_scorer")
+    return rank_features(train, conf, GramRegressor(), oos, features=_THREE)[0].withColumn("score", F.round("score", 3))
+
+
+# Columns of a wide table, more than one block of cross products, as (multiplier, modulus).
+_WIDE = [(k * 7919 + 11, 61 + 2 * (k % 13)) for k in range(70)]
+_WIDE_PAIRS = [(i, j) for i in range(70) for j in range(i, 70, 9)]
+
+
+@query(
+    "wide_cross_products",
+    "WITH w AS (SELECT " + ", ".join(f"CAST((l_orderkey * {m} + l_linenumber * {k}) % {d} AS DOUBLE) AS c{k}" for k, (m, d) in enumerate(_WIDE))
+    + " FROM lineitem), s AS (SELECT [" + ", ".join(f"covar_pop(c{i}, c{j})" for i, j in _WIDE_PAIRS) + "] AS v FROM w)"
+    + f" SELECT unnest({[i for i, _ in _WIDE_PAIRS]}) AS a, unnest({[j for _, j in _WIDE_PAIRS]}) AS b,"
+    + " round(unnest(v), 4) AS covariance FROM s",
+)
+def wide_cross_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross products of 70 columns, merged block by block."""
+    items = v.table(spark, sf, "lineitem")
+    wide = items.select(*[
+        ((F.col("l_orderkey") * m + F.col("l_linenumber") * k) % d).cast("double").alias(f"c{k}") for k, (m, d) in enumerate(_WIDE)
+    ])
+    found = moments(wide, wide.columns[:-1], wide.columns[-1])[0]
+    rows = [(i, j, float(found.cross[i, j] / found.n)) for i, j in _WIDE_PAIRS]
+    return spark.createDataFrame(rows, "a int, b int, covariance double").withColumn("covariance", F.round("covariance", 4))
+
+
 _LOG_SQL = "SELECT c_nationkey AS iteration, c_custkey AS position, c_name AS feature, floor(c_acctbal / 500) AS score FROM customer"
 
 

@@ -409,6 +409,27 @@ def geojson_file(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(good)
 
 
+@query(
+    "geojson_collection",
+    f"WITH {v.POINTS_SQL} SELECT CASE WHEN point_id % 7 = 0 THEN 'property' ELSE 'good' END AS state, point_id, x, y,"
+    " CASE WHEN point_id % 7 <> 0 THEN CAST(CAST(price AS FLOAT) AS DOUBLE) END AS target FROM points",
+)
+def geojson_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written as one FeatureCollection of several files and read again in splits; every seventh lacks the property."""
+    path = f"{shared_folder(spark)}/collection"
+    points = v.points(spark, sf)
+    # A null value is not written, so its feature lacks the member.
+    marked = points.withColumn("cost", F.when(F.col("point_id") % 7 != 0, F.col("price")))
+    sinks.write_geojson_collection(marked, path, ["point_id", "cost"], "point_id")
+    features = tables.read_geojson(spark, path, one_document=True)
+    features = features.withColumn("point_id", F.col("feature.properties")["point_id"].cast("long"))
+    good, bad = point_ops.normalise_points(features, "cost")
+    xy = F.col("feature.geometry.coordinates")
+    lost = bad.select(
+        F.col("reject_reason").alias("state"), "point_id", *[c.alias(n) for c, n in zip(point_ops.first_xy(xy), "xy")],
+        F.lit(None).cast("double").alias("target"),
+    )
+    return _doubles(good).select(F.lit("good").alias("state"), "point_id", "x", "y", "target").unionByName(lost)
 
 
 @query("glob_scan", "SELECT o_orderkey AS id, CAST(o_orderkey % 3 AS INTEGER) AS row FROM orders")
