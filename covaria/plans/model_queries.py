@@ -11,9 +11,10 @@ from ..functions import distributions as d, metrics, objectives
 from ..models.classifiers import GaussianBayes
 from ..models.ensembles import FittedEnsemble, interval_columns
 from ..models.linear import FittedLinear, GramRegressor
-from ..operators import drift, explore, neighbours, ranking, scoring, search, shapley, split, standardise as std
+from ..models.registry import regressor
+from ..operators import drift, explore, neighbours, ranking, scoring, search, shapley, split, standardise as std, tree_shapley
 from ..operators.gram import LinearFit, moments
-from ..session import shared_folder
+from ..session import held, shared_folder
 from ..sources import sinks
 from . import views as v
 from .config import RankingConfig
@@ -22,6 +23,8 @@ from .workflow import rank_features
 
 PAIR = ["quantity", "discount"]
 SCORERS = list(metrics.SCORERS)
+# The setting of the bench: ten rounds of depth five.
+_BOOSTER = {"num_boost_round": 10, "max_depth": 5, "learning_rate": 0.3, "subsample": 1.0, "colsample_bylevel": 1.0, "gamma": 0}
 
 
 def _score_sql(p: str, n_cov: int) -> str:
@@ -604,6 +607,53 @@ def trial_score_filter(spark: SparkSession, sf: str) -> DataFrame:
     return _order_trials(spark, sf).select("trial_id", F.explode(kept).alias("name", "score"))
 
 
+# Two yes-or-no features: a tree of depth two has the mean of each of the four cells as its leaves.
+_CELLS_SQL = f"""{v.CLEAN_SQL}, {_NUMERIC},
+    two AS (SELECT key, target, CASE WHEN quantity > 25 THEN 1 ELSE 0 END AS a, CASE WHEN discount > 0.045 THEN 1 ELSE 0 END AS b FROM num),
+    cell AS (SELECT a, b, avg(target) AS f, count(*) AS n FROM two GROUP BY a, b),
+    pa AS (SELECT a, sum(n) / (SELECT sum(n) FROM cell) AS p FROM cell GROUP BY a),
+    pb AS (SELECT b, sum(n) / (SELECT sum(n) FROM cell) AS p FROM cell GROUP BY b),
+    va AS (SELECT a, sum(p * f) AS v FROM cell JOIN pb USING (b) GROUP BY a),
+    vb AS (SELECT b, sum(p * f) AS v FROM cell JOIN pa USING (a) GROUP BY b),
+    none AS (SELECT sum(n * f) / sum(n) AS v FROM cell)"""
+
+
+@query(
+    "shap_trees",
+    f"""WITH {_CELLS_SQL} SELECT key, round((va.v - none.v + f - vb.v) / 2, 3) AS large, round((vb.v - none.v + f - va.v) / 2, 3) AS cheap
+    FROM two JOIN cell USING (a, b) JOIN va USING (a) JOIN vb USING (b), none""",
+)
+def shap_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact values of every row for a tree of depth two, with all rows as background."""
+    rows = v.clean_training(spark, sf).select(
+        "key", "target", (F.col("quantity") > 25).cast("double").alias("large"), (F.col("discount") > 0.045).cast("double").alias("cheap")
+    )
+    model = regressor("DecisionTreeRegressor", {"max_depth": 2}).fit(rows, ["large", "cheap"])
+    return tree_shapley.tree_values(model, rows).select("key", F.round("large", 3).alias("large"), F.round("cheap", 3).alias("cheap"))
+
+
+@query(
+    "shap_booster",
+    f"WITH {v.CLEAN_SQL}, num AS (SELECT key, CAST(target AS DOUBLE) AS target FROM clean), {v.sql_holdout('num', 10)}"
+    " SELECT count(*) AS n_rows, count(DISTINCT key) AS n_keys, true AS adds_up, true AS complete FROM held WHERE is_oos",
+)
+def shap_booster(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees: the values of each held-out row add up to its prediction minus the mean prediction."""
+    train, oos = split.holdout(v.clean_training(spark, sf), "key", 10)
+    model = regressor("XGBRegressor", _BOOSTER).fit(train, v.FEATURES)
+    with held(oos) as oos:
+        values = tree_shapley.tree_values(model, oos)
+        mean = model.transform(oos).agg(F.avg("prediction")).first()[0]
+        whole = sum((F.col(f) for f in v.FEATURES), F.lit(0.0))
+        both = values.select("key", whole.alias("whole")).join(model.transform(oos).select("key", "prediction"), "key")
+        found = both.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.countDistinct("key").alias("n_keys"),
+            (F.max(F.abs(F.col("prediction") - F.lit(mean) - F.col("whole"))) < 1e-4).alias("adds_up"),
+            (F.count("whole") == F.count(F.lit(1))).alias("complete"),
+        ).first()
+    return spark.createDataFrame([found], "n_rows long, n_keys long, adds_up boolean, complete boolean")
+
+
 # ---- neighbours and drift --------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from ..models.linear import FittedLinear
 from ..functions.projection import PROJECTED, check_crs
 from ..models.registry import classifier, load, regressor
 from ..operators import drift as drift_ops
-from ..operators import explore, ranking, search as search_ops, shapley
+from ..operators import explore, ranking, search as search_ops, shapley, tree_shapley
 from ..operators.clean import cast_float, clean, clean_selected
 from ..operators.points import normalise_points, project_points
 from ..operators.predict import prediction_map
@@ -164,6 +164,8 @@ def rank_features(
         rows = clean(data)
         if isinstance(fitted, FittedLinear):
             table = shapley.importance(shapley.linear_values(fitted, rows), names)
+        elif tree_shapley.is_tree_model(fitted):
+            table = tree_shapley.tree_importance(fitted, rows, key=key)
         else:
             table = shapley.sampled_importance(fitted, rows, key, conf.permutations, seed)
         return table, ranking.select_features(table, "shap", k), None
