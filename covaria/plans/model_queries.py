@@ -12,7 +12,7 @@ from ..models.classifiers import GaussianBayes
 from ..models.ensembles import FittedEnsemble, interval_columns
 from ..models.linear import FittedLinear, GramRegressor
 from ..models.registry import regressor
-from ..operators import drift, explore, neighbours, ranking, scoring, search, shapley, split, standardise as std, tree_shapley
+from ..operators import drift, explore, hashed_neighbours, neighbours, ranking, scoring, search, shapley, split, standardise as std, tree_shapley
 from ..operators.gram import LinearFit, moments
 from ..session import held, shared_folder
 from ..sources import sinks
@@ -699,6 +699,28 @@ def knn_mean(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.neighbour_mean(pairs, rows, "vec_id", "label")
 
 
+@query(
+    "knn_hashed",
+    """WITH pairs AS (SELECT a.vec_id AS query, row_number() OVER (PARTITION BY a.vec_id ORDER BY
+        list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), b.vec_id) AS r
+      FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
+    SELECT count(*) AS n_pairs, count(DISTINCT query) AS n_queries, true AS recall_reached FROM pairs WHERE r <= 5""",
+)
+def knn_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate neighbours of every twentieth row among all rows, with the recall against the exact ones."""
+    rows, names = _vectors(spark, sf)
+    asked = rows.filter("vec_id % 20 = 0")
+    planes = hashed_neighbours.fit_planes(rows, names, tables=8, cell_rows=64, key="vec_id")
+    visits = hashed_neighbours.visits_for(asked, rows, names, 5, planes, 0.96, "vec_id", "vec_id", skip_self=True)
+    found = hashed_neighbours.nearest_hashed(asked, rows, names, 5, planes, visits, "vec_id", "vec_id", skip_self=True)
+    exact = neighbours.nearest(asked, rows, names, 5, "vec_id", "vec_id", skip_self=True)
+    hits = exact.select("query", "neighbour", F.lit(1).alias("hit"))
+    return found.join(hits, ["query", "neighbour"], "left").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("query").alias("n_queries"),
+        (F.coalesce(F.sum("hit"), F.lit(0)) >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+    )
+
+
 def shifted_classes(spark: SparkSession, sf: str) -> DataFrame:
     """Class 1: rows with large quantities.  Class 2: all rows."""
     rows = v.clean_training(spark, sf).select("key", *v.FEATURES)
