@@ -47,7 +47,7 @@ def parse_config(fields: dict[str, Any]) -> WorkflowConfig:
     for name, kind in parts.items():
         if name in fields:
             values = dict(fields[name])
-            if name == "search" and "space" in values:
+            if name == "search" and isinstance(values.get("space"), dict):
                 values["space"] = parse_space(values["space"])
             try:
                 fields[name] = kind(**values)

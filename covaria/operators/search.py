@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -15,9 +16,9 @@ from ..functions.hashing import unit_uniform
 from ..models.base import Fitted, Model
 from ..session import held
 from .clean import clean, clean_selected
-from .scoring import fold_scores, group_scores, out_of_sample_scores
+from .scoring import fit_and_predict, fold_scores, group_scores
 from .split import assign_folds, subsample
-from ..functions.metrics import mean_scores
+from ..functions.metrics import mean_scores, score
 
 TRIAL_SCHEMA = T.StructType(
     [
@@ -106,7 +107,9 @@ def near_trials(
 class TrialObjective:
     """Scores one parameter set: out-of-sample, k-fold and grouped.
 
-    The cleaned, split tables are made once and shared by all trials.
+    The cleaned, split tables are made once and shared by all trials.  With a
+    folder, the model of a trial's out-of-sample score is kept there, under the
+    trial's number; a trial that is scored again on more rows replaces it.
     """
 
     training: DataFrame
@@ -117,6 +120,14 @@ class TrialObjective:
     n_splits: int
     key: str = "key"
     seed: str | int = 1
+    save_to: str | None = None
+    trial: int | None = None
+
+    def for_trial(self, trial: int) -> TrialObjective:
+        """The same tables, for the trial of this number."""
+        one = copy.copy(self)
+        one.trial = trial
+        return one
 
     def prepare(self) -> None:
         self.folds = assign_folds(clean_selected(self.training, self.features, keep=[self.key]), self.key, self.n_splits, self.seed)
@@ -128,8 +139,11 @@ class TrialObjective:
         if budget < 1.0:
             training, oos, folds = (subsample(t, self.key, budget, "budget") for t in (training, oos, folds))
         out: dict[str, float] = {}
+        fitted, predicted = fit_and_predict(training, oos, self.features, model)
+        if self.save_to is not None and self.trial is not None:
+            fitted.save(model_path(self.save_to, self.trial))
         rows = [
-            out_of_sample_scores(training, oos, self.features, model, self.scorers),
+            mean_scores(score(predicted, self.scorers, len(self.features)), self.scorers, "oos"),
             mean_scores(fold_scores(folds, self.features, model, self.scorers), self.scorers, "cv"),
             group_scores(training, self.features, model, self.scorers),
         ]
@@ -138,13 +152,18 @@ class TrialObjective:
         return out
 
 
+def model_path(folder: str, trial: int) -> str:
+    return f"{folder.rstrip('/')}/{trial}/model"
+
+
 def run_trials(trials: DataFrame, objective: Objective, jobs: int = 2, budget: float = 1.0) -> list[tuple[int, dict, dict]]:
     """Score every trial; a trial is a handful of Spark jobs, a few trials run at a time."""
     rows = [r.asDict() for r in trials.orderBy(TRIAL).collect()]  # one row per trial
 
     def one(row: dict[str, Any]) -> tuple[int, dict, dict]:
         params = {k: v for k, v in row.items() if k != TRIAL}
-        return row[TRIAL], params, objective(params, budget)
+        scorer = objective.for_trial(row[TRIAL]) if isinstance(objective, TrialObjective) else objective
+        return row[TRIAL], params, scorer(params, budget)
 
     with ThreadPoolExecutor(jobs) as pool:
         return list(pool.map(one, rows))
@@ -229,6 +248,8 @@ class SearchResult:
     model_path: str | None
     # Parameters of the trials that have no effect on this model.
     unused: Sequence[str] = ()
+    # (trial_id, path): the saved model of every trial, where they were saved.
+    models: DataFrame | None = None
 
 
 def search(
@@ -248,11 +269,11 @@ def search(
     save_to: str | None = None,
     convert: Callable[[dict[str, Any]], dict[str, Any]] = dict,
 ) -> SearchResult:
-    """Run a search, refit the best parameters on all training rows, save the model."""
+    """Run a search, save the model of every trial, refit the best parameters on all training rows and save that model."""
     if method not in METHODS:
         raise ValueError(f"unknown search method {method!r}; known: {METHODS}")
     spark = training.sparkSession
-    objective = TrialObjective(training, oos, features, lambda p: model(convert(p)), scorers, n_splits, key)
+    objective = TrialObjective(training, oos, features, lambda p: model(convert(p)), scorers, n_splits, key, save_to=save_to)
     objective.prepare()
     with held(objective.folds) as f, held(objective.clean_training) as t, held(objective.clean_oos) as o:
         objective.folds, objective.clean_training, objective.clean_oos = f, t, o
@@ -268,8 +289,10 @@ def search(
         fitted = chosen.fit(t, features)
     path = None
     if save_to is not None:
-        path = f"{save_to.rstrip('/')}/{winner}/model"
+        path = model_path(save_to, winner)
         fitted.save(path)
+        kept = [(i, model_path(save_to, i)) for i, _, _ in results]
     trials = results_table(spark, results)
-    return SearchResult(trials, best_trial(trials, metric), fitted, path, list(getattr(chosen, "unused", ())))
+    models = None if save_to is None else spark.createDataFrame(kept, "trial_id long, path string")
+    return SearchResult(trials, best_trial(trials, metric), fitted, path, list(getattr(chosen, "unused", ())), models)
 

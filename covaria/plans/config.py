@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from ..functions.metrics import SCORERS
-from ..models.registry import CLASSIFIERS, REGRESSORS
+from ..models.registry import CLASSIFIERS, REGRESSORS, default_space
 from ..operators.search import METHODS
 
 # Names of the ranking methods.
@@ -59,10 +59,15 @@ class RankingConfig:
     permutations: int = 4
 
 
+# Stands for the search space that a model declares for itself.
+DECLARED = "declared"
+
+
 @dataclass(frozen=True)
 class SearchConfig:
     algorithm: str = "RandomSearch"
-    space: Mapping[str, Any] = field(default_factory=dict)
+    # By name and distribution, or "declared" for the space that the model declares for itself.
+    space: Mapping[str, Any] | str = field(default_factory=dict)
     n_iteration: int = 10
     n_splits: int = 5
     scoring_functions: Sequence[str] = tuple(SCORERS)
@@ -105,6 +110,10 @@ class WorkflowConfig:
         _one_of("ranking method", self.ranking.method, RANKING_METHODS)
         _one_of("scorer", self.ranking.scoring_function, list(SCORERS))
         _one_of("search algorithm", self.search.algorithm, METHODS)
+        if isinstance(self.search.space, str):
+            _one_of("search space", self.search.space, [DECLARED])
+            if not default_space(self.model):
+                raise ConfigError(f"{self.model} declares no search space")
         for name in [*self.search.scoring_functions, *self.exploration.scoring_functions]:
             _one_of("scorer", name, list(SCORERS))
         family, _, scorer = self.search.metric.partition("_")

@@ -16,10 +16,11 @@ from ..operators import drift, explore, hashed_neighbours, neighbours, ranking,
 from ..operators.gram import LinearFit, moments
 from ..session import held, shared_folder
 from ..sources import sinks
+from ..sources.tables import read_geojson
 from . import views as v
 from .config import RankingConfig
 from .registry import query
-from .workflow import rank_features
+from .workflow import drift_properties, rank_features
 
 PAIR = ["quantity", "discount"]
 SCORERS = list(metrics.SCORERS)
@@ -732,9 +733,7 @@ def _density_sql(c: str) -> str:
     return f"(ln(p{c}) - 0.5 * (ln(2 * pi() * (vq{c} + eps)) + ln(2 * pi() * (vs{c} + eps))) - pow(zq - mq{c}, 2) / (2 * (vq{c} + eps)) - pow(zs - ms{c}, 2) / (2 * (vs{c} + eps)))"
 
 
-@query(
-    "gaussian_nb_drift",
-    f"""WITH {v.CLEAN_SQL}, {_NUMERIC},
+_DRIFT_SQL = f"""WITH {v.CLEAN_SQL}, {_NUMERIC},
     st AS MATERIALIZED (SELECT '1/' || key AS key, quantity, size, 1 AS c FROM num WHERE quantity > 25
       UNION ALL SELECT '2/' || key, quantity, size, 2 FROM num),
     m AS MATERIALIZED (SELECT avg(quantity) AS mq, stddev_pop(quantity) AS sq, avg(size) AS ms, stddev_pop(size) AS ss FROM st),
@@ -744,8 +743,58 @@ def _density_sql(c: str) -> str:
       var_pop(zq) FILTER (c = 1) AS vq1, var_pop(zq) FILTER (c = 2) AS vq2, var_pop(zs) FILTER (c = 1) AS vs1,
       var_pop(zs) FILTER (c = 2) AS vs2, 1e-9 * greatest(var_pop(zq), var_pop(zs)) AS eps FROM z),
     d AS (SELECT *, {", ".join(f"(SELECT {n} FROM g) AS {n}" for n in "p1 p2 mq1 mq2 ms1 ms2 vq1 vq2 vs1 vs2 eps".split())} FROM z)
-    SELECT key, c AS actual_class, round(1 / (1 + exp({_density_sql('2')} - {_density_sql('1')})), 7) AS probability_class_1 FROM d""",
-)
+    SELECT key, c AS actual_class, round(1 / (1 + exp({_density_sql('2')} - {_density_sql('1')})), 7) AS probability_class_1 FROM d"""
+
+
+@query("gaussian_nb_drift", _DRIFT_SQL)
 def gaussian_nb_drift(spark: SparkSession, sf: str) -> DataFrame:
     out = drift.measure_drift(shifted_classes(spark, sf), ["quantity", "size"], GaussianBayes(), keep=["key"]).table
     return out.select("key", "actual_class", F.round("probability_class_1", 7).alias("probability_class_1"))
+
+
+@query(
+    "drift_points",
+    f"""WITH {v.CLEAN_SQL}, drift AS ({_DRIFT_SQL}) SELECT d.key, CAST(d.actual_class AS VARCHAR) AS actual_class, d.probability_class_1,
+    CAST(c.x AS DOUBLE) AS x, CAST(c.y AS DOUBLE) AS y FROM drift d JOIN clean c ON c.key = substr(d.key, 3)""",
+)
+def drift_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of a drift table, written as one FeatureCollection and read again in splits."""
+    rows = v.clean_training(spark, sf).select("key", "x", "y", "quantity", "size")
+    known = rows.filter("quantity > 25").withColumn("key", F.concat(F.lit("1/"), "key"))
+    stacked = drift.two_classes(known, rows.withColumn("key", F.concat(F.lit("2/"), "key")))
+    names = ["quantity", "size"]
+    table = drift.measure_drift(stacked, names, GaussianBayes(), keep=["key", "x", "y"]).table
+    path = f"{shared_folder(spark)}/drift"
+    sinks.write_geojson_collection(table, path, drift_properties(names), "key")
+    # The files of the folder are one document.
+    read = read_geojson(spark, path, one_document=True).select("feature.*")
+    return read.select(
+        F.col("properties")["key"].alias("key"), F.col("properties")["actual_class"].alias("actual_class"),
+        F.round(F.col("properties")["probability_class_1"].cast("double"), 7).alias("probability_class_1"),
+        F.from_json("geometry.coordinates", "array<double>")[0].alias("x"), F.from_json("geometry.coordinates", "array<double>")[1].alias("y"),
+    )
+
+
+_RIDGES = [0.0, 0.1, 10.0]
+
+
+@query(
+    "trial_models",
+    f"WITH {v.CLEAN_SQL}, num AS (SELECT key, CAST(target AS DOUBLE) AS target FROM clean), {v.sql_holdout('num', 10)}"
+    " SELECT i AS trial_id, (SELECT count(*) FROM held WHERE is_oos) AS n_rows, true AS same_score FROM range(3) t(i)",
+)
+def trial_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The model of every trial is saved, and scores the held-out rows as its trial did."""
+    train, oos = split.holdout(v.clean_training(spark, sf), "key", 10)
+    name = "mean_absolute_error_scorer"
+    found = search.search(
+        train, oos, v.FEATURES, lambda p: GramRegressor(**p), {"ridge": _RIDGES}, "GridSearch", f"oos_{name}", [name],
+        n_splits=2, jobs=2, save_to=shared_folder(spark),
+    )
+    rows = []
+    with held(oos) as oos:
+        for one in found.models.join(found.trials, "trial_id").collect():  # one row per trial
+            again = GramRegressor.load(spark, one["path"]).transform(oos)
+            row = metrics.score(again, [name], len(v.FEATURES)).withColumn("n", F.lit(oos.count())).first()
+            rows.append((one["trial_id"], row["n"], abs(row[name] - one["scores"][f"oos_{name}"]) < 1e-6))
+    return spark.createDataFrame(rows, "trial_id long, n_rows long, same_score boolean")

@@ -13,7 +13,7 @@ from ..functions.metrics import long_scores, mean_scores, score
 from ..models.base import Fitted, Model
 from ..models.linear import FittedLinear
 from ..functions.projection import PROJECTED, check_crs
-from ..models.registry import classifier, load, regressor
+from ..models.registry import classifier, default_space, load, regressor
 from ..operators import drift as drift_ops
 from ..operators import explore, ranking, search as search_ops, shapley, tree_shapley
 from ..operators.clean import cast_float, clean, clean_selected
@@ -25,7 +25,8 @@ from ..operators.sets import match_exact, usable
 from ..operators.split import assign_folds, assign_group_folds, holdout
 from ..schema import covariates_of
 from ..session import cut_lineage, held
-from .config import RankingConfig, WorkflowConfig
+from ..sources.sinks import write_geojson_collection
+from .config import DECLARED, RankingConfig, WorkflowConfig
 
 
 @dataclass
@@ -195,13 +196,19 @@ def explore_model(
     n_splits: int,
     key: str = "key",
 ) -> dict[str, DataFrame]:
-    """Out-of-sample and cross-validated scores, and predicted-versus-real tables."""
-    _, predicted = fit_and_predict(training, oos, features, model)
+    """Out-of-sample and cross-validated scores, predicted-versus-real tables, and the importance of features where the
+    model has one."""
+    fitted, predicted = fit_and_predict(training, oos, features, model)
     oos_row = mean_scores(score(predicted, scorers, len(features)), scorers, "oos")
     table = assign_folds(clean_selected(training, features, keep=[key]), key, n_splits)
     crossed = out_of_fold(table, features, model)
     per_fold = score(crossed, scorers, len(features), by=["fold"])
+    try:
+        weights = {"feature_importance": fitted.importance(training.sparkSession)}
+    except NotImplementedError:
+        weights = {}
     return {
+        **weights,
         "oos_scores": long_scores(oos_row),
         "cv_fold_scores": per_fold,
         "cv_scores": long_scores(mean_scores(per_fold, scorers, "cv")),
@@ -219,7 +226,7 @@ def covariate_drift(
     key: str = "key",
     seed: str | int = 0,
 ) -> tuple[DataFrame, DataFrame]:
-    """(drift table, drift map)."""
+    """(drift table, drift map); rows of the table keep their place in the projection."""
     area = inputs.area
     rows = clean(training, features)
     points = drift_ops.random_points(spark, area, inputs.mask, drift_ops.points_needed(rows.count()), seed)
@@ -227,14 +234,19 @@ def covariate_drift(
     # Keys of the two classes must not meet.
     random_rows = sampled.withColumn("key", F.concat(F.lit("random/"), F.col("point_id").cast("string")))
     known_rows = rows.withColumn("key", F.concat(F.lit("training/"), F.col(key).cast("string")))
-    stacked = drift_ops.two_classes(known_rows.select("key", *features), random_rows.select("key", *features))
-    result = drift_ops.measure_drift(stacked, features, classifier(classifier_name), keep=["key"])
+    stacked = drift_ops.two_classes(known_rows.select("key", "x", "y", *features), random_rows.select("key", "x", "y", *features))
+    result = drift_ops.measure_drift(stacked, features, classifier(classifier_name), keep=["key", "x", "y"])
     surface = drift_ops.drift_map(
         spark, area, inputs.cells, inputs.meta, features, result, inputs.mask, area["nodata"]
     )
     return result.table, surface
 
 
+def drift_properties(features: Sequence[str]) -> list[str]:
+    """What a drift point carries as GeoJSON beside its place."""
+    return ["key", *features, "probability_class_1", "actual_class"]
+
+
 @dataclass
 class WorkflowResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
@@ -292,9 +304,10 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
             out.selected_features = chosen
             publish({"feature_ranking": table, **({"elimination_log": log} if log is not None else {})})
         features = out.selected_features
-        if "hyper_parameter_optimization" in conf.stages and oos is not None and conf.search.space:
+        space = default_space(conf.model) if conf.search.space == DECLARED else dict(conf.search.space)
+        if "hyper_parameter_optimization" in conf.stages and oos is not None and space:
             found = search_ops.search(
-                training, oos, features, lambda p: regressor(conf.model, p), dict(conf.search.space),
+                training, oos, features, lambda p: regressor(conf.model, p), space,
                 conf.search.algorithm, conf.search.metric, conf.search.scoring_functions, conf.search.n_iteration,
                 conf.search.n_splits, "key", conf.seed, conf.jobs, conf.output_folder,
                 convert=lambda p: {**parameters, **p},
@@ -303,6 +316,8 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
             parameters.update(_typed(best["params"]))
             out.model, out.model_path = found.model, found.model_path
             publish({"trials": found.trials, "best_trial": found.best})
+            if found.models is not None:
+                publish({"trial_models": found.models})
         if "model_exploration" in conf.stages and oos is not None:
             publish(
                 explore_model(
@@ -325,6 +340,9 @@ def run_workflow(spark: SparkSession, inputs: Inputs, conf: WorkflowConfig) -> W
                 spark, training, inputs, features, conf.drift_classifier, "key", conf.seed
             )
             publish({"drift": table, "drift_map": surface})
+            if conf.output_folder is not None:
+                path = f"{conf.output_folder.rstrip('/')}/drift_points.geojson"
+                write_geojson_collection(out.tables["drift"], path, drift_properties(features), "key")
     return out
 
 

@@ -6,6 +6,8 @@ from covaria.functions import distributions as d, metrics
 from covaria.models.classifiers import GaussianBayes
 from covaria.models.linear import GramRegressor
 from covaria.models.registry import classifier, regressor
+from covaria.operators.points import normalise_points
+from covaria.sources.tables import read_geojson
 from covaria.operators import drift, explore, ranking, scoring, search, shapley, split
 from covaria.plans.config import ConfigError, RankingConfig, SearchConfig, TargetConfig, WorkflowConfig
 from covaria.plans.fit_queries import raster_inputs
@@ -209,6 +211,13 @@ def test_search_refits_and_saves(spark, training, tmp_path):
     best = found.best.first()
     assert best["params"] == {"ridge": "0.0"}
     assert set(best["scores"]) == {"oos_r2_scorer", "cv_r2_scorer", "groupcv_r2_scorer"}
+    # The model of every trial is there, and scores as its trial says.
+    for r in found.models.collect():
+        again = GramRegressor.load(spark, r["path"]).transform(oos)
+        r2 = scoring.score(again, ["r2_scorer"], len(FEATURES)).first()["r2_scorer"]
+        scores = found.trials.filter(F.col("trial_id") == r["trial_id"]).first()["scores"]
+        assert r2 == pytest.approx(scores["oos_r2_scorer"])
+    assert found.models.count() == 2
     assert found.model_path.startswith(str(tmp_path)) and GramRegressor.load(spark, found.model_path).features == FEATURES
     with pytest.raises(ValueError, match="unknown search method"):
         search.search(train, oos, FEATURES, GramRegressor, {}, "Nope", "m", [])
@@ -276,6 +285,7 @@ def test_workflow_end_to_end(spark, sf, tmp_path):
     for name in (
         "training", "oos", "rejects", "training_histogram", "oos_density", "feature_ranking", "elimination_log", "trials",
         "best_trial", "oos_scores", "cv_predictions", "prediction_map", "drift", "drift_map",
+        "trial_models", "drift_points.geojson", "feature_importance",
     ):
         assert (tmp_path / name).exists(), name
     assert len(out.selected_features) == 2 and out.model_path
@@ -286,6 +296,13 @@ def test_workflow_end_to_end(spark, sf, tmp_path):
     assert train.groupBy("groupcv").agg(F.count_distinct("groupcv_class").alias("c")).filter("c > 1").count() == 0
     surface = out.tables["prediction_map"]
     assert surface.count() == 200 and surface.filter("value IS NULL").count() == 0
+    # Drift points as a FeatureCollection, read again: every row, in its place.
+    points, lost = normalise_points(read_geojson(spark, str(tmp_path / "drift_points.geojson"), one_document=True), "probability_class_1")
+    assert lost.count() == 0 and points.count() == out.tables["drift"].count()
+    sums = [t.agg(F.sum("x"), F.sum("y")).first() for t in (points, out.tables["drift"])]
+    assert list(sums[0]) == pytest.approx(list(sums[1]))
+    assert [r["feature"] for r in out.tables["feature_importance"].orderBy("feature").collect()] == sorted(out.selected_features)
+    assert out.tables["trial_models"].count() == 2
     ps = out.tables["drift"].agg(F.min("probability_class_1"), F.max("probability_class_1"), F.count_distinct("actual_class")).first()
     assert 0 <= ps[0] and ps[1] <= 1 and ps[2] == 2
 
@@ -296,6 +313,8 @@ def test_config_is_checked():
         dict(covariates=["a"], model="Nope"),
         dict(covariates=["a"], stages=["nope"]),
         dict(covariates=["a"], drift_classifier="Nope"),
+        dict(covariates=["a"], search=SearchConfig(space="all")),
+        dict(covariates=["a"], search=SearchConfig(space="declared")),
         dict(covariates=["a"], ranking=RankingConfig(method="Nope")),
         dict(covariates=["a"], ranking=RankingConfig(scoring_function="Nope")),
         dict(covariates=["a"], search=SearchConfig(algorithm="Nope")),
@@ -307,3 +326,8 @@ def test_config_is_checked():
         with pytest.raises(ConfigError):
             WorkflowConfig(**bad)
     assert WorkflowConfig(covariates=["a"]).model == "GramRegressor"
+
+
+def test_a_model_with_a_declared_space_can_be_searched_by_it():
+    conf = WorkflowConfig(covariates=["a"], model="XGBRegressor", search=SearchConfig(space="declared"))
+    assert conf.search.space == "declared"
