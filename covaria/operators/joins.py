@@ -17,6 +17,8 @@ HOT_SHARE = 1000
 SKETCH = 32_768
 # Rows of a hot key are dealt out to this many places.
 PLACES = 64
+# Lookup rows with arrays are copied as rarely as can be: a place gets up to 1/WIDE_SHARE of the rows.
+WIDE_SHARE = 256
 
 
 def row_bytes(df: DataFrame) -> int:
@@ -50,12 +52,12 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def _heavy_hashes(df: DataFrame, keys: Sequence[str], share: int) -> tuple[list[int], int]:
-    """Key hashes that may hold more than 1/share of the rows, and the number of rows: one pass, bounded memory."""
+def _heavy_hashes(df: DataFrame, keys: Sequence[str], share: int) -> tuple[dict[int, int], int]:
+    """Key hashes that may hold more than 1/share of the rows, with their rows, and the number of all: one pass, bounded memory."""
     row = df.select(_key_hash(keys).alias("_h")).agg(
         F.expr(f"approx_top_k(_h, {2 * share}, {SKETCH})").alias("top"), F.count(F.lit(1)).alias("n")
     ).first()
-    return [t["item"] for t in row["top"] or [] if t["count"] * share > row["n"]], row["n"]
+    return {t["item"]: t["count"] for t in row["top"] or [] if t["count"] * share > row["n"]}, row["n"]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[tuple]:
@@ -66,10 +68,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list
     heavy, n = _heavy_hashes(df, keys, share)
     if not heavy:
         return []
-    counts = df.filter(_key_hash(keys).isin(heavy)).groupBy(*keys).count().filter(F.col("count") * share > n).collect()
+    counts = df.filter(_key_hash(keys).isin(list(heavy))).groupBy(*keys).count().filter(F.col("count") * share > n).collect()
     return [tuple(r[k] for k in keys) for r in counts]
 
 
+def _by_places(heavy: dict[int, int], n: int, wide: bool) -> dict[int, list[int]]:
+    """Hot hashes by the number of places that their rows are dealt out to."""
+    out: dict[int, list[int]] = {}
+    for h, count in heavy.items():
+        out.setdefault(min(PLACES, -(-count * WIDE_SHARE // n)) if wide else PLACES, []).append(h)
+    return out
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -87,7 +97,8 @@ def lookup_join(
     its rows, and without `unique_left` the keys of `probe` (or `left`) are run
     to look for hot ones.  Otherwise both sides are shuffled once.  Rows of hot keys are dealt out to
     PLACES places, and the fewer than HOT_SHARE lookup rows of these keys are
-    copied to each; rows with a null key, which match nothing, are dealt out
+    copied to each; of lookup rows with arrays there are as many copies as the
+    rows of their key ask for, PLACES at most.  Rows with a null key, which match nothing, are dealt out
     as well.
 
     `unique_left` says that no key repeats, so none is looked for.  `probe`
@@ -98,14 +109,20 @@ def lookup_join(
         raise ValueError(f"lookup_join does not support {how!r}")
     if fits(right, bound, small_rows) if bound is not None else is_small(right, small_rows):
         return left.join(F.broadcast(right), keys, how)
+    # What is not proved small is not left to the engine's estimate, which knows compressed files and takes an array for one value.
     if unique_left:
-        return left.join(right, keys, how)
+        return left.join(right.hint("merge"), keys, how)
 
-    heavy, _ = _heavy_hashes(left if probe is None else probe, keys, HOT_SHARE)
+    heavy, n = _heavy_hashes(left if probe is None else probe, keys, HOT_SHARE)
+    wide = any(isinstance(f.dataType, T.ArrayType) for f in right.schema.fields)
+    places = F.lit(1)
+    for number, hashes in _by_places(heavy, n, wide).items():
+        places = F.when(_key_hash(keys).isin(hashes), F.lit(number)).otherwise(places)
     absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    hot = _key_hash(keys).isin(heavy) if heavy else F.lit(False)
     hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    place = F.when(hot | absent, F.pmod(F.xxhash64(*hashed), F.lit(PLACES)).cast("int")).otherwise(F.lit(0))
-    copies = F.when(hot, F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
-    joined = left.withColumn("_place", place).join(right.withColumn("_place", F.explode(copies)), [*keys, "_place"], how)
+    place = F.pmod(F.xxhash64(*hashed), F.when(absent, F.lit(PLACES)).otherwise(places)).cast("int")
+    copies = F.sequence(F.lit(0), places - F.lit(1))
+    joined = left.withColumn("_place", place).join(
+        right.withColumn("_place", F.explode(copies)).hint("merge"), [*keys, "_place"], how
+    )
     return joined.drop("_place")

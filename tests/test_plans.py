@@ -99,6 +99,23 @@ def _check_four_grids(spark, joins, points, cells, meta, names, want):
     assert sorted(map(str, df.collect())) == want
 
 
+def test_wide_lookup_rows_are_not_broadcast_and_seldom_copied(spark, monkeypatch):
+    from covaria.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    dealt = []
+    monkeypatch.setattr(joins, "_by_places", lambda *a, f=joins._by_places: dealt.append(f(*a)) or dealt[-1])
+    # Each of 400 tiles is asked for twice: all are over 1/1000 of the rows, none is worth a copy.
+    left = spark.range(800).select((F.col("id") % 400).alias("k"), "id")
+    right = spark.range(400).select(F.col("id").alias("k"), F.array_repeat(F.col("id"), 100).alias("values"))
+    df = joins.lookup_join(left, right, ["k"])
+    assert "BroadcastHashJoin" not in plan(df) and sorted(dealt[-1]) == [1]
+    assert {(r["k"], r["id"], r["values"][99]) for r in df.collect()} == {(i % 400, i, i % 400) for i in range(800)}
+    # One tile with half of the rows is dealt out.
+    crowded = left.withColumn("k", F.when(F.col("id") < 400, F.lit(7)).otherwise(F.col("k")))
+    assert joins.lookup_join(crowded, right, ["k"]).count() == 800 and max(dealt[-1]) == joins.PLACES
+
+
 def test_chosen_bands_reach_the_scan(spark, tmp_path):
     spark.range(40).select(
         F.concat(F.lit("r"), (F.col("id") % 10).cast("string")).alias("raster"), (F.col("id") % 2 + 1).cast("int").alias("band"),
