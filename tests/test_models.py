@@ -259,3 +259,29 @@ def test_far_away_rows_do_not_overflow(spark):
 def test_standardise_uses_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert [tuple(r) for r in standardise(df, ["a", "b"]).collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+@pytest.mark.parametrize("width", [2, 20])
+def test_neighbours_in_cells_are_exact(spark, width):
+    """Few features and many, a crowded place, keys that repeat, rows without a place, queries that are not references."""
+    rng = np.random.default_rng(3)
+    pts = np.vstack([np.full((300, width), 0.5), rng.normal(0, 1, (500, width)), np.full((1, width), np.nan)])
+    rows = [(i % 790, [float(x) for x in p]) for i, p in enumerate(pts)]
+    names = [f"f{j}" for j in range(width)]
+    df = spark.createDataFrame(rows, "key long, v array<double>").select("key", *[F.col("v")[j].alias(n) for j, n in enumerate(names)])
+    asked = df.filter("key % 3 = 0")
+    for skip in (False, True):
+        got = neighbours.nearest(asked, df, names, 3, skip_self=skip, shipped_values=0, pivots=8, block_rows=60)
+        found = {}
+        for r in got.orderBy("query", "position").collect():
+            found.setdefault(r["query"], []).append((r["neighbour"], r["distance2"]))
+        known = [(k, np.array(p)) for k, p in rows if not np.isnan(p[0])]
+        want = {}
+        for k, p in known:
+            if k % 3 == 0:
+                # The distances of the operator, feature by feature.
+                near = [(sum(((a - b) ** 2 for a, b in zip(p, o)), 0.0), j) for j, o in known if not (skip and j == k)]
+                want.setdefault(k, []).extend(sorted(near)[:3])
+        want = {k: [(j, d) for d, j in sorted(v)[:3]] for k, v in want.items()}
+        assert {k: [j for j, _ in v] for k, v in found.items()} == {k: [j for j, _ in v] for k, v in want.items()}
+        assert all(a[1] == pytest.approx(b[1], abs=1e-12) for k in want for a, b in zip(found[k], want[k]))
