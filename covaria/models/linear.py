@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.gram import LinearFit, fit_moments, moments
+from ..operators.gram import LinearFit, Moments, fit_moments, moments
 from .base import Fitted, Model
 
 
@@ -45,10 +45,13 @@ class GramRegressor(Model):
         self.ridge = ridge
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "target", weight: str | None = None) -> FittedLinear:
-        m = moments(df, features, label, weight=weight)
-        if not m:
+        return self.solved(moments(df, features, label, weight=weight), features)
+
+    def solved(self, sums: dict[int, Moments], features: Sequence[str]) -> FittedLinear:
+        """The model of rows whose sums are known."""
+        if not sums:
             raise ValueError("no rows to fit")
-        return FittedLinear(features, fit_moments(m[0], self.ridge))
+        return FittedLinear(features, fit_moments(sums[0], self.ridge))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FittedLinear:

@@ -7,6 +7,8 @@ import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -14,9 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.distributions import TRIAL, Distribution
 from ..functions.hashing import unit_uniform
 from ..models.base import Fitted, Model
+from ..models.linear import GramRegressor
 from ..session import held
 from .clean import clean, clean_selected
-from .scoring import fit_and_predict, fold_scores, group_scores
+from .gram import fold_fits, fold_prediction, moments
+from .scoring import fold_scores, group_scores
 from .split import assign_folds, subsample
 from ..functions.metrics import mean_scores, score
 
@@ -30,6 +34,8 @@ TRIAL_SCHEMA = T.StructType(
 
 # Names under which a halving search keeps, with a trial's scores, the share of rows and the round of its last scoring.
 BUDGET, RUNG = "budget", "rung"
+# The fold of a row's group.
+GROUP = "groupcv_class"
 Space = dict[str, Distribution]
 Objective = Callable[[dict[str, Any], float], dict[str, float]]
 
@@ -131,22 +137,53 @@ class TrialObjective:
 
     def prepare(self) -> None:
         self.folds = assign_folds(clean_selected(self.training, self.features, keep=[self.key]), self.key, self.n_splits, self.seed)
-        self.clean_training, self.clean_oos = clean(self.training), clean(self.oos)
+        # The rows are judged by all columns; only those that a trial reads are kept.
+        used = {self.key, *self.features, "target", GROUP}
+        self.clean_training, self.clean_oos = (t.select(*[c for c in t.columns if c in used]) for t in (clean(self.training), clean(self.oos)))
+        self.once: dict[Any, Any] = {}
+        self.turn = Lock()
+
+    def _shared(self, name: Any, make: Callable[[], Any]) -> Any:
+        """What no parameter changes is made by the first trial that asks."""
+        with self.turn:
+            if name not in self.once:
+                self.once[name] = make()
+            return self.once[name]
+
+    def tables(self, budget: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Training, out-of-sample and folded rows; less than all are drawn once for all trials."""
+        whole = self.clean_training, self.clean_oos, self.folds
+        if budget >= 1.0:
+            return whole
+        return self._shared(("rows", budget), lambda: tuple(subsample(t, self.key, budget, "budget") for t in whole))
+
+    def _scores(self, model: Model, budget: float) -> tuple[Fitted, list[DataFrame]]:
+        training, oos, folds = self.tables(budget)
+        n = len(self.features)
+        if not isinstance(model, GramRegressor):
+            # The tables are clean and held, so no trial holds them again.
+            fitted = model.fit(training, self.features)
+            alone = score(fitted.transform(oos), self.scorers, n)
+            crossed, grouped = fold_scores(folds, self.features, model, self.scorers), group_scores(training, self.features, model, self.scorers)
+            return fitted, [mean_scores(alone, self.scorers, "oos"), mean_scores(crossed, self.scorers, "cv"), grouped]
+        # The sums of a linear model are those of the rows: every trial solves the same ones.
+        sums = partial(moments, features=self.features, label="target")
+        fitted = model.solved(self._shared(("all", budget), lambda: sums(training)), self.features)
+        rows = [mean_scores(score(fitted.transform(oos), self.scorers, n), self.scorers, "oos")]
+        for table, fold, prefix in ((folds, "fold", "cv"), (training, GROUP, "groupcv")):
+            if fold not in table.columns:
+                rows.append(group_scores(training, self.features, model, self.scorers))
+                continue
+            fits = fold_fits(self._shared((prefix, budget), lambda t=table, f=fold: sums(t, by=f)), model.ridge)
+            guessed = table.withColumn("prediction", fold_prediction(fits, self.features, fold))
+            rows.append(mean_scores(score(guessed, self.scorers, n, by=[fold]), self.scorers, prefix))
+        return fitted, rows
 
     def __call__(self, params: dict[str, Any], budget: float = 1.0) -> dict[str, float]:
-        model = self.model(params)
-        training, oos, folds = self.clean_training, self.clean_oos, self.folds
-        if budget < 1.0:
-            training, oos, folds = (subsample(t, self.key, budget, "budget") for t in (training, oos, folds))
         out: dict[str, float] = {}
-        fitted, predicted = fit_and_predict(training, oos, self.features, model)
+        fitted, rows = self._scores(self.model(params), budget)
         if self.save_to is not None and self.trial is not None:
             fitted.save(model_path(self.save_to, self.trial))
-        rows = [
-            mean_scores(score(predicted, self.scorers, len(self.features)), self.scorers, "oos"),
-            mean_scores(fold_scores(folds, self.features, model, self.scorers), self.scorers, "cv"),
-            group_scores(training, self.features, model, self.scorers),
-        ]
         for row in rows:
             out.update({k: v for k, v in row.first().asDict().items()})
         return out

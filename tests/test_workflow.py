@@ -202,6 +202,25 @@ def test_halving_ends_on_all_rows(spark):
     assert results[0][1]["x"] == everything
 
 
+@pytest.mark.parametrize("method", ["GridSearch", "HyperBand"])
+def test_trials_share_what_no_parameter_changes(spark, training, monkeypatch, method):
+    train, oos = split.holdout(split.assign_group_folds(training, "groupcv", 2), "key", 10)
+    sums, drawn = [], []
+    monkeypatch.setattr(search, "moments", lambda *a, f=search.moments, **b: sums.append(1) or f(*a, **b))
+    monkeypatch.setattr(search, "subsample", lambda *a, f=search.subsample: drawn.append(a[2]) or f(*a))
+    space = {"ridge": [0.0, 0.1, 1.0] if method == "GridSearch" else d.loguniform(1e-6, 1.0)}
+    found = search.search(
+        train, oos, ["quantity", "discount"], lambda p: GramRegressor(**p), space, method, "oos_r2_scorer", ["r2_scorer"], n_iteration=5, n_splits=2
+    )
+    budgets = 1 if method == "GridSearch" else 2
+    assert len(sums) == 3 * budgets and len(drawn) == 3 * (budgets - 1)
+    # Scores are those of the plain way.
+    best = found.best.first()
+    model = GramRegressor(float(best["params"]["ridge"]))
+    assert best["scores"]["oos_r2_scorer"] == pytest.approx(scoring.out_of_sample_scores(train, oos, ["quantity", "discount"], model, ["r2_scorer"]).first()[0])
+    assert best["scores"]["groupcv_r2_scorer"] == pytest.approx(scoring.group_scores(train, ["quantity", "discount"], model, ["r2_scorer"]).first()[0])
+
+
 def test_search_refits_and_saves(spark, training, tmp_path):
     train, oos = split.holdout(split.assign_group_folds(training, "groupcv", 2), "key", 20)
     found = search.search(
