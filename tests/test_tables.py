@@ -182,3 +182,24 @@ def test_cut_lineage_keeps_rows(spark):
     df = spark.range(10).withColumn("a", F.col("id") * 2)
     assert cut_lineage(df).agg(F.sum("a")).first()[0] == 90
     assert shared_folder(spark) != shared_folder(spark)
+
+
+def test_spread_bounds_the_rows_of_a_split(spark, tmp_path, monkeypatch):
+    from covaria import session
+
+    spark.range(1600).repartition(8).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert session.spread(df, "id").rdd.getNumPartitions() == 8
+    monkeypatch.setattr(session, "SPLIT_ROWS", 100)
+    monkeypatch.setattr(session, "MOST_SPLIT_ROWS", 150)
+    many = session.spread(df, "id")
+    assert many.rdd.getNumPartitions() == 16 and many.count() == 1600
+
+
+def test_drift_points_store_their_rows_once(spark, sf, monkeypatch):
+    from covaria.plans import model_queries
+
+    stored = []
+    monkeypatch.setattr(model_queries, "cut_lineage", lambda df, f=model_queries.cut_lineage: stored.append(df.columns) or f(df))
+    assert model_queries.drift_points(spark, sf).count() > 0
+    assert stored == [["key", "x", "y", "quantity", "size"]]
