@@ -105,7 +105,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     pairs = edges.filter(F.col(x).isNotNull() & F.col(y).isNotNull() & (F.col(x) != F.col(y)))
     # b < a throughout.
     now = cut_lineage(pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
-    seen = None
+    rows, seen = now.count(), None
     for _ in range(rounds):
         # Large star: every larger neighbour of b hangs below the smallest node known to b.
         around = now.select(F.col("b").alias("node"), F.col("a").alias("other"), F.lit(1).alias("_one")).unionByName(
@@ -113,7 +113,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         )
         low = around.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("_m"), F.sum("_one").alias("_n"))
         large = cut_lineage(
-            _hung(now, "b", low.filter("_n > 0").withColumnRenamed("node", "b")).select("a", F.col("_m").alias("b")).distinct()
+            _hung(now, "b", low.filter("_n > 0").withColumnRenamed("node", "b")).select("a", F.col("_m").alias("b")).distinct(), rows
         )
         # Small star: the smaller neighbours of a hang below the smallest of them, as a does.
         low = large.groupBy("a").agg(F.min("b").alias("_m"), F.count(F.lit(1)).alias("_n"))
@@ -121,12 +121,12 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         now = cut_lineage(
             hung.select(F.explode(F.array(
                 F.struct("a", F.col("_m").alias("b")), F.struct(F.col("b").alias("a"), F.col("_m").alias("b"))
-            )).alias("e")).select("e.a", "e.b").filter("a != b").distinct()
+            )).alias("e")).select("e.a", "e.b").filter("a != b").distinct(), 2 * rows
         )
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             break
-        seen = state
+        rows, seen = state[0], state
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -213,7 +213,7 @@ def groups(
     """
     seen = cut_lineage(with_fingerprints(docs, id_col, text_col, size))
     nodes = cut_lineage(
-        seen.filter(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+        seen.filter(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), seen.count()
     )
     total = nodes.agg(F.sum("n")).first()[0] or 0
     stars = components(links(nodes.select("fp", F.col("first").cast("long").alias("id")), distance).distinct())
@@ -244,18 +244,19 @@ def _one_row(docs: DataFrame, distance: int, size: int, id_col: str, text_col: s
     seen = with_fingerprints(docs.select(key.alias("id"), F.col(text_col).alias("text")), "id", "text", size)
     # Equal rows, and rows with one fingerprint, are counted before they are shuffled.
     seen = cut_lineage(seen.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n")))
-    nodes = cut_lineage(seen.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m")))
+    each = seen.count()
+    nodes = cut_lineage(seen.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m")), each)
     # The fingerprint itself is the node, so ids need not be numbers or unique.
     stars = components(links(nodes.select("fp", F.col("fp").alias("id")), distance).distinct())
     rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select("fp", "m", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = cut_lineage(rooted)
+    rooted = cut_lineage(rooted, each)
     keepers = rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.count(F.lit(1)).alias("k"))
     by_fp = spread_join(rooted, keepers, ["root"], "k", rooted.count(), ["fp"]).select("fp", "m", "keeper")
     total = nodes.agg(F.sum("m")).first()[0] or 0
     met = spread_join(seen, by_fp, ["fp"], "m", total, ["id"])
     # Rows to drop, and keepers that stand there more than once.
     gone = F.col("id") != F.col("keeper")
-    marks = cut_lineage(met.filter(gone | (F.col("n") > 1)).select("id.none", F.col("id.id").alias("_id"), F.col("id.same").alias("_same"), gone.alias("_drop")))
+    marks = cut_lineage(met.filter(gone | (F.col("n") > 1)).select("id.none", F.col("id.id").alias("_id"), F.col("id.same").alias("_same"), gone.alias("_drop")), each)
     plain, names = plain_names(docs)
     own, text = plain[f"c{names.index(id_col)}"], plain[f"c{names.index(text_col)}"]
 

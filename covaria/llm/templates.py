@@ -130,7 +130,7 @@ def dropped_lines(
     leaves = filed.groupBy("key").agg(
         F.sum(F.when(F.col("again"), 0).otherwise(1)).alias("docs"), F.min(order).alias("keeper"), F.count(F.lit(1)).alias("n")
     )
-    leaves = cut_lineage(leaves.filter(F.col("docs") >= min_docs).select("key", "keeper", "n"))
+    leaves = cut_lineage(leaves.filter(F.col("docs") >= min_docs).select("key", "keeper", "n"), filed.count())
     total = leaves.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     asked = filed if by_row else filed.filter(F.col("id").isNotNull())
     met = spread_join(asked.select("id", "same", "line", "key"), leaves, ["key"], "n", total, ["id", "same", "line"])
