@@ -5,10 +5,11 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import cut_lineage
@@ -46,8 +47,8 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 SPACE = re.compile(r"\s+")
 PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
-# A block as it comes from the page: inside an article or main element, or elsewhere.
-INNER, OUTER = 1, 0
+# A block as it comes from the page: inside an article or main element, elsewhere, or in a menu, footer, advert and the like.
+INNER, OUTER, ASIDE = 1, 0, 2
 
 
 def _outside(name: str, attributes: str, within: bool) -> bool:
@@ -103,6 +104,11 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     than all that is seen without them; those among reader comments only if
     nothing else is seen.
     """
+    return [b for b in visible_blocks(page) if b[0] != ASIDE]
+
+
+def visible_blocks(page: str | None) -> list[tuple[int, str]]:
+    """(INNER, OUTER or ASIDE, text): `blocks`, and where they stand those of menus, footers, adverts and the like."""
     page = page or ""
     spared: set[int] = set()
     out, hidden, found = _blocks(page, spared)
@@ -112,10 +118,10 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     if found:
         return out
     for kind in ("article", "reader"):
-        if hidden[kind] and not (out and kind == "reader"):
+        if hidden[kind] and not (kind == "reader" and any(k != ASIDE for k, _ in out)):
             shown = _blocks(page, spared | hidden[kind])[0]
             inner = sum(len(text) for k, text in shown if k == INNER)
-            if inner > sum(len(text) for _, text in out):
+            if inner > sum(len(text) for k, text in out if k != ASIDE):
                 return shown
     return out
 
@@ -129,6 +135,7 @@ def _blocks(page: str, spared: set[int]) -> tuple[list[tuple[int, str]], dict[st
     """
     out: list[tuple[int, str]] = []
     parts: list[str] = []
+    aside: list[str] = []  # text of what is outside
     open_tags: list[str] = []
     dropped_at = 0  # depth at which what is outside began, 0 for none
     opened: Counter[str] = Counter()  # open elements by name
@@ -149,6 +156,19 @@ def _blocks(page: str, spared: set[int]) -> tuple[list[tuple[int, str]], dict[st
             if text:
                 out.append((INNER if content else OUTER, text))
 
+    def flush_aside() -> None:
+        if aside:
+            text = SPACE.sub(" ", entities.unescape("".join(aside))).strip()
+            aside.clear()
+            if text:
+                out.append((ASIDE, text))
+
+    def flush_here() -> None:
+        if dropped_at or named:
+            flush_aside()
+        else:
+            flush()
+
     def close() -> str:
         nonlocal dropped_at, readers
         gone = open_tags.pop()
@@ -165,6 +185,8 @@ def _blocks(page: str, spared: set[int]) -> tuple[list[tuple[int, str]], dict[st
             readers -= named.pop()[1] in reader_starts
             for kind in told:
                 told[kind] = min(told[kind], len(named))
+        if not (dropped_at or named):
+            flush_aside()
         return gone
 
     at = 0
@@ -180,11 +202,10 @@ def _blocks(page: str, spared: set[int]) -> tuple[list[tuple[int, str]], dict[st
             at = end.end()
             continue
         if not m:
-            if not (dropped_at or named):
-                parts.append(page[at:])
+            (aside if dropped_at or named else parts).append(page[at:])
             break
-        if m.start() > at and not (dropped_at or named):
-            parts.append(page[at : m.start()])
+        if m.start() > at:
+            (aside if dropped_at or named else parts).append(page[at : m.start()])
         at = m.end()
         name = m[2]
         if name is None:
@@ -192,15 +213,15 @@ def _blocks(page: str, spared: set[int]) -> tuple[list[tuple[int, str]], dict[st
         name = name.lower()
         if m[1]:  # closing
             if opened[name]:
-                if name in BLOCK and not (dropped_at or named):
-                    flush()
+                if name in BLOCK:
+                    flush_here()
                 while close() != name:
                     pass
-            elif name in BLOCK and not (dropped_at or named):
-                flush()
+            elif name in BLOCK:
+                flush_here()
             continue
-        if name in BLOCK and not (dropped_at or named):
-            flush()
+        if name in BLOCK:
+            flush_here()
         if name in VOID or m[3].endswith("/"):
             continue
         if name in RAW:
@@ -238,8 +259,7 @@ def _blocks(page: str, spared: set[int]) -> tuple[list[tuple[int, str]], dict[st
             if name == "article" or _is_readers(m[3]):
                 readers += 1
                 reader_starts.add(m.start())
-    if not (dropped_at or named):
-        flush()
+    flush_here()
     return out, hidden, found
 
 
@@ -278,7 +298,7 @@ def _rises(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1 - np.unpackbits(raw, bitorder="little")[:size]
 
 
-def shared_lines(a: list[str], b: list[str]) -> list[bool]:
+def shared_lines(a: Sequence, b: Sequence) -> list[bool]:
     """Which lines of `a` are in a longest common subsequence with `b`.
 
     Equal ends are taken off, then `a` is halved and `b` is cut where the
@@ -286,7 +306,7 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
     in the lines but for the bits of frequent ones, of which there are at most
     the root of their number.
     """
-    codes: dict[str, int] = {}
+    codes: dict = {}
     x = np.array([codes.setdefault(line, len(codes)) for line in a], np.int64)
     y = np.array([codes.setdefault(line, len(codes)) for line in b], np.int64)
     shared = np.zeros(len(x), bool)
@@ -318,21 +338,39 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
     return shared.tolist()
 
 
+def _codes(found: list[tuple[int, str]]) -> list[int]:
+    """A number for each block: a hash of the text, its last two bits say where it stands."""
+    return [(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) & ~3 | kind) - (1 << 63) for kind, text in found]
+
+
+def with_codes(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, url, codes): a number for each visible block of the page, in page order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = pa.array([_codes(visible_blocks(t.as_py())) for t in b.column(2)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), codes], ["id", "url", "codes"])
+
+    schema = T.StructType([
+        T.StructField("id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("codes", T.ArrayType(T.LongType())),
+    ])
+    return pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(run, schema)
+
+
 def with_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, inner, lines): `inner` marks the lines of article and main elements."""
+    """(id, url, codes, lines): the visible blocks of each page; those of menus and the like come as their codes alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [blocks(t.as_py()) for t in b.column(2)]
+            found = [visible_blocks(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1),
-                pa.array([[bool(k) for k, _ in f] for f in found], pa.list_(pa.bool_())),
-                pa.array([[t for _, t in f] for f in found], pa.list_(pa.string())),
-            ], ["id", "url", "inner", "lines"])
+                b.column(0), b.column(1), pa.array([_codes(f) for f in found], pa.list_(pa.int64())),
+                pa.array([[None if k == ASIDE else t for k, t in f] for f in found], pa.list_(pa.string())),
+            ], ["id", "url", "codes", "lines"])
 
     schema = T.StructType([
         T.StructField("id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()),
-        T.StructField("inner", T.ArrayType(T.BooleanType())), T.StructField("lines", T.ArrayType(T.StringType())),
+        T.StructField("codes", T.ArrayType(T.LongType())), T.StructField("lines", T.ArrayType(T.StringType())),
     ])
     return pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(run, schema)
 
@@ -366,39 +404,69 @@ def nearest_by_url(pages: DataFrame) -> DataFrame:
     return near.select("id", partner.alias("partner")).filter("partner IS NOT NULL AND partner != id")
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, text): the article of every page, blocks joined by line ends.
-
-    Blocks inside an article or main element are the text.  A page without
-    such an element is differenced: of its blocks, those that a longest common
-    subsequence shares with the page of the nearest URL path on the same host
-    are deleted.  Blocks of the article are never deleted by differencing, for
-    articles may share sentences.  Null and empty pages have the empty text.
-    Pages that share an id are each taken by themselves, with one partner.
+def template_blocks(codes: list[int], theirs: list[int]) -> list[bool]:
+    """Which blocks of a page are shared with the other: a longest common subsequence of those inside articles, one of those
+    in menus and the like, and one of the others."""
+    shared = [False] * len(codes)
+    for kind in (INNER, OUTER, ASIDE):
+        at = [i for i, c in enumerate(codes) if c & 3 == kind]
+        for i, s in zip(at, shared_lines([codes[i] for i in at], [c for c in theirs if c & 3 == kind])):
+            shared[i] = s
+    return shared
+
+
+def differenced(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, url, text, n_blocks, n_shared): every page aligned with the page of the nearest URL path on the same host.
+
+    All visible blocks take part, and those that a longest common subsequence
+    shares are deleted as template; structure then says what of the page is
+    its article: of a page with blocks inside an article or main element these
+    are the text, of another what is left outside of menus and the like.
+    Blocks of the article are taken back where they were deleted, for articles
+    may share sentences.  `n_shared` counts the deleted ones of `n_blocks`.
+
+    The partners are found and sent as hashes of the blocks; the pages are
+    read again for the texts, which travel once.
     """
-    seen = cut_lineage(with_blocks(pages, id_col, url_col, html_col))
-    near = nearest_by_url(seen.select("id", "url"))
-    plain = F.filter(F.col("lines"), lambda line, i: ~F.get("inner", i))
-    others = seen.select(F.col("id").alias("partner"), plain.alias("theirs")).filter(F.size("theirs") > 0)
-    others = others.groupBy("partner").agg(F.max("theirs").alias("theirs"))
-    has_article = F.exists("inner", lambda x: x)
-    article = F.array_join(F.filter(F.col("lines"), lambda line, i: F.get("inner", i)), "\n")
-    finished = seen.filter(has_article).select("id", "url", article.alias("text"))
-    # Only pages without an article travel, with what their partners have outside of theirs.
-    rest = seen.filter(~has_article)
-    pairs = rest.select("id").distinct().join(near, "id").join(others, "partner").select(F.col("id").alias("_id"), "theirs")
-    joined = rest.join(pairs, rest["id"] == pairs["_id"], "left").select("id", "url", "lines", "theirs")
+    seen = cut_lineage(with_codes(pages, id_col, url_col, html_col))
+    near = nearest_by_url(seen.select("id", "url")).groupBy("id").agg(F.min("partner").alias("partner"))
+    others = seen.filter("id IS NOT NULL AND size(codes) > 0").groupBy(F.col("id").alias("partner")).agg(F.max("codes").alias("theirs"))
+    pairs = near.join(others, "partner").select(F.col("id").alias("_id"), "theirs")
+    rows = with_blocks(pages, id_col, url_col, html_col)
+    joined = rows.join(pairs, rows["id"] == pairs["_id"], "left").select("id", "url", "codes", "lines", "theirs")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
-            for lines, theirs in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                shared = shared_lines(lines, theirs or [])
-                texts.append("\n".join(t for t, s in zip(lines, shared) if not s))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
-
-    schema = T.StructType([seen.schema["id"], seen.schema["url"], T.StructField("text", T.StringType())])
-    return finished.unionByName(joined.mapInArrow(difference, schema))
+            texts, sizes, gone = [], [], []
+            for codes, lines, theirs in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
+                shared = template_blocks(codes, theirs or [])
+                kinds = [c & 3 for c in codes]
+                if INNER in kinds:
+                    kept = [t for t, k in zip(lines, kinds) if k == INNER]
+                else:
+                    kept = [t for t, k, s in zip(lines, kinds, shared) if k == OUTER and not s]
+                texts.append("\n".join(kept))
+                sizes.append(len(codes))
+                gone.append(sum(shared))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(gone, pa.int32())],
+                ["id", "url", "text", "n_blocks", "n_shared"],
+            )
+
+    schema = T.StructType([
+        rows.schema["id"], rows.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_blocks", T.IntegerType()),
+        T.StructField("n_shared", T.IntegerType()),
+    ])
+    return joined.mapInArrow(difference, schema)
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, url, text): the article of every page by `differenced`, blocks joined by line ends.
+
+    Null and empty pages have the empty text.  Pages that share an id are each
+    taken by themselves, with one partner.
+    """
+    return differenced(pages, id_col, url_col, html_col).select("id", "url", "text")
 
 
 # What the blocks come to on the given pages: one article of headings and paragraphs each, with line breaks.
