@@ -3,11 +3,13 @@
 Frequent phrases are mined by Toivonen's method.  A sample of the documents
 proposes phrases.  One pass over all documents counts every word, and every
 longer phrase whose two parts of one word less are proposed: these are the
-proposals and their negative border.  A border phrase that turns out frequent
-was missed by the sample; it is added, and a further pass counts whatever can be
-built from it.  That pass takes every phrase it counts for the first time for
-frequent when it looks for longer ones, so it closes the search.  All counts are
-exact, whatever the sample held.
+proposals and their negative border.  Most of them are rare, so this pass counts
+hashes of 64 bits only; phrases that share a hash can make it seem frequent,
+never rare.  A second pass counts the phrases themselves, those of the frequent
+hashes.  A border phrase that turned out frequent was missed by the sample, so
+that pass also counts whatever can be built from it; it takes every phrase that
+the first did not count for frequent when it looks for longer ones, so it closes
+the search.  All counts are exact, whatever the sample held.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,12 @@ LEAST_SAMPLED = 3
 # Proposals are kept as two bits each in a filter of this many bits: its size does not grow with the data.  A phrase
 # that the filter holds by chance is counted without need, which costs time and changes nothing.
 FILTER_BITS = 26
-# Bytes of text that are looked at in one piece, and different phrases that a task holds before it hands them on.
+# Bytes of text that are looked at in one piece; different phrases, and hashes, that a task holds before it hands them on;
+# rows in one batch.
 PORTION = 1 << 20
-HELD = 250_000
+HELD = 750_000
+HELD_HASHES = 4_000_000
+BATCH = 250_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + b"\n" * len(_BREAKS)
@@ -123,57 +128,74 @@ def held(h: np.ndarray, bitmap: np.ndarray | None) -> np.ndarray:
     return out
 
 
-def admitted(sums, starts, ends, joined, hashes: Hashes, seed: int, now, past) -> Iterator[np.ndarray]:
-    """For k = 2, 3, ...: the words at which a phrase of k words starts that is to be counted.
+def admitted(sums, starts, ends, joined, hashes: Hashes, h: np.ndarray, seed: int, now, past) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For k = 2, 3, ...: the words at which a phrase of k words with good parts starts, the hashes of these phrases, and
+    which of them are to be counted.
 
-    Without `past`, those whose two parts of k - 1 words are counted and held
-    by `now`.  With `past`, those that `past` did not let in, where a part is
-    good if `now` holds it or if it is counted in this very pass: a part whose
-    count is not known yet is taken for frequent, so nothing is missed again.
+    `h` has the hashes of the words.  Without `past`, a part is good if it is
+    counted and held by `now`, and all phrases with two good parts of k - 1
+    words count.  With `past`, those count that `past` did not let in, and a
+    part is good if `now` holds it or if it counts in this very pass: a part
+    whose count is not known yet is taken for frequent, so nothing is missed.
     """
-    h = hashes.of(sums, starts, ends, seed)
     good = held(h, now)
     old = held(h, past) if past is not None else None
     for k in range(2, LONGEST + 1):
         at = np.flatnonzero(good[:-1] & good[1:] & joined[: max(0, len(good) - 1)])
-        if past is None:
-            new = at
-        else:
-            was = old[at] & old[at + 1]
-            new = at[~was]
-        yield new
+        new = np.ones(len(at), bool) if past is None else ~(old[at] & old[at + 1])
+        h = hashes.of(sums, starts[at], ends[at + k - 1], seed)
+        yield at, h, new
         if k == LONGEST:
             return
-        h = hashes.of(sums, starts[at], ends[at + k - 1], seed)
         good = np.zeros(max(0, len(good) - 1), bool)
         good[at] = held(h, now)
         if past is not None:
-            good[new] = True
+            good[at[new]] = True
             old = np.zeros(len(good), bool)
-            old[at] = was & held(h, past)
+            old[at] = ~new & held(h, past)
+
+
+class Words:
+    """The words of a portion: where they start and end, which have another behind them in their piece, and their hashes."""
+
+    def __init__(self, part: bytes, group: str, hashes: Hashes):
+        data = np.frombuffer(part, np.uint8)
+        gap = (data == 32) | (data == 10)
+        self.starts = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
+        self.ends = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
+        self.joined = data[self.ends] == 32
+        self.hashes, self.seed, self.sums = hashes, seed_of(group), hashes.sums(data)
+        self.h = hashes.of(self.sums, self.starts, self.ends, self.seed)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def admitted(self, now, past) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        return admitted(self.sums, self.starts, self.ends, self.joined, self.hashes, self.h, self.seed, now, past)
 
 
 def count_portion(
-    part: bytes, seen: int, group: str, words: Counter | None, longer: list[Counter], hashes: Hashes, now, past, longest: int = LONGEST
+    part: bytes, seen: int, group: str, words: Counter, longer: list[Counter], hashes: Hashes, now, past
 ) -> int:
-    """Count the words (unless `words` is None) and the admitted phrases of a portion; the number of its words."""
-    data = np.frombuffer(part, np.uint8)
-    gap = (data == 32) | (data == 10)
-    starts = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
-    ends = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
-    if len(starts) <= seen:
+    """Count the words and phrases of a portion that `now` holds or that `admitted` lets in anew; the number of its words."""
+    found = Words(part, group, hashes)
+    if len(found) <= seen:
         return 0
-    if words is not None:
-        words.update(part.split()[seen:])
-    if longest == 1:
-        return len(starts) - seen
-    joined = data[ends] == 32
-    sums, seed = hashes.sums(data), seed_of(group)
-    for k, at in enumerate(admitted(sums, starts, ends, joined, hashes, seed, now, past), 2):
-        if seen:
-            at = at[at + k > seen]
-        longer[k - 2].update([part[a:b] for a, b in zip(starts[at].tolist(), ends[at + k - 1].tolist())])
-    return len(starts) - seen
+    words.update(compress(part.split()[seen:], held(found.h, now)[seen:].tolist()))
+    for k, (at, h, new) in enumerate(found.admitted(now, past), 2):
+        at = at[(new | held(h, now)) & (at + k > seen)]
+        longer[k - 2].update([part[a:b] for a, b in zip(found.starts[at].tolist(), found.ends[at + k - 1].tolist())])
+    return len(found) - seen
+
+
+def portion_hashes(part: bytes, seen: int, group: str, hashes: Hashes, now, past, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray]]:
+    """(k, hashes) of the phrases of a portion that `admitted` lets in, and without `past` of all its words."""
+    found = Words(part, group, hashes)
+    if past is None:
+        yield 1, found.h[seen:]
+    if longest > 1:
+        for k, (at, h, new) in enumerate(found.admitted(now, past), 2):
+            yield k, h[new & (at + k > seen)]
 
 
 def packed(context: SparkContext, *bitmaps: np.ndarray | None) -> Broadcast:
@@ -187,32 +209,87 @@ def unpacked(shared: Broadcast) -> list[np.ndarray | None]:
     return [None if b is None else np.frombuffer(large.decompress(b), np.uint8) for b in shared.value]
 
 
-def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
-    """(group, phrase, k, f) with f >= `least` from `texts` (group, text in bytes); k = 0 is the number of all words.
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, str]]:
+    """(normal bytes, words already seen, group) of the texts of (group, text) batches; short texts of a group go together."""
+    for b in batches:
+        waiting: dict[str, list[bytes]] = {}
+        sizes = Counter()
+        for group, text in zip(b.column(0).to_pylist(), b.column(1)):
+            raw = text.as_py()
+            if not raw:
+                continue
+            if len(raw) > PORTION:
+                for part, seen in portions(raw):
+                    yield part, seen, group
+                continue
+            waiting.setdefault(group, []).append(raw)
+            sizes[group] += len(raw)
+            if sizes[group] > PORTION:
+                yield normal(b"\n".join(waiting.pop(group))), 0, group
+                sizes[group] = 0
+        for group, raws in waiting.items():
+            yield normal(b"\n".join(raws)), 0, group
+
+
+def counted_hashes(texts: DataFrame, shared: Broadcast, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+    """(h, k, f) with f >= `least`: hashes of phrases from `texts` (group, text in bytes), never rarer than any of their phrases.
 
     `shared` holds the filters `now` and `past` of `admitted`.  With `past` the
-    words are left out.  Counts are merged in the tasks before they are shuffled.
+    words are left out.  Hashes are merged in the tasks before they are shuffled.
     With `longest` = 1 only words are counted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, past = unpacked(shared)
-        hashes, counters, totals = Hashes(), {}, Counter()
+        hashes, waiting, n = Hashes(), {}, 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for k in list(waiting):
+                h = np.concatenate(waiting.pop(k))
+                h.sort()
+                first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+                f = np.diff(np.r_[first, len(h)])
+                h = h[first].view(np.int64)
+                for i in range(0, len(h), BATCH):
+                    some = slice(i, i + BATCH)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[some]), pa.array(np.full(len(h[some]), k, np.int32)), pa.array(f[some])], ["h", "k", "f"]
+                    )
+
+        for part, seen, group in pieces_of(batches):
+            for k, h in portion_hashes(part, seen, group, hashes, now, past, longest):
+                if len(h):
+                    waiting.setdefault(k, []).append(h)
+                    n += len(h)
+            if n > HELD_HASHES:
+                yield from out()
+                n = 0
+        yield from out()
+
+    found = texts.mapInArrow(run, "h long, k int, f long")
+    # Few hashes come twice from a task, so they are dealt out before they are merged further.
+    return found.repartition("h").groupBy("h", "k").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+
+
+def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST) -> DataFrame:
+    """(group, phrase, k, f) with f >= `least` from `texts` (group, text in bytes); k = 0 is the number of all words.
 
-        def take(part: bytes, seen: int, group: str) -> None:
-            if group not in counters:
-                counters[group] = (Counter() if past is None else None, [Counter() for _ in range(LONGEST - 1)])
-            n = count_portion(part, seen, group, *counters[group], hashes, now, past, longest)
-            if past is None:
-                totals[group] += n
+    `shared` holds the filters `now` and `past` of `count_portion`.  Counts are
+    merged in the tasks before they are shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, past = unpacked(shared)
+        hashes, counters, totals = Hashes(), {}, Counter()
 
         def out() -> Iterator[pa.RecordBatch]:
             for group, n in totals.items():
                 yield made(group, [b""], 0, [n])
-            for group, (words, longer) in counters.items():
-                for k, c in enumerate([words, *longer], 1):
-                    if c:
-                        yield made(group, list(c.keys()), k, list(c.values()))
+            for group, each in counters.items():
+                for k, c in enumerate(each, 1):
+                    rows = iter(c.items())
+                    while some := list(islice(rows, BATCH)):
+                        yield made(group, [p for p, _ in some], k, [f for _, f in some])
             counters.clear()
             totals.clear()
 
@@ -222,32 +299,10 @@ def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST, longest: in
                 pa.array(np.full(len(f), k, np.int32)), pa.array(f, pa.int64()),
             ], ["group", "phrase", "k", "f"])
 
-        def full() -> bool:
-            return sum(len(c) for w, l in counters.values() for c in (w, *l) if c) > HELD
-
-        for b in batches:
-            waiting: dict[str, list[bytes]] = {}
-            sizes = Counter()
-            for group, text in zip(b.column(0).to_pylist(), b.column(1)):
-                raw = text.as_py()
-                if not raw:
-                    continue
-                if len(raw) > PORTION:
-                    for part, seen in portions(raw):
-                        take(part, seen, group)
-                        if full():
-                            yield from out()
-                    continue
-                waiting.setdefault(group, []).append(raw)
-                sizes[group] += len(raw)
-                if sizes[group] > PORTION:
-                    take(normal(b"\n".join(waiting.pop(group))), 0, group)
-                    sizes[group] = 0
-                    if full():
-                        yield from out()
-            for group, raws in waiting.items():
-                take(normal(b"\n".join(raws)), 0, group)
-            if full():
+        for part, seen, group in pieces_of(batches):
+            words, *longer = counters.setdefault(group, [Counter() for _ in range(LONGEST)])
+            totals[group] += count_portion(part, seen, group, words, longer, hashes, now, past)
+            if sum(len(c) for each in counters.values() for c in each) > HELD:
                 yield from out()
         yield from out()
 
@@ -255,47 +310,31 @@ def counted(texts: DataFrame, shared: Broadcast, least: int = LEAST, longest: in
     return found.groupBy("group", "phrase", "k").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("k") == 0))
 
 
-@dataclass
-class Proposals:
-    """The filter of proposed phrases and how it grew."""
-
-    bitmap: np.ndarray
-    added: list[int] = field(default_factory=list)
-
-    def grow(self, found: DataFrame) -> np.ndarray | None:
-        """Add the phrases of `found` (group, phrase, k) that can be parts of others and are not held.
-
-        Returns the filter as it was, or None if nothing was missing.  What
-        comes to the driver are words of the filter, so never more than it.
-        """
-        shared = packed(found.sparkSession.sparkContext, self.bitmap)
-        bits = (len(self.bitmap) * 8).bit_length() - 1
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes, (bitmap,) = Hashes(), unpacked(shared)
-            for b in batches:
-                raws = [phrase.encode() for phrase in b.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, raws)])
-                seeds = np.array([seed_of(group) for group in b.column(0).to_pylist()], np.uint64)
-                h = hashes.of(hashes.sums(np.frombuffer(b"".join(raws), np.uint8)), ends[:-1], ends[1:], seeds)
-                h = h[~held(h, bitmap)]
-                one, two = places(h, bits)
-                at = np.stack([one, two], axis=1).ravel()
-                first = np.tile([1, 0], len(h))
-                yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((at & 63).astype(np.int32)), pa.array(first)], ["word", "bit", "phrases"])
-
-        parts = found.filter((F.col("k") > 0) & (F.col("k") < LONGEST)).select("group", "phrase")
-        rows = parts.mapInArrow(run, "word long, bit int, phrases long").groupBy("word").agg(
-            F.expr("bit_or(shiftleft(1L, bit))").alias("bits"), F.sum("phrases").alias("phrases")
-        ).toArrow()
-        shared.destroy()
-        new = int(np.sum(rows["phrases"].to_numpy())) if rows.num_rows else 0
-        self.added.append(new)
-        if not new:
-            return None
-        was, self.bitmap = self.bitmap, self.bitmap.copy()
-        self.bitmap.view(np.uint64)[rows["word"].to_numpy()] |= rows["bits"].to_numpy().view(np.uint64)
-        return was
+def missing(found: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """The rows of `found` (h, k, f) whose hash the filter does not hold."""
+    shared = packed(found.sparkSession.sparkContext, bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (bitmap,) = unpacked(shared)
+        for b in batches:
+            yield b.filter(pa.array(~held(b.column(0).to_numpy().view(np.uint64), bitmap)))
+
+    return found.mapInArrow(run, found.schema)
+
+
+def with_hashes(bitmap: np.ndarray, found: DataFrame) -> np.ndarray:
+    """The filter with the hashes of `found` (h, k, f).  What comes to the driver are words of the filter, so never more than it."""
+    bits = (len(bitmap) * 8).bit_length() - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.concatenate(places(b.column(0).to_numpy().view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((at & 63).astype(np.int32))], ["word", "bit"])
+
+    rows = found.mapInArrow(run, "word long, bit int").groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    out = bitmap.copy()
+    out.view(np.uint64)[rows["word"].to_numpy()] |= rows["bits"].to_numpy().view(np.uint64)
+    return out
 
 
 def frequent(
@@ -310,24 +349,26 @@ def frequent(
     many words and longer phrases the sample proposed and how many it missed.
     """
     context = texts.sparkSession.sparkContext
-    proposals = Proposals(np.zeros(1 << (bits - 3), np.uint8))
+    empty = np.zeros(1 << (bits - 3), np.uint8)
 
-    def passed(rows: DataFrame, least: int, *filters: np.ndarray | None, longest: int = LONGEST) -> DataFrame:
+    def passed(rows: DataFrame, how, least: int, *filters: np.ndarray | None, **settings) -> DataFrame:
         shared = packed(context, *filters)
-        out = cut_lineage(counted(rows, shared, least, longest))
+        out = cut_lineage(how(rows, shared, least, **settings))
         shared.destroy()
         return out
 
     drawn = texts.filter(F.pmod(draw, F.lit(sample)) == 0)
-    proposals.grow(passed(drawn, least_sampled, None, None, longest=1))
+    part = F.col("k") < LONGEST
+    words = passed(drawn, counted_hashes, least_sampled, None, None, longest=1)
+    proposed = with_hashes(empty, words)
     # Longer proposals consist of proposed words; the empty filter lets all of them in as new.
-    proposals.grow(passed(drawn, least_sampled, proposals.bitmap, np.zeros_like(proposals.bitmap)))
-    found = passed(texts, least, proposals.bitmap, None)
-    past = proposals.grow(found)
-    if past is not None:
-        # Closed after this pass: what it finds that is not proposed was taken for proposed, so its extensions are counted.
-        found = found.unionByName(passed(texts, least, proposals.bitmap, past))
-    return found, proposals.added
+    longer = passed(drawn, counted_hashes, least_sampled, proposed, empty).filter(part)
+    added = [words.count(), missing(longer, proposed).count()]
+    proposed = with_hashes(proposed, longer)
+    known = passed(texts, counted_hashes, least, proposed, None)
+    added.append(missing(known.filter(part), proposed).count())
+    # Closed after this pass: what the one before did not count is taken for frequent, so its extensions are counted.
+    return passed(texts, counted, least, with_hashes(empty, known), proposed), added
 
 
 def collocations(found: DataFrame, top: int = TOP) -> DataFrame:

@@ -144,3 +144,34 @@ def test_awkward_and_empty_tables(spark):
     assert got == brute([("en", t) for _, t in rows])
     assert phrases.mine(documents(spark, [])).count() == 0
     assert phrases.mine(documents(spark, [(1, None), (2, "")])).count() == 0
+
+
+def test_only_frequent_phrases_are_held_as_text():
+    hashes = phrases.Hashes()
+    known = phrases.Words(phrases.normal(b"alpha. beta. alpha beta"), "g", hashes)
+    now = np.zeros(1 << 13, np.uint8)
+    pairs = next(known.admitted(None, None))[1]
+    for at in phrases.places(np.concatenate([known.h, pairs]), 16):
+        np.bitwise_or.at(now, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    words, longer = Counter(), [Counter() for _ in range(3)]
+    # Nothing is new: the pass before counted all that its full filter let in.
+    full = np.full(1 << 13, 255, np.uint8)
+    n = phrases.count_portion(phrases.normal(b"alpha beta rare alpha beta alpha"), 0, "g", words, longer, hashes, now, full)
+    assert n == 6 and words == {b"alpha": 3, b"beta": 2} and longer == [{b"alpha beta": 2}, {}, {}]
+
+
+def test_phrases_that_share_a_hash_are_counted_apart(monkeypatch):
+    first = phrases.Hashes.of
+    monkeypatch.setattr(phrases.Hashes, "of", lambda self, *a: first(self, *a) % np.uint64(1009))
+    rows = [("g", text) for _, text in corpus(seed=5, n=120)]
+    part, hashes, total = phrases.normal(".".join(t for _, t in rows).encode()), phrases.Hashes(), Counter()
+    for _, h in phrases.portion_hashes(part, 0, "g", hashes, None, None):
+        total.update(h.tolist())
+    now, full = np.zeros(1 << 13, np.uint8), np.full(1 << 13, 255, np.uint8)
+    for at in phrases.places(np.array([h for h, f in total.items() if f >= 30], np.uint64), 16):
+        np.bitwise_or.at(now, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    words, longer = Counter(), [Counter() for _ in range(3)]
+    phrases.count_portion(part, 0, "g", words, longer, hashes, now, full)
+    f, _ = counts(rows)
+    got = {("g", p.decode()): c for c_ in (words, *longer) for p, c in c_.items() if c >= 30}
+    assert len(f) > 1009 and got == {p: c for p, c in f.items() if c >= 30}
