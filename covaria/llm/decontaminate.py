@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, in_few
 from .common import plain_names, spread_join, table
 from .registry import query
 
@@ -90,7 +90,10 @@ def scan(
     Windows are looked up in a broadcast set in the stage that reads the
     documents, whatever the size of the benchmark: only hits and one row for
     each document go on, and come together by a row key made of the document
-    itself.  Documents are read once for every HASHES windows.
+    itself.  Documents are read once for every HASHES windows.  Few documents
+    come in few partitions, however many the shuffle has: on a local folder
+    each file written starts child processes of the executor, and a sample of
+    its memory taken then counts it twice.
     """
     known = benchmark_windows(benchmark, window, item_col, item_text_col)
     lengths = sorted(
@@ -124,7 +127,7 @@ def scan(
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     out = found.select("id", F.col("_same").alias("same"), "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_"))
-    return out.drop("_")
+    return in_few(out.drop("_"), docs.count())
 
 
 def covered(spans: Column) -> Column:

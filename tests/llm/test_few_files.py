@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from covaria import session
-from covaria.llm import common, simhash
+from covaria.llm import common, decontaminate, simhash
 
 from .helpers import awkward, documents
 
@@ -50,3 +50,15 @@ def test_keep_one_writes_few_files(spark, monkeypatch, many_partitions):
 def test_rows_beyond_a_file_keep_more_files(spark, monkeypatch):
     monkeypatch.setattr(session, "FILE_ROWS", 10)
     assert len(session.cut_lineage(spark.range(1000).repartition(40), 300).inputFiles()) == 30
+
+
+def test_scan_of_few_documents_has_few_partitions(spark, monkeypatch, many_partitions):
+    rows = awkward()
+    benchmark = spark.createDataFrame([("b", rows[3][1])], "item_id string, text string")
+    found = decontaminate.scan(documents(spark, rows), benchmark)
+    cores = spark.sparkContext.defaultParallelism
+    assert found.rdd.getNumPartitions() <= cores
+    got = found.collect()
+    assert len(got) == len(rows) and sorted(r.id for r in got if r["items"]) == [3, 25, 26]
+    monkeypatch.setattr(session, "FILE_ROWS", 1)
+    assert decontaminate.scan(documents(spark, rows), benchmark).rdd.getNumPartitions() == len(rows)
