@@ -48,7 +48,9 @@ _MOST_TASKS = 2048
 # Up to so many features a tree inside a task tells rows apart.
 TREE_WIDTH = 12
 _LEAF = 64
-_CHUNK = 4_000_000
+# Distances that a task holds at a time, and values of the rows that it sends on at a time.
+_CHUNK = 1_000_000
+_SENT_VALUES = 500_000
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -95,6 +97,13 @@ def _first(qi: np.ndarray, ri: np.ndarray, d: np.ndarray, k: int) -> tuple[np.nd
     return qi[keep], ri[keep], d[keep]
 
 
+def _measured(q: np.ndarray, r: np.ndarray, qi: np.ndarray, ri: np.ndarray) -> np.ndarray:
+    """Squared distances of pairs given by place; the rows of few pairs are copied at a time."""
+    step = max(1, _CHUNK // max(q.shape[1], 1))
+    parts = [_paired(q[qi[i : i + step]], r[ri[i : i + step]]) for i in range(0, len(qi), step)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def _by_products(q: np.ndarray, qc: np.ndarray, bound: np.ndarray, r: np.ndarray, rc: np.ndarray, k: int):
     """Candidates by matrix products: all pairs not farther than the bound or the k-th, with a slack for rounding."""
     middle = r.mean(axis=0)
@@ -113,9 +122,13 @@ def _by_products(q: np.ndarray, qc: np.ndarray, bound: np.ndarray, r: np.ndarray
         if np.isinf(limit).any():
             limit = np.minimum(limit, _kth(d, k))
         slack = (qq + rr.max()) * (4.0 * (q.shape[1] + 8) * np.finfo(float).eps)
-        at, ri = np.nonzero(d <= (limit * (1 + 1e-12) + 2 * slack)[:, None])
+        near = d <= (limit * (1 + 1e-12) + 2 * slack)[:, None]
+        # A far bound would let most of a crowded block pass.
+        if np.count_nonzero(near) > 8 * k * len(d):
+            near &= d <= (np.minimum(limit, _kth(d, k)) * (1 + 1e-12) + 2 * slack)[:, None]
+        at, ri = np.nonzero(near)
         qi = at + start
-        yield qi, ri, _paired(q[qi], r[ri])
+        yield qi, ri, _measured(q, r, qi, ri)
 
 
 def _leaves(r: np.ndarray, depth: int) -> tuple[list[tuple[int, float]], np.ndarray]:
@@ -200,7 +213,15 @@ def _search(q: np.ndarray, qc: np.ndarray, bound: np.ndarray, r: np.ndarray, rc:
     none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     if not len(q) or not len(r):
         return none
-    found = list((_by_tree if q.shape[1] <= TREE_WIDTH else _by_products)(q, qc, bound, r, rc, k))
+    found, held, most = [], 0, 2 * _CHUNK
+    for part in (_by_tree if q.shape[1] <= TREE_WIDTH else _by_products)(q, qc, bound, r, rc, k):
+        found.append(part)
+        held += len(part[0])
+        # What a far bound lets pass does not pile up: k pairs of a query are enough.
+        if held > most:
+            found = [_first(*[np.concatenate(c) for c in zip(*found)], k)]
+            held = len(found[0][0])
+            most = held + 2 * _CHUNK
     return _first(*[np.concatenate(c) for c in zip(*found)], k) if found else none
 
 
@@ -441,6 +462,13 @@ def _by_cells(
         """Queries and reference blocks by piece: each query in its lane of every block that it visits, each block in all lanes."""
         hashed = F.pmod(F.xxhash64("query", "values"), F.lit(1 << 30)).cast("int").alias("hash")
 
+        def sent_on(batch: pa.RecordBatch, columns: Sequence[str], at: np.ndarray, where: Sequence[pa.Array]) -> Iterator[pa.RecordBatch]:
+            # A row goes to many pieces: the copies of a whole batch at once would grow with the number of cells.
+            rows, step = batch.select(columns), max(1, _SENT_VALUES // max(width, 1))
+            for i in range(0, len(at), step):
+                some = rows.take(pa.array(at[i : i + step]))
+                yield pa.RecordBatch.from_arrays([*some.columns, *[w.slice(i, step) for w in where]], [*columns, *PIECE])
+
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 mixed = _column(batch, "hash").to_numpy()
@@ -453,8 +481,7 @@ def _by_cells(
                         new = (block > 0) | (home[at] != cell)
                         at, cell, block = at[new], cell[new], block[new]
                     where = [pa.array(x.astype(np.int32)) for x in (cell, block, mixed[at] % lanes[cell])]
-                    rows = batch.select(names).take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([*rows.columns, *where], [*names, *PIECE])
+                    yield from sent_on(batch, names, at, where)
 
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -464,8 +491,7 @@ def _by_cells(
                 at = np.repeat(np.arange(len(cell)), copies)
                 lane = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
                 where = [pa.array(x.astype(np.int32)) for x in (cell[at], block[at], lane)]
-                rows = batch.select(["neighbour", "values"]).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([*rows.columns, *where], ["neighbour", "values", *PIECE])
+                yield from sent_on(batch, ["neighbour", "values"], at, where)
 
         tasks = min(_MOST_TASKS, max(1, 2 * pieces))
         kept = [asked.schema[c] for c in names]
