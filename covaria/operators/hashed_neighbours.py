@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import order_value
 from . import neighbours
@@ -37,6 +37,9 @@ SAMPLE_QUERIES = 128
 # Planes that a visit may cross are the nearest so many; so there are at most 2^NEAR_PLANES visits.
 NEAR_PLANES = 10
 MAX_PLANES = 40
+# Rows whose visits a task works out at a time, and values of the rows that it sends on at a time.
+VISIT_ROWS = 1024
+SENT_VALUES = 500_000
 
 
 @dataclass(frozen=True)
@@ -113,13 +116,17 @@ def _placed(rows: DataFrame, name: str, sent, width: int, visits: int | None) ->
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes = Planes(*sent.value)
-        for batch in batches:
+        # A batch with all its visits would be a thousand times as large as the batch.
+        for batch in (b.iloc[i : i + VISIT_ROWS] for b in batches for i in range(0, len(b), VISIT_ROWS)):
             values = _matrix(batch["values"], width)
             for t in range(planes.tables):
                 sides = planes.sides(values, t)
                 codes = _codes(sides)[:, None] if visits is None else _visited(sides, visits)
-                at = np.repeat(np.arange(len(batch)), codes.shape[1])
-                yield batch.iloc[at].assign(cell_table=np.int32(t), code=codes.ravel())
+                at, codes = np.repeat(np.arange(len(batch)), codes.shape[1]), codes.ravel()
+                step = max(1, SENT_VALUES // max(width, 1))
+                for start in range(0, len(at), step):
+                    some = slice(start, start + step)
+                    yield batch.iloc[at[some]].assign(cell_table=np.int32(t), code=codes[some])
 
     return rows.mapInPandas(place, f"`{name}` {kind}, `values` array<double>, cell_table int, code long")
 
@@ -177,13 +184,11 @@ def nearest_hashed(
 
     keys = [*CELL, "block", "lane"]
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema)
-    # A pair that several tables found is one entry; at most k from each visited piece of a cell.
-    best = F.slice(F.array_sort(F.collect_set(F.struct("distance2", "neighbour"))), 1, k)
-    return (
-        pairs.groupBy("query").agg(best.alias("_best"))
-        .select("query", F.posexplode("_best").alias("position", "_one"))
-        .select("query", F.col("_one.neighbour").alias("neighbour"), F.col("_one.distance2").alias("distance2"), "position")
-    )
+    # A pair that several tables found has one rank.  Each task sends on what has the first k ranks there, so no query's
+    # candidates of all visits and tables are held at once.
+    order = Window.partitionBy("query").orderBy("distance2", "neighbour")
+    first = pairs.withColumn("_r", F.dense_rank().over(order)).filter(F.col("_r") <= k)
+    return first.groupBy("query", "neighbour", "distance2").agg((F.min("_r") - 1).cast("int").alias("position"))
 
 
 def visits_for(
