@@ -6,6 +6,7 @@ import copy
 import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from functools import partial
 from threading import Lock
@@ -17,8 +18,8 @@ from ..functions.distributions import TRIAL, Distribution
 from ..functions.hashing import unit_uniform
 from ..models.base import Fitted, Model
 from ..models.linear import GramRegressor
-from ..session import held
-from .clean import clean, clean_selected
+from ..session import cut_lineage, held
+from .clean import all_present, clean
 from .gram import fold_fits, fold_prediction, moments
 from .scoring import fold_scores, group_scores
 from .split import assign_folds, subsample
@@ -36,6 +37,10 @@ TRIAL_SCHEMA = T.StructType(
 BUDGET, RUNG = "budget", "rung"
 # The fold of a row's group.
 GROUP = "groupcv_class"
+# Marks of rows that the folds have, and that have no gap in any column.
+FOLDED, WHOLE = "_folded", "_whole"
+# Fits of MLlib hold their rows, each its own: on more rows than these, one trial at a time makes its fits.
+HELD_ROWS = 5_000_000
 Space = dict[str, Distribution]
 Objective = Callable[[dict[str, Any], float], dict[str, float]]
 
@@ -136,12 +141,23 @@ class TrialObjective:
         return one
 
     def prepare(self) -> None:
-        self.folds = assign_folds(clean_selected(self.training, self.features, keep=[self.key]), self.key, self.n_splits, self.seed)
-        # The rows are judged by all columns; only those that a trial reads are kept.
+        # The rows are judged by all columns; only those that a trial reads are kept, once for the folds and the whole.
         used = {self.key, *self.features, "target", GROUP}
-        self.clean_training, self.clean_oos = (t.select(*[c for c in t.columns if c in used]) for t in (clean(self.training), clean(self.oos)))
+        self.clean_oos = clean(self.oos).select(*[c for c in self.oos.columns if c in used])
+        columns = [c for c in self.training.columns if c in used]
+        marked = self.training.select(
+            *columns, all_present(self.training, [*self.features, "target"]).alias(FOLDED), all_present(self.training).alias(WHOLE)
+        ).filter(F.col(FOLDED) | F.col(WHOLE))
+        self.use(assign_folds(marked, self.key, self.n_splits, self.seed, among=F.col(FOLDED)))
         self.once: dict[Any, Any] = {}
         self.turn = Lock()
+        self.fits = nullcontext()
+
+    def use(self, rows: DataFrame) -> None:
+        """Take the folds and the training rows from this table, which has the rows of both."""
+        self.rows = rows
+        self.folds = rows.filter(FOLDED).select(self.key, *self.features, "target", "fold")
+        self.clean_training = rows.filter(WHOLE).drop(FOLDED, WHOLE, "fold")
 
     def _shared(self, name: Any, make: Callable[[], Any]) -> Any:
         """What no parameter changes is made by the first trial that asks."""
@@ -155,16 +171,17 @@ class TrialObjective:
         whole = self.clean_training, self.clean_oos, self.folds
         if budget >= 1.0:
             return whole
-        return self._shared(("rows", budget), lambda: tuple(subsample(t, self.key, budget, "budget") for t in whole))
+        return self._shared(("rows", budget), lambda: tuple(cut_lineage(subsample(t, self.key, budget, "budget")) for t in whole))
 
     def _scores(self, model: Model, budget: float) -> tuple[Fitted, list[DataFrame]]:
         training, oos, folds = self.tables(budget)
         n = len(self.features)
         if not isinstance(model, GramRegressor):
-            # The tables are clean and held, so no trial holds them again.
-            fitted = model.fit(training, self.features)
-            alone = score(fitted.transform(oos), self.scorers, n)
-            crossed, grouped = fold_scores(folds, self.features, model, self.scorers), group_scores(training, self.features, model, self.scorers)
+            # The tables are clean and stored, so no trial holds them again.
+            with self.fits:
+                fitted = model.fit(training, self.features)
+                alone = score(fitted.transform(oos), self.scorers, n)
+                crossed, grouped = fold_scores(folds, self.features, model, self.scorers), group_scores(training, self.features, model, self.scorers)
             return fitted, [mean_scores(alone, self.scorers, "oos"), mean_scores(crossed, self.scorers, "cv"), grouped]
         # The sums of a linear model are those of the rows: every trial solves the same ones.
         sums = partial(moments, features=self.features, label="target")
@@ -312,8 +329,12 @@ def search(
     spark = training.sparkSession
     objective = TrialObjective(training, oos, features, lambda p: model(convert(p)), scorers, n_splits, key, save_to=save_to)
     objective.prepare()
-    with held(objective.folds) as f, held(objective.clean_training) as t, held(objective.clean_oos) as o:
-        objective.folds, objective.clean_training, objective.clean_oos = f, t, o
+    # Stored, not held: rows in memory are several times as large, and a held table has no room beside those of the fits.
+    objective.use(cut_lineage(objective.rows))
+    with held(objective.clean_oos) as o:
+        objective.clean_oos = o
+        if objective.clean_training.count() > HELD_ROWS:
+            objective.fits = Lock()
         if method == "GridSearch":
             results = run_trials(grid_table(spark, grid_values(space)), objective, jobs)
         elif method == "HyperBand":
@@ -323,7 +344,7 @@ def search(
             results = sampled_search(spark, space, objective, metric, n_iteration, seed, jobs, rounds)
         (winner, params, _), *_ = _top([r for r in results if r[2].get(BUDGET, 1.0) >= 1.0], metric, 0.0)
         chosen = model(convert(params))
-        fitted = chosen.fit(t, features)
+        fitted = chosen.fit(objective.clean_training, features)
     path = None
     if save_to is not None:
         path = model_path(save_to, winner)
