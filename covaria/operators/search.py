@@ -39,7 +39,7 @@ BUDGET, RUNG = "budget", "rung"
 GROUP = "groupcv_class"
 # Marks of rows that the folds have, and that have no gap in any column.
 FOLDED, WHOLE = "_folded", "_whole"
-# Fits of MLlib hold their rows, each its own: on more rows than these, one trial at a time makes its fits.
+# Fits of MLlib hold their rows, each its own: on more rows than these, one trial at a time makes its fits, of stored rows.
 HELD_ROWS = 5_000_000
 Space = dict[str, Distribution]
 Objective = Callable[[dict[str, Any], float], dict[str, float]]
@@ -151,7 +151,9 @@ class TrialObjective:
         self.use(assign_folds(marked, self.key, self.n_splits, self.seed, among=F.col(FOLDED)))
         self.once: dict[Any, Any] = {}
         self.turn = Lock()
-        self.fits = nullcontext()
+        # Few rows stay in the splits that they come in: MLlib places its bins by a sample of each split.
+        self.many = self.training.count() > HELD_ROWS
+        self.fits = Lock() if self.many else nullcontext()
 
     def use(self, rows: DataFrame) -> None:
         """Take the folds and the training rows from this table, which has the rows of both."""
@@ -159,6 +161,10 @@ class TrialObjective:
         self.folds = rows.filter(FOLDED).select(self.key, *self.features, "target", "fold")
         self.clean_training = rows.filter(WHOLE).drop(FOLDED, WHOLE, "fold")
 
+    def kept(self, df: DataFrame) -> DataFrame:
+        """Many rows are stored: in memory they are several times as large, and have no room beside those of the fits."""
+        return cut_lineage(df) if self.many else df
+
     def _shared(self, name: Any, make: Callable[[], Any]) -> Any:
         """What no parameter changes is made by the first trial that asks."""
         with self.turn:
@@ -171,7 +177,7 @@ class TrialObjective:
         whole = self.clean_training, self.clean_oos, self.folds
         if budget >= 1.0:
             return whole
-        return self._shared(("rows", budget), lambda: tuple(cut_lineage(subsample(t, self.key, budget, "budget")) for t in whole))
+        return self._shared(("rows", budget), lambda: tuple(self.kept(subsample(t, self.key, budget, "budget")) for t in whole))
 
     def _scores(self, model: Model, budget: float) -> tuple[Fitted, list[DataFrame]]:
         training, oos, folds = self.tables(budget)
@@ -329,12 +335,9 @@ def search(
     spark = training.sparkSession
     objective = TrialObjective(training, oos, features, lambda p: model(convert(p)), scorers, n_splits, key, save_to=save_to)
     objective.prepare()
-    # Stored, not held: rows in memory are several times as large, and a held table has no room beside those of the fits.
-    objective.use(cut_lineage(objective.rows))
-    with held(objective.clean_oos) as o:
+    with held(objective.clean_oos) as o, nullcontext(objective.kept(objective.rows)) if objective.many else held(objective.rows) as rows:
         objective.clean_oos = o
-        if objective.clean_training.count() > HELD_ROWS:
-            objective.fits = Lock()
+        objective.use(rows)
         if method == "GridSearch":
             results = run_trials(grid_table(spark, grid_values(space)), objective, jobs)
         elif method == "HyperBand":
