@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from ..functions.projection import from_albers
 from ..models.base import Fitted
 from ..schema import MISSING
-from .joins import lookup_join
+from .joins import lookup_join, row_bytes
 from .raster import TILE, _crs_of, _grid_groups, grid_axes
 
 MASK = "_mask"
@@ -115,10 +115,10 @@ def gather(spark: SparkSession, lattice: Lattice, tiled: DataFrame, layers: Sequ
     needs = _needs(spark, lattice, layers, size).withColumn("covariate", F.explode(listed[F.col("layer")])).drop("layer")
     source = tiled.filter(F.col("covariate").isin(names) & owner[F.col("covariate")].isNotNull())
     count = sum(len(layer.names) * math.ceil(layer.width / size) * math.ceil(layer.height / size) for layer in layers)
-    met = lookup_join(
-        needs, source.select("covariate", "tile_row", "tile_col", "values"), ["covariate", "tile_row", "tile_col"], "left",
-        bound=count * size * size,
-    )
+    tiles = source.select("covariate", "tile_row", "tile_col", "values")
+    # A tile has a known number of values, which count for as many rows of the usual bytes.
+    bound = count * math.ceil((size * size * 8 + 256) / row_bytes(tiles))
+    met = lookup_join(needs, tiles, ["covariate", "tile_row", "tile_col"], "left", bound=bound)
     by_name = {n: layer for layer in layers for n in layer.names}
 
     def fill(group: pa.Table) -> pa.Table:
